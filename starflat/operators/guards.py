@@ -28,14 +28,14 @@ class GuardViolation(Exception):
         super().__init__(f"output guards failed: {names}")
 
 
-def guard_report(
+def guard_counts(
     df: DataFrame,
     masked: Sequence[str] = (),
     hashed: Sequence[str] = (),
     iso_times: Sequence[str] = (),
     scan_pan: bool = True,
-) -> DataFrame:
-    """``(guard, column_name, violations)`` from one aggregate over all rows.
+) -> Column:
+    """An aggregate: array of ``(guard, column_name, violations)`` over all rows.
 
     NULL and empty values pass. The scan for card numbers covers every string
     column.
@@ -52,12 +52,17 @@ def guard_report(
             rows.append(_row("pan", name, has_pan(F.col(name))))
     if not rows:
         raise ValueError("no guards requested")
-    return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
+    return F.array(*rows)
 
 
-def enforce_guards(report: DataFrame) -> None:
+def guard_report(df: DataFrame, **guards) -> DataFrame:
+    """The result of ``guard_counts`` as rows."""
+    return df.agg(guard_counts(df, **guards).alias("r")).select(F.inline("r"))
+
+
+def enforce_guards(report: Sequence[Row]) -> None:
     """Raises ``GuardViolation`` unless every guard counts zero."""
-    broken = report.filter("violations > 0").collect()
+    broken = [row for row in report if row["violations"] > 0]
     if broken:
         raise GuardViolation(broken)
 

@@ -76,9 +76,17 @@ def last_success(spark: SparkSession, path: str, source: str) -> Row | None:
     return current_state(spark, path).filter(F.col("source") == source).first()
 
 
-def next_run(spark: SparkSession, path: str) -> int:
-    last = read_log(spark, path, STATE_SCHEMA).agg(F.max("run_seq")).first()[0]
-    return 1 if last is None else last + 1
+def run_state(spark: SparkSession, path: str, source: str) -> tuple[Row | None, int]:
+    """The newest successful entry of ``source`` and the number of the next run."""
+    log = read_log(spark, path, STATE_SCHEMA)
+    entry = F.struct(*(f.name for f in STATE_SCHEMA.fields))
+    # One row per source and status.
+    newest = (
+        log.groupBy("source", "status").agg(F.max_by(entry, "run_seq").alias("entry")).collect()
+    )
+    last = [r["entry"] for r in newest if (r["source"], r["status"]) == (source, "success")]
+    number = max((r["entry"]["run_seq"] for r in newest), default=0) + 1
+    return (last[0] if last else None), number
 
 
 def previous_volume(spark: SparkSession, path: str, table: str, mode: str) -> int | None:

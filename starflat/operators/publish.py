@@ -13,10 +13,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starflat.operators.guards import enforce_guards, guard_report, require_money
+from starflat.operators.guards import enforce_guards, guard_counts, require_money
 from starflat.operators.ledger import STATE_SCHEMA, last_success, read_log
 from starflat.operators.sinks import write_parquet
 
@@ -46,28 +48,42 @@ def read_published(spark: SparkSession, base: str, source: str) -> DataFrame:
     return spark.read.parquet(version_path(base, state["version"]))
 
 
+@dataclass(frozen=True)
+class Staged:
+    """Written and guarded rows; everything later reads these."""
+
+    rows: DataFrame
+    count: int
+    last: datetime | None
+
+
 def stage(
     flat: DataFrame,
     path: str,
     guards: GuardSpec,
     partition_by: str,
-    sort_by: Sequence[str],
+    time_column: str,
+    id_column: str,
     compression: str = "snappy",
-) -> DataFrame:
-    """``flat`` written once and guarded; everything after reads the written rows.
-
-    A rejected write is removed again.
+) -> Staged:
+    """``flat`` written once; guards, row count and last time come from one pass
+    over the written rows. A rejected write is removed again.
     """
     spark = flat.sparkSession
     require_money(flat, guards.money)
     try:
-        write_parquet(flat, path, partition_by, sort_by, compression)
+        write_parquet(flat, path, partition_by, (time_column, id_column), compression)
         written = spark.read.schema(flat.schema).parquet(path)
-        enforce_guards(guard_report(written, guards.masked, guards.hashed))
+        found = written.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.max(time_column).alias("last"),
+            guard_counts(written, guards.masked, guards.hashed).alias("guards"),
+        ).first()
+        enforce_guards(found["guards"])
     except Exception:
         remove(spark, path)
         raise
-    return written
+    return Staged(written, found["n"], found["last"])
 
 
 def replace_partitions(
@@ -93,11 +109,10 @@ def drop_old_versions(spark: SparkSession, base: str, source: str, keep: int = 2
         raise ValueError("the current version must be kept")
     log = read_log(spark, state_path(base), STATE_SCHEMA)
     published = (
-        log.filter(log["status"] == "success")
-        .filter(log["source"] == source)
+        log.filter((F.col("status") == "success") & (F.col("source") == source))
         .groupBy("version")
-        .agg({"run_seq": "max"})
-        .orderBy("max(run_seq)", ascending=False)
+        .agg(F.max("run_seq").alias("newest"))
+        .orderBy(F.desc("newest"))
     )
     old = [row["version"] for row in published.collect()[keep:] if row["version"]]
     for version in old:

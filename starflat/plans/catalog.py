@@ -406,6 +406,8 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{base}/table",
             "event_id",
             "ts",
+            "event_id",
+            "event_time",
             activity.GUARDS,
         ).awaitTermination()
     return read_merged(spark, f"{base}/table")

@@ -7,7 +7,6 @@ from dataclasses import dataclass, field
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 
 from starflat.operators import ledger, publish
 from starflat.operators.checks import Check, gate, run_suites, volume_check
@@ -70,8 +69,7 @@ def run(
     if mode not in MODES:
         raise ValueError(f"mode must be among {', '.join(MODES)}")
     state = publish.state_path(job.base)
-    last = ledger.last_success(spark, state, job.source)
-    seq = ledger.next_run(spark, state)
+    last, seq = ledger.run_state(spark, state, job.source)
     started = _now()
     metrics = RunMetrics({"source": job.source, "mode": mode, "run": str(seq)})
     entry = {"source": job.source, "run_seq": seq, "mode": mode, "started_at": started}
@@ -138,20 +136,25 @@ def _run(
     with metrics.stage("write"):
         flat = flatten(inputs, job.star)
         staged = publish.stage(
-            flat, landing, job.guards, job.partition_by, sort_by, job.compression
+            flat,
+            landing,
+            job.guards,
+            job.partition_by,
+            job.output_time,
+            job.output_id,
+            job.compression,
         )
-    found = staged.agg(F.count(F.lit(1)).alias("n"), F.max(job.output_time).alias("last")).first()
     if replacing:
         with metrics.stage("publish"):
             publish.replace_partitions(
-                staged, target, job.partition_by, sort_by, job.compression
+                staged.rows, target, job.partition_by, sort_by, job.compression
             )
     if "csv" in job.formats:
         with metrics.stage("csv"):
-            write_csv(staged, f"{job.base}/csv/run-{seq:08d}", sort_by)
+            write_csv(staged.rows, f"{job.base}/csv/run-{seq:08d}", sort_by)
     if replacing:
         publish.remove(spark, landing)
-    known = [t for t in (found["last"], last["watermark"] if replacing else None) if t]
+    known = [t for t in (staged.last, last["watermark"] if replacing else None) if t]
     ledger.append(
         spark,
         f"{job.base}/volumes",
@@ -159,7 +162,7 @@ def _run(
         [(job.source, mode, seq, rows_in)],
     )
     return RunResult(
-        mode, seq, rows_in, found["n"], version, max(known, default=None), cutoff, checks
+        mode, seq, rows_in, staged.count, version, max(known, default=None), cutoff, checks
     )
 
 

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from starflat.operators.flatten import Star, flatten
-from starflat.operators.guards import enforce_guards, guard_report, require_money
-from starflat.operators.publish import GuardSpec, remove
+from starflat.operators.publish import GuardSpec, remove, stage
 from starflat.operators.sinks import write_parquet
 
 _EVENT_TIME = "_event_time"
@@ -52,6 +51,8 @@ def start_merge(
     base: str,
     id_column: str,
     time_column: str,
+    output_id: str,
+    output_time: str,
     guards: GuardSpec = GuardSpec(),
     delay: str = "7 days",
     partition_by: str = "event_date",
@@ -66,14 +67,15 @@ def start_merge(
         landed_path = f"{base}/landed/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(landed_path)
         landed = spark.read.schema(batch.schema).parquet(landed_path)
-        flat = flatten({**dimensions, star.fact: landed}, star)
-        require_money(flat, guards.money)
-        staged_path = f"{base}/staged/batch_id={batch_id}"
-        write_parquet(flat, staged_path, partition_by)
-        staged = spark.read.schema(flat.schema).parquet(staged_path)
-        enforce_guards(guard_report(staged, guards.masked, guards.hashed))
-        write_parquet(staged, f"{base}/data/batch_id={batch_id}", partition_by)
-        remove(spark, staged_path)
+        if not landed.isEmpty():
+            flat = flatten({**dimensions, star.fact: landed}, star)
+            staged_path = f"{base}/staged/batch_id={batch_id}"
+            staged = stage(
+                flat, staged_path, guards, partition_by, output_time, output_id
+            )
+            target = f"{base}/data/batch_id={batch_id}"
+            write_parquet(staged.rows, target, partition_by, (output_time, output_id))
+            remove(spark, staged_path)
         remove(spark, landed_path)
 
     return (
