@@ -132,8 +132,11 @@ def population_summary(
         "account_id",
         "holder_id",
     )
+    # An account with very many holders still has as many rows, so it is salted.
+    types = accounts.select(F.col("account_id").alias("_account"), "account_type")
+    hot = find_hot_keys(cards, ["account_id"])["account_id"]
     per_member = _sums(
-        per_account.join(accounts.select("account_id", "account_type"), "account_id"),
+        salted_join(per_account, types, "account_id", "_account", hot),
         "holder_id",
         "account_type",
     )

@@ -1,0 +1,148 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from conftest import SALT, at
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from starflat.functions import (
+    as_double,
+    hash_value,
+    iso_utc,
+    local_text,
+    mask_card,
+    mask_email,
+    money,
+    ratio,
+    to_utc,
+)
+
+
+def values(spark, inputs, schema, column):
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(inputs)], f"i INT, x {schema}")
+    return [r[0] for r in df.orderBy("i").select(column.alias("y")).collect()]
+
+
+def test_mask_card_by_length(spark):
+    numbers = [None, "", "1234", "12345", "1234567890", "123456789012", "1234567890123",
+               "123456789012345", "4532123456789012", "1234567890123456789"]
+    assert values(spark, numbers, "STRING", mask_card(F.col("x"))) == [
+        None,
+        "******",
+        "******",
+        "******2345",
+        "******7890",
+        "******9012",
+        "123456******0123",
+        "123456******2345",
+        "453212******9012",
+        "123456******6789",
+    ]
+
+
+@settings(
+    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(st.from_regex(r"\A[0-9]{0,19}\Z"), min_size=1, max_size=20))
+def test_mask_card_hides_the_middle(spark, numbers):
+    for number, masked in zip(numbers, values(spark, numbers, "STRING", mask_card(F.col("x")))):
+        shown = sum(c.isdigit() for c in masked)
+        assert shown <= 10
+        assert len(number) - shown >= min(len(number), 1)
+        if len(number) >= 13:
+            assert masked == number[:6] + "******" + number[-4:]
+
+
+def test_mask_email(spark):
+    emails = [None, "", "plain text", "joao.silva@email.com", "ab@x.com", "a@x.com", "@x.com",
+              "a.b@c@x.com"]
+    assert values(spark, emails, "STRING", mask_email(F.col("x"))) == [
+        "",
+        "****",
+        "****",
+        "joa****@email.com",
+        "a****@x.com",
+        "****@x.com",
+        "****@x.com",
+        "a.b****@x.com",
+    ]
+
+
+def test_hash_goldens(spark):
+    found = values(
+        spark,
+        ["4532123456789012", "joao.silva@email.com", None],
+        "STRING",
+        hash_value(F.col("x"), SALT),
+    )
+    assert found == [
+        "e24c0ab03e584999fc7009f0ff1b39070baaa828c7f27a13ec2df22877c567df",
+        "74219f523b63ade655bf6aa9febb0cae42cfbb2aea1495ca4c4b1eb10e96eb03",
+        None,
+    ]
+
+
+def test_hash_of_null_like_empty(spark):
+    null, empty = values(
+        spark, [None, ""], "STRING", hash_value(F.col("x"), SALT, null_as_empty=True)
+    )
+    assert null == empty and len(null) == 64
+
+
+def test_hash_needs_a_salt():
+    with pytest.raises(ValueError):
+        hash_value(F.lit("x"), "")
+
+
+TIMES = {
+    "2024-10-13 15:30": "2024-10-13 18:30",
+    "2018-11-20 10:00": "2018-11-20 12:00",  # daylight saving
+    "2018-11-04 00:30": "2018-11-04 03:30",  # does not exist on the clock
+    "2018-02-17 23:30": "2018-02-18 01:30",  # exists twice: the earlier one
+    "2024-10-13 22:30": "2024-10-14 01:30",  # next day in UTC
+}
+
+
+@pytest.mark.parametrize("session_zone", ["UTC", "America/Sao_Paulo", "Asia/Tokyo"])
+def test_utc_in_any_session_zone(spark, session_zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", session_zone)
+    try:
+        utc = to_utc(F.col("x"), "America/Sao_Paulo")
+        times = [at(t) for t in TIMES]
+        assert values(spark, times, "TIMESTAMP_NTZ", utc) == [at(t) for t in TIMES.values()]
+        assert values(spark, times, "TIMESTAMP_NTZ", iso_utc(utc)) == [
+            t.replace(" ", "T") + ":00Z" for t in TIMES.values()
+        ]
+        assert values(spark, times[-1:], "TIMESTAMP_NTZ", utc.cast("date")) == [
+            datetime(2024, 10, 14).date()
+        ]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_local_text_drops_fractions(spark):
+    found = values(spark, [at("2024-01-02 03:04:05.678")], "TIMESTAMP_NTZ", local_text(F.col("x")))
+    assert found == ["2024-01-02 03:04:05"]
+
+
+def test_text_that_is_no_number_is_null(spark):
+    number = as_double(F.col("x"), spark.createDataFrame([("1",)], "x STRING").schema["x"].dataType)
+    assert values(spark, ["1.5", "abc", "", None], "STRING", number) == [1.5, None, None, None]
+
+
+def test_dates_have_no_number(spark):
+    schema = spark.createDataFrame([], "d DATE, t TIMESTAMP_NTZ").schema
+    assert all(as_double(F.col(f.name), f.dataType) is None for f in schema.fields)
+
+
+def test_money_is_exact(spark):
+    df = spark.createDataFrame([(0.1,)] * 10, "x DOUBLE").agg(F.sum(money(F.col("x"))))
+    assert str(df.first()[0]) == "1.00"
+
+
+def test_ratio_of_nothing_is_zero(spark):
+    assert values(spark, [0, 4], "INT", ratio(F.lit(1), F.col("x"))) == [0.0, 0.25]

@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from starflat.operators.profile import (
+    column_profile,
+    histogram,
+    null_vector,
+    profile_with_histograms,
+)
+
+
+@pytest.fixture(scope="module")
+def mixed(spark):
+    return spark.createDataFrame(
+        [(1, "10", None, True), (2, "x", None, False), (3, "", None, None), (6, None, None, True)],
+        "n INT, s STRING, z DOUBLE, b BOOLEAN",
+    )
+
+
+def test_profile(mixed):
+    rows = {r["column_name"]: r for r in column_profile(mixed).collect()}
+    n, s, z = rows["n"], rows["s"], rows["z"]
+    assert (n["data_type"], n["total_count"], n["null_count"], n["completeness"]) == (
+        "int",
+        4,
+        0,
+        1.0,
+    )
+    assert (n["numeric_stats"]["min"], n["numeric_stats"]["max"], n["numeric_stats"]["avg"]) == (
+        1.0,
+        6.0,
+        3.0,
+    )
+    assert round(n["numeric_stats"]["std"], 6) == 2.160247
+    assert (s["null_ratio"], s["empty_strings"], s["string_stats"]["avg_length"]) == (0.25, 1, 1.0)
+    assert s["numeric_stats"]["max"] == 10.0
+    assert z["numeric_stats"]["avg"] is None and z["not_null_count"] == 0
+
+
+def test_profile_of_nothing(spark):
+    (row,) = column_profile(spark.createDataFrame([], "n INT")).collect()
+    assert (row["total_count"], row["null_ratio"], row["completeness"]) == (0, 0.0, 0.0)
+
+
+def test_null_vector(mixed):
+    assert null_vector(mixed).first().asDict() == {"n": 0, "s": 1, "z": 4, "b": 1}
+
+
+def test_histogram_includes_the_maximum(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(11)], "x DOUBLE")
+    rows = sorted(tuple(r)[1:] for r in histogram(df, ["x"]).collect())
+    assert rows[0] == (1, 0.0, 1.0, 1)
+    assert rows[-1] == (10, 9.0, 10.0, 2)
+
+
+def test_empty_buckets_are_omitted_and_constants_have_one(spark):
+    df = spark.createDataFrame([(0, 5, None), (100, 5, None)], "x INT, c INT, z INT")
+    rows = sorted(tuple(r) for r in histogram(df, ["x", "c", "z"]).collect())
+    assert rows == [
+        ("c", 1, 5.0, 5.0, 2),
+        ("x", 1, 0.0, 10.0, 1),
+        ("x", 10, 90.0, 100.0, 1),
+    ]
+
+
+def test_text_has_no_histogram_without_numbers(spark):
+    df = spark.sql("SELECT DATE '2024-01-01' AS d")
+    with pytest.raises(ValueError):
+        histogram(df, ["d"])
+
+
+@settings(
+    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    st.lists(
+        st.one_of(st.none(), st.floats(-1e6, 1e6, allow_nan=False)), min_size=1, max_size=40
+    )
+)
+def test_histogram_counts_every_value(spark, numbers):
+    df = spark.createDataFrame([(x,) for x in numbers], "x DOUBLE")
+    rows = histogram(df, ["x"]).collect()
+    assert sum(r["n"] for r in rows) == sum(x is not None for x in numbers)
+    assert all(1 <= r["bucket"] <= 10 for r in rows)
+
+
+def test_profile_with_histograms(mixed):
+    rows = {r["column_name"]: r["histogram"] for r in profile_with_histograms(mixed).collect()}
+    assert sum(b["n"] for b in rows["n"]) == 4
+    assert [b["n"] for b in rows["s"]] == [1]
+    assert rows["z"] is None
