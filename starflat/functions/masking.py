@@ -6,9 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Formats that masked and hashed columns must have.
+PAN_LENGTH = 16
 PAN_PATTERN = r"\b\d{16}\b"
-LONG_MASK_PATTERN = r"^\d{6}\*{6}\d{4}$"
-SHORT_MASK_PATTERN = r"^\*{6}(\d{4})?$"
+MASK_PATTERN = r"^(\d{6}\*{6}\d{4}|\*{6}(\d{4})?)$"
 HASH_PATTERN = r"^[0-9a-f]{64}$"
 STARS = "******"
 

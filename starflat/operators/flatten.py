@@ -35,11 +35,24 @@ class Output:
     build: Callable[[Callable[[str, str], Column]], Column]
 
 
+@dataclass(frozen=True)
+class Derived:
+    """A column added to a table before it is joined.
+
+    For work that is done once per dimension row instead of once per fact row.
+    """
+
+    table: str
+    name: str
+    build: Callable[[], Column]
+
+
 @dataclass(frozen=True)
 class Star:
     fact: str
     links: tuple[Link, ...]
     outputs: tuple[Output, ...]
+    derived: tuple[Derived, ...] = ()
 
 
 def ref(table: str, column: str) -> Column:
@@ -84,7 +97,10 @@ def flatten(
     skew: SkewPolicy | None = SkewPolicy(),
 ) -> DataFrame:
     """The flat table: one row per fact row that finds all its dimensions."""
-    joined = join_star(frames, star.fact, star.links, skew)
+    ready = dict(frames)
+    for column in star.derived:
+        ready[column.table] = ready[column.table].withColumn(column.name, column.build())
+    joined = join_star(ready, star.fact, star.links, skew)
     return joined.select(*(out.build(ref).alias(out.name) for out in star.outputs))
 
 

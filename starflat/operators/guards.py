@@ -7,12 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row, types as T
 from pyspark.sql import functions as F
 
-from starflat.functions.masking import (
-    HASH_PATTERN,
-    LONG_MASK_PATTERN,
-    PAN_PATTERN,
-    SHORT_MASK_PATTERN,
-)
+from starflat.functions.masking import HASH_PATTERN, MASK_PATTERN, PAN_LENGTH, PAN_PATTERN
 from starflat.functions.numbers import MONEY
 from starflat.functions.times import ISO_UTC_PATTERN
 
@@ -38,17 +33,20 @@ def guard_counts(
     """An aggregate: array of ``(guard, column_name, violations)`` over all rows.
 
     NULL and empty values pass. The scan for card numbers covers every string
-    column.
+    column without another guard; values that pass one of those hold none.
     """
     rows = []
     for name in masked:
-        rows.append(_row("mask", name, _broken(name, LONG_MASK_PATTERN, SHORT_MASK_PATTERN)))
+        rows.append(_row("mask", name, _broken(name, MASK_PATTERN)))
     for name in hashed:
         rows.append(_row("hash", name, _broken(name, HASH_PATTERN)))
     for name in iso_times:
         rows.append(_row("iso_time", name, _broken(name, ISO_UTC_PATTERN)))
     if scan_pan:
+        guarded = {*masked, *hashed, *iso_times}
         for name in string_columns(df):
+            if name in guarded:
+                continue
             rows.append(_row("pan", name, has_pan(F.col(name))))
     if not rows:
         raise ValueError("no guards requested")
@@ -76,19 +74,16 @@ def require_money(df: DataFrame, columns: Sequence[str]) -> None:
 
 def has_pan(text: Column) -> Column:
     """A run of exactly sixteen digits anywhere in the text."""
-    return text.rlike(PAN_PATTERN)
+    return (F.length(text) >= PAN_LENGTH) & text.rlike(PAN_PATTERN)
 
 
 def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def _broken(name: str, *patterns: str) -> Column:
-    column = F.col(name)
-    matches = F.lit(False)
-    for pattern in patterns:
-        matches = matches | column.rlike(pattern)
-    return (F.length(column) > 0) & ~matches
+def _broken(name: str, pattern: str) -> Column:
+    # One match per value, the empty string included.
+    return ~F.col(name).rlike(f"^$|{pattern}")
 
 
 def _row(guard: str, name: str, broken: Column) -> Column:

@@ -94,7 +94,9 @@ def replace_partitions(
     compression: str = "snappy",
 ) -> None:
     """The partitions that occur in ``staged`` replace those of ``target``."""
-    write_parquet(staged, target, partition_by, sort_by, compression, dynamic=True)
+    write_parquet(
+        staged, target, partition_by, sort_by, compression, dynamic=True, clustered=True
+    )
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -30,17 +30,20 @@ def write_parquet(
     sort_by: Sequence[str] = (),
     compression: str = "snappy",
     dynamic: bool = False,
+    clustered: bool = False,
 ) -> None:
     """Parquet, partitioned by date.
 
     The rebalance hint brings the rows of a date together, so a date becomes
-    few files, and lets AQE split a date that holds much of the data.
+    few files, and lets AQE split a date that holds much of the data. Rows read
+    from such files are ``clustered`` already and are not shuffled again.
     ``dynamic`` replaces only the partitions that occur in ``df``.
     """
     if compression not in COMPRESSIONS:
         raise ValueError(f"compression must be among {', '.join(COMPRESSIONS)}")
     if partition_by:
-        df = df.hint("rebalance", F.col(partition_by))
+        if not clustered:
+            df = df.hint("rebalance", F.col(partition_by))
         df = df.sortWithinPartitions(partition_by, *sort_by)
     writer = df.write.mode("overwrite").option("compression", compression)
     if partition_by:

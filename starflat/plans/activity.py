@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starflat.functions import hash_value, mask_email, money, to_utc
-from starflat.operators.flatten import Link, Output, Star
+from starflat.operators.flatten import Derived, Link, Output, Star
 from starflat.operators.publish import GuardSpec
 from starflat.plans import bank
 from starflat.plans.runs import FlatJob
@@ -44,14 +44,18 @@ def star(salt: str = bank.DEMO_SALT, zone: str = bank.SOURCE_ZONE) -> Star:
         Output("event_id", lambda t: t("event", "event_id")),
         Output("event_type", lambda t: t("event", "event_type")),
         Output("amount", lambda t: money(t("event", "value"))),
-        Output("event_time", lambda t: to_utc(t("event", "ts"), zone)),
+        Output("event_time", lambda t: t("event", "utc_time")),
         Output("member_name", lambda t: t("member", "member_name")),
-        Output("email_masked", lambda t: mask_email(t("member", "email"))),
+        Output("email_masked", lambda t: t("member", "email_masked")),
         Output("email_hash", lambda t: hash_value(t("member", "email"), salt)),
         Output("nation", lambda t: t("nation", "n_name")),
-        Output("event_date", lambda t: to_utc(t("event", "ts"), zone).cast("date")),
+        Output("event_date", lambda t: t("event", "utc_time").cast("date")),
     )
-    return Star("event", LINKS, outputs)
+    derived = (
+        Derived("member", "email_masked", lambda: mask_email(F.col("email"))),
+        Derived("event", "utc_time", lambda: to_utc(F.col("ts"), zone)),
+    )
+    return Star("event", LINKS, outputs, derived)
 
 
 def job(base: str, lookback_days: int = 7) -> FlatJob:

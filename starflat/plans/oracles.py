@@ -352,8 +352,8 @@ def _pan(table: str, guard_column: str) -> str:
 
 
 _FLAT_STRINGS = (
-    "member_first_name member_last_name email_masked email_hash txn_description txn_time"
-    " card_masked card_hash card_printed_name card_created account_type account_created"
+    "member_first_name member_last_name email_masked txn_description card_printed_name"
+    " account_type"
 ).split()
 _VIEW_STRINGS = (
     "description txn_type card_number card_printed_name account_type member_first_name"
@@ -375,7 +375,9 @@ def _mask_guard() -> str:
         f"SELECT '{g}', '{c}', count(*) FILTER (WHERE length({c}) > 0), 'view' FROM star"
         for g, c in (("mask", "card_number"), ("hash", "member_email"))
     ]
-    rows += [f"SELECT *, 'view' FROM ({_pan('star', c)})" for c in _VIEW_STRINGS]
+    guarded = ("card_number", "member_email")
+    unguarded = [c for c in _VIEW_STRINGS if c not in guarded]
+    rows += [f"SELECT *, 'view' FROM ({_pan('star', c)})" for c in unguarded]
     return _VIEW + " UNION ALL ".join(rows)
 
 

@@ -74,7 +74,9 @@ def start_merge(
                 flat, staged_path, guards, partition_by, output_time, output_id
             )
             target = f"{base}/data/batch_id={batch_id}"
-            write_parquet(staged.rows, target, partition_by, (output_time, output_id))
+            write_parquet(
+                staged.rows, target, partition_by, (output_time, output_id), clustered=True
+            )
             remove(spark, staged_path)
         remove(spark, landed_path)
 

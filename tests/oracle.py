@@ -27,6 +27,11 @@ def compare(spark, sf_dir: str, name: str) -> str | None:
     columns = [d[0] for d in cursor.description]
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(columns)}"
+    types = {d[0]: str(d[1]) for d in cursor.description}
+    mine = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    other = {c: (mine[c], t) for c, t in types.items() if _spark_type(t) != mine[c]}
+    if other:
+        return f"types {other}"
     order = [columns.index(c) for c in df.columns]
     wanted = [tuple(row[i] for i in order) for row in cursor.fetchall()]
     mine = sorted(map(_text, found))
@@ -39,6 +44,18 @@ def compare(spark, sf_dir: str, name: str) -> str | None:
     return None
 
 
+# Names of the same type.
+_TYPES = {
+    "INTEGER": "int",
+    "VARCHAR": "string",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
+def _spark_type(duck_type: str) -> str:
+    return _TYPES.get(duck_type, duck_type.lower())
+
+
 def _text(row: tuple) -> tuple[str, ...]:
     return tuple(_value(v) for v in row)
 
