@@ -12,6 +12,9 @@ from starflat.functions.numbers import MONEY
 from starflat.functions.times import ISO_UTC_PATTERN
 
 
+_NO_GUARDS = "array<struct<guard:string,column_name:string,violations:bigint>>"
+
+
 class GuardViolation(Exception):
     """Output rows broke a guard; ``report`` holds the guards that failed."""
 
@@ -48,9 +51,7 @@ def guard_counts(
             if name in guarded:
                 continue
             rows.append(_row("pan", name, has_pan(F.col(name))))
-    if not rows:
-        raise ValueError("no guards requested")
-    return F.array(*rows)
+    return F.array(*rows) if rows else F.array().cast(_NO_GUARDS)
 
 
 def guard_report(df: DataFrame, **guards) -> DataFrame:

@@ -5,8 +5,8 @@ its state entry is appended; before that readers see the previous version. An
 increment is staged, checked, and then replaces whole date partitions of the
 current version; running it again replaces them with the same rows.
 
-Folder layout: ``data/<version>``, ``staging/<run>``, ``state``, ``volumes``,
-``metrics``.
+Folder layout: ``data/<version>``, ``schema/<version>``, ``staging/<run>``,
+``state``, ``volumes``, ``metrics``.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from starflat.operators.guards import enforce_guards, guard_counts, require_money
 from starflat.operators.ledger import STATE_SCHEMA, last_success, read_log
-from starflat.operators.sinks import write_parquet
+from starflat.operators.sinks import read_schema, write_parquet
 
 
 @dataclass(frozen=True)
@@ -40,12 +40,17 @@ def version_path(base: str, version: str) -> str:
     return f"{base}/data/{version}"
 
 
+def schema_path(base: str, version: str) -> str:
+    return f"{base}/schema/{version}"
+
+
 def read_published(spark: SparkSession, base: str, source: str) -> DataFrame:
     """The current version of the table; raises if nothing was published."""
     state = last_success(spark, state_path(base), source)
     if state is None or state["version"] is None:
         raise LookupError(f"nothing published under {base}")
-    return spark.read.parquet(version_path(base, state["version"]))
+    schema = read_schema(spark, schema_path(base, state["version"]))
+    return spark.read.schema(schema).parquet(version_path(base, state["version"]))
 
 
 @dataclass(frozen=True)
@@ -119,4 +124,5 @@ def drop_old_versions(spark: SparkSession, base: str, source: str, keep: int = 2
     old = [row["version"] for row in published.collect()[keep:] if row["version"]]
     for version in old:
         remove(spark, version_path(base, version))
+        remove(spark, schema_path(base, version))
     return old

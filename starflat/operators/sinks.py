@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from starflat.functions import iso_utc
@@ -99,6 +100,10 @@ def write_schema(df: DataFrame, path: str) -> None:
     ).text(path)
 
 
+def read_schema(spark: SparkSession, path: str) -> T.StructType:
+    return T.StructType.fromJson(json.loads(spark.read.text(path).first()[0]))
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """A report as JSON lines."""
     df.write.mode("overwrite").json(path)

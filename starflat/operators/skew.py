@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
 MAX_SALTS = 1 << 16
@@ -20,10 +20,15 @@ MAX_SALTS = 1 << 16
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """When a key counts as hot, and how finely it is split."""
+    """When a key counts as hot (both limits), and how finely it is split.
+
+    ``rows_per_salt`` is far below ``min_rows``: many salts hash evenly over the
+    shuffle partitions, few would collide.
+    """
 
     share: float = 0.005
-    rows_per_salt: int = 1_000_000
+    min_rows: int = 1_000_000
+    rows_per_salt: int = 100_000
     tracked_items: int = 8192
 
     @property
@@ -54,7 +59,7 @@ def find_hot_keys(
             for c in columns
         ),
     ).first()
-    smallest = max(policy.share * row["total_rows"], policy.rows_per_salt)
+    smallest = max(policy.share * row["total_rows"], policy.min_rows)
     found = {}
     for name in columns:
         salts = {
@@ -82,7 +87,8 @@ def salted_join(
     if not hot:
         return left.join(right, match, how)
     # The salt is a hash of the row, so a recomputed task salts it the same way.
-    spread = F.xxhash64(*left.columns)
+    hashable = [f.name for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
+    spread = F.xxhash64(*hashable)
     salted_left = left.withColumn(
         "_salt", F.pmod(spread, _salt_count(left_key, hot).cast("bigint")).cast("int")
     )

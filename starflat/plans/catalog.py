@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
-from starflat.functions import as_double, local_text
+from starflat.functions import local_text
 from starflat.operators import checks, constraints, guards, ledger, profile, publish, reports, sinks
 from starflat.operators.flatten import flatten
+from starflat.operators.metrics import read_metrics
 from starflat.plans import activity, bank
 from starflat.plans.runs import run
 from starflat.session import shared_dir
@@ -38,17 +39,13 @@ def star_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joined tables with every column as text and times in local format."""
     view = star_view(spark, sf_dir)
-    return view.select(
-        *(
-            (local_text(F.col(f.name)) if f.name in _times(view) else F.col(f.name).cast("string"))
-            .alias(f.name)
-            for f in view.schema.fields
-        )
-    )
-
-
-def _times(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+    texts = {
+        f.name: local_text(F.col(f.name))
+        if isinstance(f.dataType, T.TimestampNTZType)
+        else F.col(f.name).cast("string")
+        for f in view.schema.fields
+    }
+    return view.select(*(text.alias(name) for name, text in texts.items()))
 
 
 def account_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +53,7 @@ def account_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts whose key no supplier has, and other references without a target."""
+    """References without a target: a sound one, and two that look up the wrong table."""
     part = read_table(spark, sf_dir, "part")
     supplier = read_table(spark, sf_dir, "supplier")
     lineitem = read_table(spark, sf_dir, "lineitem")
@@ -519,8 +516,6 @@ def synthetic_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What one full load records about itself, without times."""
-    from starflat.operators.metrics import read_metrics
-
     base = shared_dir(spark, "metrics")
     run(spark, activity.frames(spark, sf_dir), activity.job(base), "full")
     names = ("rows_in", "rows_out", "yield_percent", "output_columns")

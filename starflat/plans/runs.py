@@ -13,7 +13,7 @@ from starflat.operators.checks import Check, gate, run_suites, volume_check
 from starflat.operators.flatten import Star, flatten
 from starflat.operators.metrics import RunMetrics
 from starflat.operators.publish import GuardSpec
-from starflat.operators.sinks import write_csv
+from starflat.operators.sinks import parse_formats, write_csv, write_schema
 from starflat.sources.incremental import cutoff_date, slice_since
 
 MODES = ("full", "incremental")
@@ -21,7 +21,11 @@ MODES = ("full", "incremental")
 
 @dataclass(frozen=True)
 class FlatJob:
-    """A flat table under ``base``; the fact alone advances by watermark."""
+    """A flat table under ``base``; the fact alone advances by watermark.
+
+    The table itself is Parquet; ``formats`` with ``csv`` adds the rows of each run
+    as CSV.
+    """
 
     base: str
     star: Star
@@ -35,7 +39,7 @@ class FlatJob:
     suites: Mapping[str, list[Check]] = field(default_factory=dict)
     volume_tolerance: float = 0.5
     compression: str = "snappy"
-    formats: tuple[str, ...] = ("parquet",)
+    formats: str = "parquet"
 
     @property
     def source(self) -> str:
@@ -115,7 +119,7 @@ def _run(
     seq: int,
     metrics: RunMetrics,
 ) -> RunResult:
-    replacing = mode == "incremental" and last is not None and last["version"] is not None
+    replacing = mode == "incremental" and last is not None and last["watermark"] is not None
     cutoff = cutoff_date(last["watermark"], job.lookback_days) if replacing else None
     # Dimensions are read whole: a fact row of the slice may refer to any of them.
     fact = slice_since(frames[job.source], job.source_time, job.zone, cutoff)
@@ -133,6 +137,7 @@ def _run(
     target = publish.version_path(job.base, version)
     landing = f"{job.base}/staging/run-{seq:08d}" if replacing else target
     sort_by = (job.output_time, job.output_id)
+    formats = parse_formats(job.formats)
     with metrics.stage("write"):
         flat = flatten(inputs, job.star)
         staged = publish.stage(
@@ -149,11 +154,13 @@ def _run(
             publish.replace_partitions(
                 staged.rows, target, job.partition_by, sort_by, job.compression
             )
-    if "csv" in job.formats:
+    if "csv" in formats:
         with metrics.stage("csv"):
             write_csv(staged.rows, f"{job.base}/csv/run-{seq:08d}", sort_by)
     if replacing:
         publish.remove(spark, landing)
+    else:
+        write_schema(staged.rows, publish.schema_path(job.base, version))
     known = [t for t in (staged.last, last["watermark"] if replacing else None) if t]
     ledger.append(
         spark,

@@ -41,15 +41,20 @@ def read_csv(
     schema: T.StructType,
     delimiter: str = ",",
     encoding: str = "UTF-8",
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header row and a given schema: no extra pass to infer types."""
+    """CSV with a header row and a given schema: no extra pass to infer types.
+
+    ``multi_line`` is needed where text holds line breaks; a file is then read by
+    one task.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("sep", delimiter)
         .option("encoding", encoding)
         .option("escape", '"')
-        .option("multiLine", False)
+        .option("multiLine", multi_line)
         .csv(path)
     )
 

@@ -11,7 +11,7 @@ from starflat.operators.flatten import Link, flatten, join_star
 from starflat.operators.skew import HotKeys, SkewPolicy, find_hot_keys, salted_join
 from starflat.plans import bank
 
-EAGER = SkewPolicy(share=0.1, rows_per_salt=1)
+EAGER = SkewPolicy(share=0.1, min_rows=1, rows_per_salt=1)
 
 
 @pytest.fixture(scope="module")
@@ -89,9 +89,10 @@ def skewed(spark, hot: int = 400, rest: int = 200):
 
 def test_hot_keys_are_found(spark):
     left, _ = skewed(spark)
-    hot = find_hot_keys(left, ["k"], SkewPolicy(share=0.1, rows_per_salt=100))["k"]
+    hot = find_hot_keys(left, ["k"], SkewPolicy(share=0.1, min_rows=100, rows_per_salt=100))["k"]
     assert hot.salts == {1: 4}
     assert find_hot_keys(left, ["k"])["k"].salts == {}
+    assert find_hot_keys(left, ["k"], SkewPolicy(share=0.1, min_rows=50))["k"].null_salts == 2
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])

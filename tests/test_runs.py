@@ -174,9 +174,20 @@ def test_volume_history_is_kept_per_mode(spark, tiny, folder):
 
 
 def test_csv_beside_parquet(spark, tiny, folder):
-    run(spark, tiny, make_job(folder, formats=("parquet", "csv")), "full")
+    run(spark, tiny, make_job(folder, formats="parquet,csv"), "full")
     lines = [x for p in Path(folder, "csv").rglob("*.csv") for x in p.read_text().splitlines()]
     assert sum("2024-10-13T18:30:00Z" in line for line in lines) == 1
+    schema = spark.read.text(f"{folder}/schema/v00000001").first()[0]
+    assert "card_masked" in schema
+    with pytest.raises(ValueError):
+        run(spark, tiny, make_job(folder, formats="orc"), "full")
+
+
+def test_facts_without_dimensions_give_an_empty_table(spark, tiny, folder):
+    lost = {**tiny, "card": tiny["card"].limit(0)}
+    result = run(spark, lost, make_job(folder, suites={}), "full")
+    assert (result.rows_in, result.rows_out, result.watermark) == (4, 0, None)
+    assert published(spark, folder) == []
 
 
 def test_mode_is_an_argument(spark, tiny, folder):
