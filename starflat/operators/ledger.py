@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, types as T
 from pyspark.sql import functions as F
@@ -16,6 +17,14 @@ from pyspark.sql import functions as F
 # How a run can stand.
 STATUSES = ("running", "success", "failed")
 
+_ARROW_TYPES = {
+    "bigint": pa.int64(),
+    "double": pa.float64(),
+    "map<string,string>": pa.map_(pa.string(), pa.string()),
+    "string": pa.string(),
+    "timestamp_ntz": pa.timestamp("us"),
+}
+
 STATE_SCHEMA = T.StructType(
     [
         T.StructField("source", T.StringType(), False),
@@ -42,7 +51,15 @@ VOLUME_SCHEMA = T.StructType(
 
 
 def append(spark: SparkSession, path: str, schema: T.StructType, rows: Iterable[tuple]) -> None:
-    spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(path)
+    """The few ``rows`` as one file. An Arrow table is a local relation for Spark,
+    which starts without Python rows being sent to tasks.
+    """
+    names = schema.fieldNames()
+    table = pa.Table.from_pylist(
+        [dict(zip(names, row)) for row in rows],
+        pa.schema([(f.name, _ARROW_TYPES[f.dataType.simpleString()]) for f in schema.fields]),
+    )
+    spark.createDataFrame(table, schema).coalesce(1).write.mode("append").parquet(path)
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
