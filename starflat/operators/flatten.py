@@ -96,7 +96,11 @@ def flatten(
     star: Star,
     skew: SkewPolicy | None = SkewPolicy(),
 ) -> DataFrame:
-    """The flat table: one row per fact row that finds all its dimensions."""
+    """The flat table: one row per fact row that finds all its dimensions.
+
+    The frame is lazy, but the search for hot keys runs now: one narrow job per
+    table that refers to others.
+    """
     ready = dict(frames)
     for column in star.derived:
         ready[column.table] = ready[column.table].withColumn(column.name, column.build())

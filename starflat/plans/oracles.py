@@ -100,7 +100,6 @@ SELECT table_name, check_name, column_name,
 FROM counted
 """
 
-_LATE_DAYS = "CAST(event_id % {delay} AS INTEGER)"
 _ARRIVED = "CAST(ts AS DATE) + CAST(event_id % {delay} AS INTEGER) <= DATE '{day}'"
 
 

@@ -149,18 +149,20 @@ def _run(
             job.output_id,
             job.compression,
         )
-    if replacing:
-        with metrics.stage("publish"):
-            publish.replace_partitions(
-                staged.rows, target, job.partition_by, sort_by, job.compression
-            )
-    if "csv" in formats:
-        with metrics.stage("csv"):
-            write_csv(staged.rows, f"{job.base}/csv/run-{seq:08d}", sort_by)
-    if replacing:
-        publish.remove(spark, landing)
-    else:
-        write_schema(staged.rows, publish.schema_path(job.base, version))
+    try:
+        if replacing:
+            with metrics.stage("publish"):
+                publish.replace_partitions(
+                    staged.rows, target, job.partition_by, sort_by, job.compression
+                )
+        else:
+            write_schema(staged.rows, publish.schema_path(job.base, version))
+        if "csv" in formats:
+            with metrics.stage("csv"):
+                write_csv(staged.rows, f"{job.base}/csv/run-{seq:08d}", sort_by)
+    finally:
+        if replacing:
+            publish.remove(spark, landing)
     known = [t for t in (staged.last, last["watermark"] if replacing else None) if t]
     ledger.append(
         spark,

@@ -49,7 +49,9 @@ def synthetic_accounts(members: DataFrame, seed: int, reference_date: str) -> Da
 
 def synthetic_cards(accounts: DataFrame, seed: int) -> DataFrame:
     """One or two cards (60 : 40) per account, held by the account's owner."""
-    drawn = accounts.select("account_id", "member_id", "created", _digest(seed, "cards", "account_id"))
+    drawn = accounts.select(
+        "account_id", "member_id", "created", _digest(seed, "cards", "account_id")
+    )
     count = F.when(_draw(0, 100) < 60, 1).otherwise(2)
     children = drawn.select(
         "account_id",

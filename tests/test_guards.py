@@ -15,7 +15,8 @@ from starflat.plans import bank
 
 
 def counts(df, **guards):
-    return {(r["guard"], r["column_name"]): r["violations"] for r in guard_report(df, **guards).collect()}
+    rows = guard_report(df, **guards).collect()
+    return {(r["guard"], r["column_name"]): r["violations"] for r in rows}
 
 
 def test_flat_table_is_safe(tiny):

@@ -79,9 +79,8 @@ def test_a_hot_date_is_split_into_several_files(spark, folder):
         df = spark.range(0, 60_000, 1, 8).select(
             "id",
             F.sha2(F.col("id").cast("string"), 256).alias("payload"),
-            F.when(F.col("id") % 3 == 0, F.lit("2024-01-01"))
-            .otherwise(F.concat(F.lit("2024-02-"), F.lpad((F.col("id") % 20 + 1).cast("string"), 2, "0")))
-            .cast("date")
+            F.when(F.col("id") % 3 == 0, F.lit("2024-01-01").cast("date"))
+            .otherwise(F.date_add(F.lit("2024-02-01").cast("date"), (F.col("id") % 20).cast("int")))
             .alias("event_date"),
         )
         write_parquet(df, folder, sort_by=("id",))
