@@ -292,6 +292,28 @@ def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile with histograms as a JSON report, read back."""
+    path = shared_dir(spark, "report")
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", "o_orderstatus", "o_orderdate"
+    )
+    report = profile.profile_with_histograms(orders)
+    sinks.write_json(report, path)
+    stored = spark.read.schema(report.schema).json(path)
+    counted = F.aggregate(
+        "histogram", F.lit(0).cast("bigint"), lambda total, bucket: total + bucket["n"]
+    )
+    return stored.select(
+        "column_name",
+        "data_type",
+        "total_count",
+        "null_count",
+        F.coalesce(F.array_size("histogram"), F.lit(0)).alias("buckets"),
+        F.coalesce(counted, F.lit(0)).cast("bigint").alias("bucket_rows"),
+    )
+
+
 def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = read_table(spark, sf_dir, "lineitem").withColumn("constant", F.lit(7))
     found = profile.histogram(lineitem, ["l_extendedprice", "l_quantity", "constant"])
@@ -559,6 +581,7 @@ QUERIES: dict[str, Query] = {
         suite_gate,
         constraint_report,
         column_profile,
+        quality_report,
         histogram,
         output_profile,
         pan_scan,

@@ -143,6 +143,19 @@ def _histogram(column: str) -> str:
     GROUP BY b, lo, hi"""
 
 
+def _reported(column: str, data_type: str, numeric: bool) -> str:
+    buckets, rows = "0", "CAST(0 AS BIGINT)"
+    if numeric:
+        lo, hi = f"(SELECT min({column}) FROM orders)", f"(SELECT max({column}) FROM orders)"
+        place = f"least(floor(10.0 * ({column} - {lo}) / ({hi} - {lo})), 9)"
+        buckets, rows = f"count(DISTINCT {place})", f"count({column})"
+    return f"""
+    SELECT '{column}' AS column_name, '{data_type}' AS data_type, count(*) AS total_count,
+           count(*) - count({column}) AS null_count, CAST({buckets} AS INTEGER) AS buckets,
+           {rows} AS bucket_rows
+    FROM orders"""
+
+
 def _partitions(role: str, table: str, key: str, low: int, high: int, small: int) -> str:
     return f"""
     SELECT '{role}' AS role, lo AS lower_bound, hi AS upper_bound,
@@ -571,6 +584,14 @@ ORACLES: dict[str, str] = {
             _profile('prices', 'price_text', 'TRY_CAST(price_text AS DOUBLE)', True),
             _profile('prices', 'o_totalprice', 'o_totalprice', False),
         ))}""",
+    "quality_report": " UNION ALL ".join(
+        (
+            _reported("o_orderkey", "bigint", True),
+            _reported("o_totalprice", "double", True),
+            _reported("o_orderstatus", "string", False),
+            _reported("o_orderdate", "timestamp_ntz", False),
+        )
+    ),
     "histogram": f"""{_histogram('l_extendedprice')} UNION ALL {_histogram('l_quantity')}
         UNION ALL SELECT 'constant', 1, 7.0, 7.0, count(*) FROM lineitem""",
     "output_profile": f"""{_FLAT}

@@ -10,13 +10,28 @@ from pyspark.sql import SparkSession
 _LOCAL_ROOTS: dict[str, str] = {}
 
 
+PARTITION_BYTES = 256 * 1024**2
+MIN_PARTITIONS, MAX_PARTITIONS = 200, 100_000
+
+
+def initial_partitions(shuffle_bytes: int) -> int:
+    """Partitions a shuffle of this size starts with, before AQE merges small ones."""
+    return max(MIN_PARTITIONS, min(MAX_PARTITIONS, -(-shuffle_bytes // PARTITION_BYTES)))
+
+
 def build_session(
-    app_name: str = "starflat", master: str | None = None, **settings: str
+    app_name: str = "starflat",
+    master: str | None = None,
+    shuffle_bytes: int | None = None,
+    **settings: str,
 ) -> SparkSession:
     """A session with the settings the package is designed for.
 
-    ``spark.sql.shuffle.partitions`` is left to the cluster: AQE coalesces and
-    splits partitions by their measured size.
+    AQE merges small partitions but splits only skewed ones, so a large load needs
+    enough of them from the start: give ``shuffle_bytes``, the expected size of the
+    largest shuffle. It sets the start value of AQE and leaves
+    ``spark.sql.shuffle.partitions`` alone, which fixes the state partitions of a
+    stream for good.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -29,6 +44,9 @@ def build_session(
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
     }
+    if shuffle_bytes is not None:
+        key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+        defaults[key] = str(initial_partitions(shuffle_bytes))
     for key, value in {**defaults, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

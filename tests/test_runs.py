@@ -147,6 +147,26 @@ def test_rejected_input_publishes_nothing(spark, tiny, folder):
     assert errors.first()["labels"]["error"] == "Rejected"
 
 
+def test_a_crash_before_the_state_entry_is_repaired(spark, tiny, folder, monkeypatch):
+    job = make_job(folder)
+    rows = [(1, "2024-02-01 10:00"), (2, "2024-02-02 10:00")]
+    run(spark, with_rows(spark, tiny, rows[:1]), job, "incremental")
+    append_state = ledger.append_state
+
+    def crash(*args, **entry):
+        if entry["status"] == "success":
+            raise OSError("lost")
+        append_state(*args, **entry)
+
+    monkeypatch.setattr(ledger, "append_state", crash)
+    with pytest.raises(OSError):
+        run(spark, with_rows(spark, tiny, rows), job, "incremental")
+    monkeypatch.undo()
+    result = run(spark, with_rows(spark, tiny, rows), job, "incremental")
+    assert result.cutoff == date(2024, 1, 25)
+    assert published(spark, folder) == [1, 2]
+
+
 def test_a_leak_keeps_the_published_version(spark, tiny, folder):
     job = make_job(folder)
     run(spark, tiny, job, "full")

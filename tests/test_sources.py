@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -65,6 +67,50 @@ def test_bounds_are_a_subquery():
     )
 
 
+class Reader:
+    """Stands in for ``spark.read``: records options, hands out prepared frames."""
+
+    def __init__(self, *frames):
+        self.frames = list(frames)
+        self.calls = []
+
+    def format(self, name):
+        assert name == "jdbc"
+        return self
+
+    def options(self, **options):
+        self.calls.append(options)
+        return self
+
+    def load(self):
+        return self.frames.pop(0)
+
+
+def test_jdbc_reads_bounds_then_ranges(spark):
+    bounds = spark.createDataFrame([(1, 50_000)], "LOWER_BOUND INT, UPPER_BOUND INT")
+    reader = Reader(bounds, "table")
+    session = SimpleNamespace(read=reader)
+    policy = POLICIES["transaction"]
+    assert jdbc.read_partitioned(session, SOURCE, "txn", "id", policy) == "table"
+    assert reader.calls[0]["dbtable"] == jdbc.bounds_query("txn", "id")
+    assert reader.calls[1]["dbtable"] == "txn"
+    assert reader.calls[1]["numPartitions"] == "8"
+    assert reader.calls[1]["upperBound"] == "50001"
+
+
+def test_jdbc_reads_an_empty_table_in_one_partition(spark):
+    bounds = spark.createDataFrame([(None, None)], "LOWER_BOUND INT, UPPER_BOUND INT")
+    reader = Reader(bounds, "table")
+    jdbc.read_partitioned(SimpleNamespace(read=reader), SOURCE, "txn", "id", POLICIES["card"])
+    assert "numPartitions" not in reader.calls[1]
+
+
+def test_jdbc_probe(spark):
+    jdbc.probe(SimpleNamespace(read=Reader(spark.range(1))), SOURCE)
+    with pytest.raises(ConnectionError):
+        jdbc.probe(SimpleNamespace(read=Reader(spark.range(0))), SOURCE)
+
+
 @pytest.mark.parametrize("name", ["t; DROP TABLE x", "t WHERE 1=1", "", "a.b.c", "1t"])
 def test_names_are_checked(name):
     with pytest.raises(ValueError):

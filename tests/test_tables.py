@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
-from starflat.session import shared_dir
+from starflat.session import initial_partitions, shared_dir
 from starflat.sources.tables import (
     TABLES,
     SchemaMismatch,
@@ -55,6 +55,13 @@ def test_plain_comparison_and_point_lookup(tiny):
     assert tiny["member"].filter("member_id = 2").first()["first_name"] == "Maria"
 
 
+@pytest.mark.parametrize(
+    ("size", "expected"), [(0, 200), (10 * 1024**4, 40_960), (100 * 1024**4, 100_000)]
+)
+def test_initial_partitions(size, expected):
+    assert initial_partitions(size) == expected
+
+
 def test_shared_dir_follows_the_setting(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     path = shared_dir(spark, "x")
