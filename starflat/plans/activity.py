@@ -6,6 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starflat.functions import hash_value, mask_email, money, to_utc
+from starflat.operators.checks import (
+    Check,
+    completeness_check,
+    consistency_check,
+    duplicate_check,
+    extreme_check,
+    negative_check,
+    null_check,
+)
 from starflat.operators.flatten import Derived, Link, Output, Star
 from starflat.operators.publish import GuardSpec
 from starflat.plans import bank
@@ -58,6 +67,20 @@ def star(salt: str = bank.DEMO_SALT, zone: str = bank.SOURCE_ZONE) -> Star:
     return Star("event", LINKS, outputs, derived)
 
 
+def suites() -> dict[str, list[Check]]:
+    """The checks of a run; the run adds the volume check of the events."""
+    return {
+        "event": [
+            completeness_check(["event_id", "ts", "user_id", "value"]),
+            null_check("user_id"),
+            negative_check("value"),
+            extreme_check("value", bank.AMOUNT_LOW, bank.AMOUNT_HIGH),
+            duplicate_check(["event_id"]),
+        ],
+        "member": [consistency_check("email")],
+    }
+
+
 def job(base: str, lookback_days: int = 7) -> FlatJob:
     return FlatJob(
         base=base,
@@ -68,6 +91,7 @@ def job(base: str, lookback_days: int = 7) -> FlatJob:
         zone=bank.SOURCE_ZONE,
         lookback_days=lookback_days,
         guards=GUARDS,
+        suites=suites(),
     )
 
 

@@ -540,11 +540,17 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What one full load records about itself, without times."""
     base = shared_dir(spark, "metrics")
     run(spark, activity.frames(spark, sf_dir), activity.job(base), "full")
-    names = ("rows_in", "rows_out", "yield_percent", "output_columns")
+    names = ("rows_in", "rows_out", "yield_percent", "output_columns", "checks")
+    labels = F.col("labels")
     return (
         read_metrics(spark, f"{base}/metrics")
         .filter(F.col("name").isin(*names))
-        .select("name", "value", F.col("labels")["mode"].alias("mode"))
+        .select(
+            "name",
+            "value",
+            labels["mode"].alias("mode"),
+            F.coalesce(labels["status"], F.lit("")).alias("status"),
+        )
     )
 
 

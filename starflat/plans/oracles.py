@@ -631,9 +631,23 @@ ORACLES: dict[str, str] = {
     "synthetic_cards": f"{_SYNTHETIC} SELECT * FROM card",
     "synthetic_transactions": f"{_SYNTHETIC} SELECT * FROM txn",
     "run_metrics": """
-        SELECT name, value, 'full' AS mode FROM (
-          SELECT 'rows_in' AS name, CAST(count(*) AS DOUBLE) AS value FROM events
-          UNION ALL SELECT 'rows_out', CAST(count(*) AS DOUBLE) FROM events
-          UNION ALL SELECT 'yield_percent', 100.0
-          UNION ALL SELECT 'output_columns', 9.0)""",
+        WITH broken(status, failing) AS (
+          SELECT 'FAIL', count(*) FILTER (WHERE user_id IS NULL) * 1.0 / count(*) > 0.01
+          FROM events
+          UNION ALL SELECT 'WARN', min(value) < 0 FROM events
+          UNION ALL SELECT 'WARN', min(value) < 0.01 OR max(value) > 100000 FROM events
+          UNION ALL SELECT 'FAIL', count(DISTINCT event_id) < count(*) FROM events
+          UNION ALL SELECT 'FAIL', count(*) FILTER (WHERE coalesce(c_name, '') = '') > 0
+          FROM customer
+          UNION ALL SELECT 'FAIL', false
+          UNION ALL SELECT 'WARN', false),
+        found AS (SELECT CASE WHEN failing THEN status ELSE 'PASS' END AS status FROM broken)
+        SELECT name, value, 'full' AS mode, status FROM (
+          SELECT 'rows_in' AS name, CAST(count(*) AS DOUBLE) AS value, '' AS status FROM events
+          UNION ALL SELECT 'rows_out', CAST(count(*) AS DOUBLE), '' FROM events
+          UNION ALL SELECT 'yield_percent', 100.0, ''
+          UNION ALL SELECT 'output_columns', 9.0, ''
+          UNION ALL SELECT 'checks', CAST(count(f.status) AS DOUBLE), s.status
+          FROM (VALUES ('PASS'), ('WARN'), ('FAIL')) s(status)
+          LEFT JOIN found f ON f.status = s.status GROUP BY s.status)""",
 }
