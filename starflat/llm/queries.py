@@ -6,16 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starflat.llm import simhash
+from starflat.llm import secrets, sharding, simhash
 from starflat.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(read(spark, sf_dir, "documents")))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES: dict[str, Query] = {"op3_simhash": op3_simhash}
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(read(spark, sf_dir, "documents"))
+
+
+LLM_QUERIES: dict[str, Query] = {
+    "op1_secrets": op1_secrets,
+    "op3_simhash": op3_simhash,
+    "op6_sharding": op6_sharding,
+}
 
 LLM_ORACLES: dict[str, str] = {}
