@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starflat.llm import secrets, sharding, simhash
+from starflat.llm import packing, secrets, sharding, simhash
 from starflat.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,16 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(read(spark, sf_dir, "documents")))
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), vocabulary())
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -26,6 +36,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
+    "op2_packing": op2_packing,
     "op3_simhash": op3_simhash,
     "op6_sharding": op6_sharding,
 }
