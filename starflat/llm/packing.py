@@ -5,7 +5,6 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,13 +30,6 @@ MIN_BUCKETS, MAX_BUCKETS = 256, 4096
 # -- pieces of tokenised documents -------------------------------------------------
 
 
-@lru_cache(maxsize=1)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
 class _WordIds:
     """Ids of texts through a table of the words seen so far.
 
@@ -47,7 +39,9 @@ class _WordIds:
     """
 
     def __init__(self, path: str) -> None:
-        self.path = path
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, text: bytes) -> bytes:
@@ -59,7 +53,7 @@ class _WordIds:
         if len(self.known) > KEPT_WORDS:
             self.known = {}
         new = [w for w in dict.fromkeys(words) if w not in self.known]
-        encoded = _tokenizer(self.path).encode_batch(
+        encoded = self.tokenizer.encode_batch(
             [w.decode("utf-8", "replace") for w in new], add_special_tokens=False
         )
         for word, found in zip(new, encoded):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starflat.llm import packing, secrets, sharding, simhash
+from starflat.llm import packing, secrets, sharding, simhash, toxicity
 from starflat.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,11 +34,16 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
     "op2_packing": op2_packing,
     "op3_simhash": op3_simhash,
     "op6_sharding": op6_sharding,
+    "op10_toxicity": op10_toxicity,
 }
 
 LLM_ORACLES: dict[str, str] = {}
