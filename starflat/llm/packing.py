@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -17,8 +18,8 @@ from starflat.llm.common import byte_rows, numbered, staged, texts
 CAPACITY = 2048
 ID_BYTES = 4
 END_OF_DOCUMENT = 0
-# Words whose ids a task keeps; beyond that it starts afresh.
-KEPT_WORDS = 400_000
+# Words and runs whose ids a task keeps; beyond that it starts afresh.
+KEPT_WORDS = 600_000
 # Effort of the search below the incumbent, and of one enumeration of fillings.
 SEARCH_NODES = 4_000
 FILLINGS = 8
@@ -30,8 +31,23 @@ MIN_BUCKETS, MAX_BUCKETS = 256, 4096
 # -- pieces of tokenised documents -------------------------------------------------
 
 
-class _WordIds:
-    """Ids of texts through a table of the words seen so far.
+class _Runs(dict):
+    """Ids of the runs that the tokenizer splits a word into, found on first use."""
+
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.bytes_of = [i.to_bytes(ID_BYTES, "little") for i in range(tokenizer.get_vocab_size())]
+
+    def __missing__(self, run: str) -> bytes:
+        # The tokenizer's own steps after normalisation, without its bookkeeping.
+        parts = [run] if run.isascii() else [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(run)]
+        tokens = [token for part in parts for token in self.model.tokenize(part)]
+        found = self[run] = b"".join([self.bytes_of[token.id] for token in tokens])
+        return found
+
+
+class _Words(dict):
+    """Ids of words as UTF-8 bytes, found on first use.
 
     The tokenizer drops white space and never joins across it, so a text's ids
     are those of its words, one after another. Words are split at ASCII white
@@ -39,26 +55,33 @@ class _WordIds:
     """
 
     def __init__(self, path: str) -> None:
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.runs = _Runs(self.tokenizer)
+        settings = json.loads(self.tokenizer.to_str())
+        splits = settings["pre_tokenizer"]["pretokenizers"]
+        self.split = regex.compile(splits[0]["pattern"]["Regex"]).findall
+        self.special = [t["content"] for t in settings["added_tokens"]]
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        if not text.isprintable() or any(mark in text for mark in self.special):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            found = np.array(ids, "<u4").tobytes()
+        else:
+            plain = text.lower() if text.isascii() else self.tokenizer.normalizer.normalize_str(text)
+            found = b"".join([self.runs[run] for run in self.split(plain)])
+        self[word] = found
+        return found
 
     def encode(self, text: bytes) -> bytes:
-        words = text.split()
-        try:
-            return b"".join([self.known[w] for w in words])
-        except KeyError:
-            pass
-        if len(self.known) > KEPT_WORDS:
-            self.known = {}
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
-        encoded = self.tokenizer.encode_batch(
-            [w.decode("utf-8", "replace") for w in new], add_special_tokens=False
-        )
-        for word, found in zip(new, encoded):
-            self.known[word] = np.array(found.ids, "<u4").tobytes()
-        return b"".join([self.known[w] for w in words])
+        if len(self) > KEPT_WORDS:
+            self.clear()
+        if len(self.runs) > KEPT_WORDS:
+            self.runs.clear()
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
@@ -71,7 +94,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
     end = np.array([END_OF_DOCUMENT], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _WordIds(vocabulary)
+        words = _Words(vocabulary)
         for keys, rows in byte_rows(batches):
             where, starts, lengths, sums = [], [], [], []
             for at, row in enumerate(rows):
