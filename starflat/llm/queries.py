@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starflat.llm import extraction, packing, secrets, sharding, simhash, toxicity
+from starflat.llm import decontaminate, extraction, packing, secrets, sharding, simhash, toxicity
 from starflat.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op9_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(read(spark, sf_dir, "pages"))
 
@@ -47,6 +51,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_simhash": op3_simhash,
     "op6_sharding": op6_sharding,
+    "op7_decontamination": op7_decontamination,
     "op9_extraction": op9_extraction,
     "op10_toxicity": op10_toxicity,
 }
