@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starflat.llm import decontaminate, extraction, packing, secrets, sharding, simhash, toxicity
+from starflat.llm import decontaminate, extraction, packing, secrets, sharding, simhash, topk, toxicity
 from starflat.llm.common import read
+from starflat.llm.oracles import LLM_ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"))
 
@@ -50,10 +55,11 @@ LLM_QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
     "op2_packing": op2_packing,
     "op3_simhash": op3_simhash,
+    "op4_topk": op4_topk,
     "op6_sharding": op6_sharding,
     "op7_decontamination": op7_decontamination,
     "op9_extraction": op9_extraction,
     "op10_toxicity": op10_toxicity,
 }
 
-LLM_ORACLES: dict[str, str] = {}
+__all__ = ["LLM_ORACLES", "LLM_QUERIES"]
