@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starflat.llm import decontaminate, extraction, packing, secrets, sharding, simhash, topk, toxicity
+from starflat.llm import decontaminate, extraction, packing, secrets, sharding, simhash, substrings, topk, toxicity
 from starflat.llm.common import read
 from starflat.llm.oracles import LLM_ORACLES
 
@@ -35,6 +36,18 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"))
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document that loses sentences, with those and where they occurred first."""
+    rows = substrings.numbered_rows(read(spark, sf_dir, "documents"))
+    return substrings.removals(rows).select(
+        "doc_id",
+        "n_sentences",
+        F.size("removed").alias("n_removed"),
+        substrings.ranges(F.col("removed")).alias("removed"),
+        "first_doc_ids",
+    )
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"))
 
@@ -56,6 +69,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_simhash": op3_simhash,
     "op4_topk": op4_topk,
+    "op5_substrings": op5_substrings,
     "op6_sharding": op6_sharding,
     "op7_decontamination": op7_decontamination,
     "op9_extraction": op9_extraction,
