@@ -26,14 +26,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def texts(docs: DataFrame, key: str = "doc_id", text: str = "text", kind: str = "long") -> DataFrame:
     """``(key, text)`` only, so that further columns of any name do not matter."""
     return docs.select(
-        F.col(key).cast("long").alias(key),
+        F.col(key).cast(kind).alias(key),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias(text),
     )
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever its letter case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def signed(value: int) -> int:
     """An unsigned 64-bit number as Spark's signed one with the same bits."""
     return value - (1 << 64) if value >= 1 << 63 else value

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starflat.llm.common import byte_rows, staged, texts
+from starflat.llm.common import byte_rows, fresh, staged, texts
 
 SIMILARITY = 0.8
 MIN_WORDS = 5
@@ -160,7 +160,13 @@ def _windows(codes: np.ndarray, known: np.ndarray, classes: list[tuple[int, int]
             yield kind, padded[starts[:, None] + np.arange(most)]
 
 
-def matches(docs: DataFrame, items: DataFrame, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def matches(
+    docs: DataFrame,
+    items: DataFrame,
+    item_id: str = "item_id",
+    item_text: str = "text",
+    key_type: str = "long",
+) -> DataFrame:
     """``(doc_id, item_id, item_words, distance)`` of each document and item it holds.
 
     A document holds an item if some part of it equals the item's words but for
@@ -224,8 +230,8 @@ def matches(docs: DataFrame, items: DataFrame, item_id: str = "item_id", item_te
             )
 
     regions = staged(
-        texts(docs)
-        .mapInArrow(find, "doc_id long, words string")
+        texts(docs, kind=key_type)
+        .mapInArrow(find, f"doc_id {key_type}, words string")
         .withColumn("region", F.xxhash64("words")),
         "benchmark-regions",
     )
@@ -302,11 +308,11 @@ def matches(docs: DataFrame, items: DataFrame, item_id: str = "item_id", item_te
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold an item; all columns stay.
 
-    Rows with a NULL id stay unless they hold an item themselves: ids are
-    replaced by row numbers for the search.
+    What a document holds depends on its text alone, so texts are told apart by
+    their checksums: each row is judged by its own text, whatever its id.
     """
-    rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "decontaminate-docs")
-    found = matches(rows.select(F.col("_row").alias("doc_id"), "text"), items)
-    return rows.join(
-        found.select(F.col("doc_id").alias("_row")).distinct(), "_row", "left_anti"
-    ).select(*docs.columns)
+    name = fresh(docs, "text_md5")
+    keyed = docs.withColumn(name, F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    found = matches(keyed.select(F.col(name).alias("doc_id"), "text"), items, key_type="string")
+    bad = found.select(F.col("doc_id").alias(name)).distinct()
+    return keyed.join(bad, name, "left_anti").select(*docs.columns)

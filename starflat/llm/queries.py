@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starflat.llm import decontaminate, extraction, packing, secrets, sharding, simhash, substrings, topk, toxicity
+from starflat.llm import decontaminate, extraction, licenses, packing, secrets, sharding, simhash, substrings, topk, toxicity
 from starflat.llm.common import read
 from starflat.llm.oracles import LLM_ORACLES
 
@@ -56,6 +56,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op9_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(read(spark, sf_dir, "pages"))
 
@@ -72,6 +76,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op5_substrings": op5_substrings,
     "op6_sharding": op6_sharding,
     "op7_decontamination": op7_decontamination,
+    "op8_licenses": op8_licenses,
     "op9_extraction": op9_extraction,
     "op10_toxicity": op10_toxicity,
 }

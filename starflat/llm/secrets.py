@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starflat.llm.common import staged
+from starflat.llm.common import fresh, staged
 
 # The patterns of the three base kinds, in their order.
 ASSIGN = (
@@ -177,12 +177,16 @@ def redact(docs: DataFrame, live: str = "<SECRET>", copied: str = "<EXAMPLE_SECR
     """``docs`` with each found span replaced; every row and column stays.
 
     Overlapping spans are replaced together, as live if one of them is.
-    ``n_chars``, where there is one, follows the new text. The documents are
-    given a row number and written once, as both sides of the join need it.
+    ``n_chars``, where there is one, follows the new text. Only rows with some
+    candidate are written aside, numbered and joined; all others pass as they are.
     """
-    rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "secret-docs")
-    given = rows.withColumn("doc_id", F.col("_row"))
-    spans = scan(given, **options).select(F.col("doc_id").alias("_row"), F.col("spans").alias("_spans"))
+    anything = "|".join(f"(?:{p})" for p in PATTERNS.values())
+    some = F.coalesce(F.col("text").cast("string").rlike(anything), F.lit(False))
+    row, spans = fresh(docs, "secret_row"), fresh(docs, "secret_spans")
+    rows = staged(docs.filter(some).withColumn(row, F.monotonically_increasing_id()), "secret-docs")
+    found = scan(rows.withColumn("doc_id", F.col(row)), **options).select(
+        F.col("doc_id").alias(row), F.col("spans").alias(spans)
+    )
     text = F.col("text").cast("string")
 
     def merge(done: Column, s: Column) -> Column:
@@ -201,7 +205,7 @@ def redact(docs: DataFrame, live: str = "<SECRET>", copied: str = "<EXAMPLE_SECR
         )
 
     nothing = F.array().cast("array<struct<start:bigint,end:bigint,copied:boolean>>")
-    merged = F.aggregate("_spans", nothing, merge)
+    merged = F.aggregate(spans, nothing, merge)
 
     def write(state: Column, s: Column) -> Column:
         before = F.substring(text, (state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
@@ -213,8 +217,9 @@ def redact(docs: DataFrame, live: str = "<SECRET>", copied: str = "<EXAMPLE_SECR
         tail = F.substring(text, (state["at"] + 1).cast("int"), F.char_length(text))
         return F.concat(state["out"], tail)
 
-    clean = F.when(F.size("_spans") > 0, F.aggregate(merged, start, write, rest)).otherwise(text)
-    out = rows.join(spans, "_row").withColumn("text", clean)
+    clean = F.when(F.size(spans) > 0, F.aggregate(merged, start, write, rest)).otherwise(text)
+    out = rows.join(found, row).withColumn("text", clean)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), F.col("n_chars")))
-    return out.select(*docs.columns)
+        length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.size(spans) > 0, length).otherwise(F.col("n_chars")))
+    return docs.filter(~some).unionByName(out.select(*docs.columns))

@@ -11,8 +11,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starflat.llm.common import byte_rows, hex16, signed, staged, texts
+from starflat.llm.common import byte_rows, fresh, hex16, signed, staged, texts
 from starflat.llm.components import components
 
 BITS, SEED, SHINGLE = 64, 42, 3
@@ -196,6 +197,15 @@ def links(nodes: DataFrame) -> DataFrame:
     return grouped.mapInPandas(_group_links, "a long, b long").distinct()
 
 
+def _roots(prints: DataFrame) -> DataFrame:
+    """``(fp, least, root)`` of each fingerprint: its smallest doc_id, and its component's name."""
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    roots = components(links(nodes.select("fp")))
+    return nodes.join(roots, nodes.fp == roots.node, "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` for every row of ``docs``.
 
@@ -207,14 +217,38 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     an empty table gives an empty result, further columns are ignored.
     """
     prints = staged(fingerprints(docs), "fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(nodes.select("fp")))
-    named = (
-        nodes.join(roots, nodes.fp == roots.node, "left")
-        .select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    )
+    named = _roots(prints)
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return (
         prints.join(named.select("fp", "root").join(least, "root"), "fp")
         .select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
     )
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest doc_id; all columns stay.
+
+    A component without any doc_id keeps one of its rows; of repeated rows one
+    stays. Fingerprints are computed a second time beside the rows instead of
+    writing all texts once more.
+    """
+    prints = staged(fingerprints(docs), "fingerprints")
+    kept = (
+        _roots(prints)
+        .groupBy("root")
+        .agg(F.min(F.struct(F.col("least").isNull().alias("unnamed"), "least", "fp")).alias("k"))
+        .select(F.col("k.least").alias("kept_id"), F.col("k.fp").alias("kept_fp"))
+    )
+    name = fresh(docs, "fp")
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("text").cast(pa.large_binary())
+            found = np.fromiter((fingerprint(v.as_py() or b"") for v in column), np.uint64, len(batch))
+            columns = [*batch.columns, pa.array(found.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, name])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
+    marked = docs.mapInArrow(mark, schema)
+    same = marked["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & (marked[name] == kept["kept_fp"])
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", name]).select(*docs.columns)

@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starflat.llm.common import byte_rows, staged
+from starflat.llm.common import byte_rows, fresh, staged
 
 # A span is the shortest run of so many sentences with so many words.
 SPAN_SENTENCES, SPAN_WORDS = 3, 15
@@ -193,16 +194,22 @@ def keep_sentences(text: str, removed: list[int]) -> str:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """``docs`` with every sentence taken out that a non-first repeated span covers; all columns stay."""
-    rows = staged(numbered_rows(docs), "substring-docs")
-    lost = removals(rows).select("row", "removed")
+    row, lost = fresh(docs, "substring_row"), fresh(docs, "substring_removed")
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "substring-docs")
+    found = removals(rows.select(F.col(row).alias("row"), "doc_id", "text")).select(
+        F.col("row").alias(row), F.col("removed").alias(lost)
+    )
 
-    def rewrite(frames):
+    def rewrite(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             frame["text"] = [
                 t if r is None or t is None else keep_sentences(t, r)
-                for t, r in zip(frame["text"], frame["removed"])
+                for t, r in zip(frame["text"], frame[lost])
             ]
-            yield frame.drop(columns=["removed", "row"])
+            yield frame.drop(columns=[lost])
 
-    both = rows.join(lost, "row", "left").select(*docs.columns, "removed", "row")
-    return both.mapInPandas(rewrite, docs.schema)
+    # Rows that lose nothing never leave the JVM.
+    both = rows.join(found, row, "left")
+    changed = both.filter(F.col(lost).isNotNull()).select(*docs.columns, lost)
+    same = both.filter(F.col(lost).isNull()).select(*docs.columns)
+    return same.unionByName(changed.mapInPandas(rewrite, docs.schema))

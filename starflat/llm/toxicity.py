@@ -261,13 +261,17 @@ def _general(found: dict[str, tuple[int, float]]) -> dict[str, float]:
     }
 
 
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
     """Ridge logistic regression by Newton steps; the last weight is the bias."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
     penalty = np.diag([*[ridge] * (x.shape[1] - 1), 1e-3])
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        p = _sigmoid(x @ w)
         slope = x.T @ (p - y) + penalty @ w
         bend = (x * (p * (1 - p))[:, None]).T @ x + penalty
         step = np.linalg.solve(bend, slope)
@@ -312,10 +316,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         weights = np.array(model.weights)
         for keys, rows in byte_rows(batches):
             x = np.array([scorer.features(r.decode("utf-8", "replace")) for r in rows]).reshape(len(keys), -1)
-            z = x @ weights + model.bias if len(keys) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays(
-                [keys, pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], ["doc_id", "score"]
-            )
+            found = _sigmoid(x @ weights + model.bias) if len(keys) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([keys, pa.array(found)], ["doc_id", "score"])
 
     return texts(docs).mapInArrow(apply, "doc_id long, score double")
 
@@ -329,3 +331,19 @@ def judge(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> DataFra
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+def reject(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
+    """``docs`` without the documents judged toxic; all columns stay and nothing is shuffled."""
+    model = fit(docs, labels, most)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = ClauseScorer(model.lexicon)
+        weights = np.array(model.weights)
+        for batch in batches:
+            column = batch.column("text")
+            x = np.array([scorer.features(v.as_py() or "") for v in column]).reshape(len(batch), -1)
+            score = _sigmoid(x @ weights + model.bias) if len(batch) else np.zeros(0)
+            yield batch.filter(pa.array(score < THRESHOLD))
+
+    return docs.mapInArrow(keep, docs.schema)
