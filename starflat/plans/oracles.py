@@ -182,69 +182,70 @@ def _children(table: str, key: str, count: str, factor: int, child: str, purpose
 _SYNTHETIC = f"""
 WITH account AS (
   SELECT account_id, member_id,
-         list_extract(['current', 'savings', 'investment'],
-                      CAST({_digest_part(0)} % 3 + 1 AS INTEGER)) AS account_type,
-         CAST(DATE '2024-12-31' - CAST({_digest_part(1)} % 1460 + 400 AS INTEGER) AS DATE)
+         list_extract(['everyday', 'joint', 'reserve', 'youth'],
+                      CAST({_digest_part(0)} % 4 + 1 AS INTEGER)) AS account_type,
+         CAST(DATE '2024-12-31' - CAST({_digest_part(1)} % 2500 + 540 AS INTEGER) AS DATE)
            AS created,
-         CAST(({_digest_part(2)} % 1000000) / 100 AS DECIMAL(15,2)) AS balance,
-         {_digest_part(3)} % 100 < 95 AS active
+         CAST(({_digest_part(2)} % 750000) / 100 AS DECIMAL(15,2)) AS balance,
+         {_digest_part(3)} % 100 < 88 AS active
   FROM (SELECT account_id, member_id, md5('7|account|' || account_id) AS h FROM (
     {_children(
         "(SELECT c_custkey AS member_id FROM customer)",
         "member_id",
-        f"CASE WHEN {_digest_part(0)} % 100 < 20 THEN 1 "
-        f"WHEN {_digest_part(0)} % 100 < 90 THEN 2 ELSE 3 END",
-        4,
+        f"CASE WHEN {_digest_part(0)} % 100 < 45 THEN 1 WHEN {_digest_part(0)} % 100 < 75 THEN 2 "
+        f"WHEN {_digest_part(0)} % 100 < 90 THEN 3 ELSE 4 END",
+        5,
         "account_id",
         "member",
     )}))),
 card AS (
   SELECT card_id,
-         CASE WHEN {_digest_part(0)} % 2 = 0 THEN '4' ELSE '5' END
+         CASE WHEN {_digest_part(0)} % 2 = 0 THEN '2' ELSE '6' END
            || lpad(CAST((card_id * 7919 + 104729) % 1000000000000000 AS VARCHAR), 15, '0')
            AS number,
-         CAST(opened + CAST({_digest_part(1)} % 30 + 1 AS INTEGER) AS DATE) AS created,
-         CAST(opened + CAST({_digest_part(1)} % 30 + 1 AS INTEGER) + 1825 AS DATE) AS expires,
+         CAST(opened + CAST({_digest_part(1)} % 45 + 3 AS INTEGER) AS DATE) AS created,
+         CAST(opened + CAST({_digest_part(1)} % 45 + 3 AS INTEGER) + 1461 AS DATE) AS expires,
          account_id, member_id,
-         list_extract(['debit', 'credit', 'multiple'],
+         list_extract(['debit', 'credit', 'prepaid'],
                       CAST({_digest_part(2)} % 3 + 1 AS INTEGER)) AS card_type,
          CAST(CASE WHEN {_digest_part(2)} % 3 = 0 THEN 0
-                   ELSE {_digest_part(3)} % 10000 + 500 END AS DECIMAL(10,2)) AS credit_limit
+                   ELSE {_digest_part(3)} % 8000 + 250 END AS DECIMAL(10,2)) AS credit_limit
   FROM (SELECT card_id, account_id, member_id, created AS opened,
                md5('7|card|' || card_id) AS h
         FROM ({_children(
             "(SELECT account_id, member_id, created FROM account)",
             "account_id",
-            f"CASE WHEN {_digest_part(0)} % 100 < 60 THEN 1 ELSE 2 END",
-            3,
+            f"CASE WHEN {_digest_part(0)} % 100 < 55 THEN 1 "
+            f"WHEN {_digest_part(0)} % 100 < 85 THEN 2 ELSE 3 END",
+            4,
             "card_id",
             "cards",
         )}))),
 category(c, name, lo, hi) AS (
-  VALUES (1, 'clothing', 50, 1500), (2, 'education', 50, 2000), (3, 'food', 10, 500),
-         (4, 'health', 30, 800), (5, 'housing', 100, 3000), (6, 'leisure', 20, 400),
-         (7, 'services', 30, 500), (8, 'transport', 20, 300)),
+  VALUES (1, 'books', 4, 120), (2, 'fuel', 15, 110), (3, 'groceries', 8, 260),
+         (4, 'insurance', 60, 900), (5, 'rent', 420, 2600), (6, 'sports', 12, 350),
+         (7, 'travel', 75, 4200)),
 drawn AS (
-  SELECT txn_id, card_id, {_digest_part(0)} % 8 + 1 AS c, {_digest_part(1)} % 1000001 AS level,
-         {_digest_part(2)} % 100 AS weight, CAST({_digest_part(3)} % 365 AS INTEGER) AS days
+  SELECT txn_id, card_id, {_digest_part(0)} % 7 + 1 AS c, {_digest_part(1)} % 1000001 AS level,
+         {_digest_part(2)} % 100 AS weight, CAST({_digest_part(3)} % 540 AS INTEGER) AS days
   FROM (SELECT txn_id, card_id, md5('7|txn|' || txn_id) AS h FROM ({_children(
       "(SELECT card_id FROM card)",
       "card_id",
-      f"{_digest_part(0)} % 16 + 5",
-      21,
+      f"{_digest_part(0)} % 10 + 3",
+      13,
       "txn_id",
       "transactions",
   )}))),
 txn AS (
   SELECT txn_id, card_id,
-         CAST(CASE WHEN weight >= 95 THEN -1 ELSE 1 END
+         CAST(CASE WHEN weight >= 92 THEN -1 ELSE 1 END
               * ((lo * 100 + floor((hi - lo) * 100 * level / 1000000)) / 100)
               AS DECIMAL(10,2)) AS amount,
          CAST(DATE '2024-12-31' - days AS TIMESTAMP)
-           + to_hours(CAST({_digest_part(0)} % 18 + 6 AS INTEGER))
+           + to_hours(CAST({_digest_part(0)} % 24 AS INTEGER))
            + to_minutes(CAST({_digest_part(1)} % 60 AS INTEGER))
            + to_seconds(CAST({_digest_part(2)} % 60 AS INTEGER)) AS txn_time,
-         CASE WHEN weight < 85 THEN 'debit' WHEN weight < 95 THEN 'credit' ELSE 'refund' END
+         CASE WHEN weight < 78 THEN 'debit' WHEN weight < 92 THEN 'credit' ELSE 'refund' END
            AS txn_type,
          name AS category
   FROM (SELECT *, md5('7|clock|' || txn_id) AS h FROM drawn JOIN category USING (c)))
