@@ -4,6 +4,7 @@ from decimal import Decimal
 
 import pytest
 from conftest import SALT, at
+from pyspark.sql import functions as F
 
 from starflat.functions.numbers import MONEY
 from starflat.operators import constraints
@@ -28,48 +29,48 @@ def test_gold_columns(flat):
 def test_values(flat):
     rows = {r["txn_id"]: r for r in flat.collect()}
     assert {i: (r["member_first_name"], r["card_masked"]) for i, r in rows.items()} == {
-        1: ("João", "453212******9012"),
-        2: ("João", "453212******9012"),
-        3: ("João", "541234******1234"),
-        4: ("Maria", "402400******9012"),
+        1: ("Tomás", "260011******3333"),
+        2: ("Ines", "601155******7777"),
+        3: ("Tomás", "271188******0000"),
+        4: ("Luc", "650012******5432"),
+        5: ("Ines", "601155******7777"),
     }
-    assert rows[1]["txn_time"] == at("2024-10-13 18:30")
-    assert rows[4]["txn_time"] == at("2024-10-10 15:30")
-    assert rows[1]["card_created"] == at("2020-01-20 13:00")
-    assert rows[4]["account_created"] == at("2019-03-10 12:00")
-    assert rows[1]["event_date"] == at("2024-10-13").date()
-    assert rows[1]["email_masked"] == "joa****@email.com"
-    assert rows[1]["email_hash"].startswith("74219f52")
-    assert rows[1]["card_hash"].startswith("e24c0ab0")
-    assert sum(r["txn_amount"] for r in rows.values()) == Decimal("515.60")
+    assert rows[1]["txn_time"] == at("2025-03-10 00:10")
+    assert rows[4]["txn_time"] == at("2025-02-25 09:30")
+    assert rows[1]["card_created"] == at("2020-12-01 14:00")
+    assert rows[4]["account_created"] == at("2022-05-02 11:05")
+    assert rows[1]["event_date"] == at("2025-03-10").date()
+    assert rows[1]["email_masked"] == "tom****@post.example"
+    assert rows[1]["email_hash"].startswith("4704127c")
+    assert rows[1]["card_hash"].startswith("995f1ccf")
+    assert rows[4]["txn_description"] is None and rows[2]["member_age"] is None
+    assert sum(r["txn_amount"] for r in rows.values()) == Decimal("828.74")
 
 
 def test_no_row_is_lost(flat, tiny):
-    assert flat.count() == tiny["transaction"].count() == 4
+    assert flat.count() == tiny["transaction"].count() == 5
 
 
 def test_two_and_three_way_joins(tiny):
     pairs = join_star(tiny, "transaction", bank.LINKS[:1])
     owned = join_star(tiny, "account", [Link("account", "owner_id", "member", "member_id")])
     cards = join_star(tiny, "card", bank.LINKS[1:])
-    assert (pairs.count(), owned.count(), cards.count()) == (4, 3, 3)
+    assert (pairs.count(), owned.count(), cards.count()) == (5, 4, 4)
 
 
 def test_left_links_keep_rows(tiny):
     links = [Link("account", "account_id", "card", "account_id", how="left")]
     rows = join_star(tiny, "account", links).collect()
-    assert sorted((r["account__account_id"], r["card__card_id"]) for r in rows if r[0] != 1) == [
-        (2, None),
-        (3, 3),
-    ]
+    found = [(r["account__account_id"], r["card__card_id"] or 0) for r in rows]
+    assert sorted(found) == [(1, 4), (2, 1), (2, 3), (3, 2), (4, 0)]
 
 
 def test_member_comes_from_the_card_not_the_account(spark, tiny):
-    card = tiny["card"].replace({1: 3}, subset=["account_id"])
+    card = tiny["card"].replace({2: 3}, subset=["account_id"])
     rows = flatten({**tiny, "card": card}, bank.gold_star(SALT)).collect()
     by_id = {r["txn_id"]: r for r in rows}
-    assert by_id[1]["member_first_name"] == "João"
-    assert by_id[1]["account_created"] == at("2019-03-10 12:00")
+    assert by_id[1]["member_first_name"] == "Tomás"
+    assert by_id[1]["account_created"] == at("2021-01-31 15:00")
 
 
 def test_orphans(spark, tiny):
@@ -112,6 +113,24 @@ def test_hot_rows_spread_over_salts(spark):
     joined = salted_join(left, right, "k", "key", HotKeys({1: 8}))
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" in plan
+    # The salts that the rows of the hot key really get, and how evenly.
+    spread = F.pmod(F.xxhash64(*left.columns), F.lit(8))
+    counts = [r["count"] for r in left.filter("k = 1").groupBy(spread.alias("s")).count().collect()]
+    assert len(counts) == 8 and max(counts) < 2 * min(counts)
+
+
+def test_agreement_groups_equal_rows_before_the_join(spark):
+    """Rows of one key that all agree: one row a task reaches the join."""
+    child = spark.range(20_000).selectExpr("1 AS via", "7 AS direct").repartition(4)
+    parent = spark.createDataFrame([(1, 7), (2, 8)], "key INT, value INT")
+    rule = constraints.Agreement("c", "direct", "via", "p", "key", "value")
+    report = constraints.constraint_report({"c": child, "p": parent}, [rule])
+    assert report.first()["violations"] == 0
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" not in plan and plan.rindex("Aggregate") > plan.index("Join")
+    wrong = child.withColumn("direct", F.lit(8))
+    report = constraints.constraint_report({"c": wrong, "p": parent}, [rule])
+    assert report.first()["violations"] == 20_000
 
 
 def test_flatten_with_salts_is_the_same(tiny):
