@@ -89,15 +89,18 @@ class Rejected(Exception):
 
 
 def run_checks(df: DataFrame, table: str, checks: Iterable[Check]) -> DataFrame:
-    """One row per check, in ``RESULT_COLUMNS``."""
+    """One row per check, in ``RESULT_COLUMNS``.
+
+    A check on a column that ``df`` lacks fails; all others run. Completeness is a
+    question to the schema: alone it reads no row, and its row count is NULL.
+    """
     checks = list(checks)
-    missing = [c for c in checks if c.kind == "completeness" and _missing(df, c)]
-    if missing:
-        # The other checks may name the missing columns, so only these are reported.
-        return _scan_branch(df, table, missing)
-    scanned = [c for c in checks if c.kind != "duplicate"]
-    branches = [_scan_branch(df, table, scanned)] if scanned else []
-    branches += [_duplicate_branch(df, table, c) for c in checks if c.kind == "duplicate"]
+    scanned = [c for c in checks if c.kind != "duplicate" or _missing(df, c)]
+    if all(c.kind == "completeness" for c in scanned):
+        branches = [_schema_branch(df, table, scanned)] if scanned else []
+    else:
+        branches = [_scan_branch(df, table, scanned)]
+    branches += [_duplicate_branch(df, table, c) for c in checks if c not in scanned]
     if not branches:
         raise ValueError(f"no checks for table {table}")
     return reduce(DataFrame.unionByName, branches)
@@ -153,14 +156,21 @@ def _missing(df: DataFrame, check: Check) -> list[str]:
     return [c for c in check.columns if c not in df.columns]
 
 
+def _broken(df: DataFrame, check: Check) -> bool:
+    """The check cannot run because a column of it is missing."""
+    return check.kind != "completeness" and bool(_missing(df, check))
+
+
 def _bad_rows(df: DataFrame, check: Check) -> Column:
+    if _broken(df, check):
+        return F.count(F.lit(1))
     if check.kind in ("completeness", "volume"):
         return F.lit(len(_missing(df, check))).cast("bigint")
     column = F.col(check.columns[0])
     if check.kind == "null":
         return F.count_if(column.isNull())
     if check.kind == "negative":
-        return F.count_if(column < 0)
+        return F.count_if(_number(df, check) < 0)
     if check.kind == "extreme":
         number = _number(df, check)
         outside = F.lit(False)
@@ -190,12 +200,19 @@ def _scan_branch(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFram
     aggregates = [F.count(F.lit(1)).alias("n")]
     for i, check in enumerate(checks):
         aggregates.append(_bad_rows(df, check).alias(f"bad_{i}"))
-        if check.kind == "extreme":
+        if check.kind == "extreme" and not _broken(df, check):
             aggregates.append(F.count(_number(df, check)).alias(f"valid_{i}"))
-    rows = [_result(table, c, i) for i, c in enumerate(checks)]
+    rows = [_result(table, c, i, _broken(df, c) and _missing(df, c)) for i, c in enumerate(checks)]
     return df.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
+def _schema_branch(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
+    counts = [F.lit(None).cast("bigint").alias("n")]
+    counts += [_bad_rows(df, c).alias(f"bad_{i}") for i, c in enumerate(checks)]
+    rows = [_result(table, c, i) for i, c in enumerate(checks)]
+    return df.sparkSession.range(1).select(*counts).select(F.inline(F.array(*rows)))
+
+
 def _duplicate_branch(df: DataFrame, table: str, check: Check) -> DataFrame:
     # NULL counts as a value: two rows with NULL keys are duplicates.
     groups = df.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("copies"))
@@ -206,7 +223,7 @@ def _duplicate_branch(df: DataFrame, table: str, check: Check) -> DataFrame:
     return counted.select(F.inline(F.array(_result(table, check, 0))))
 
 
-def _result(table: str, check: Check, i: int) -> Column:
+def _result(table: str, check: Check, i: int, missing: Sequence[str] | bool = ()) -> Column:
     n, bad = F.col("n"), F.col(f"bad_{i}")
     value = ratio(bad, n)
     failed = value > check.threshold
@@ -221,11 +238,14 @@ def _result(table: str, check: Check, i: int) -> Column:
         failed = volume_status(n, previous, check.threshold) == "WARN"
         before = "no earlier run" if check.previous is None else f"{check.previous} before"
         message = F.concat(n.cast("string"), F.lit(f" rows, {before}"))
-    elif check.kind == "extreme":
+    elif check.kind == "extreme" and not missing:
         no_number = (n > 0) & (F.col(f"valid_{i}") == 0)
         value = F.when(no_number, F.lit(1.0)).otherwise(value)
         failed = no_number | failed
     status = F.when(failed, F.lit(check.level)).otherwise(F.lit("PASS"))
+    if missing:
+        status, value = F.lit("FAIL"), F.lit(1.0)
+        message = F.lit(f"column missing: {', '.join(missing)}")
     values = (
         F.lit(table),
         F.lit(check.kind),

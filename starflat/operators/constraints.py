@@ -9,8 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starflat.operators.skew import find_hot_keys, salted_join
-
 
 @dataclass(frozen=True)
 class NotNull:
@@ -123,12 +121,15 @@ def _unique(frames: Mapping[str, DataFrame], c: Unique) -> DataFrame:
 
 
 def _agreement(frames: Mapping[str, DataFrame], c: Agreement) -> DataFrame:
-    child = frames[c.table].select(F.col(c.via).alias("_via"), F.col(c.column).alias("_direct"))
+    # Equal pairs are counted before the join: a hot key is a few rows when it is shuffled.
+    child = (
+        frames[c.table]
+        .groupBy(F.col(c.via).alias("_via"), F.col(c.column).alias("_direct"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     parent = frames[c.parent].select(F.col(c.key).alias("_key"), F.col(c.value).alias("_reached"))
-    hot = find_hot_keys(child, ["_via"])["_via"]
-    differ = salted_join(child, parent, "_via", "_key", hot).filter("_direct <> _reached")
-    return _report(differ.select(F.lit(1).alias("n")), "n", c.table,
-                   f"agreement({c.column},{c.parent}.{c.value})")
+    differ = child.join(parent, F.col("_via") == F.col("_key")).filter("_direct <> _reached")
+    return _report(differ, "n", c.table, f"agreement({c.column},{c.parent}.{c.value})")
 
 
 def _report(df: DataFrame, column: str, table: str, name: str) -> DataFrame:

@@ -44,7 +44,8 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 def histogram(df: DataFrame, columns: Sequence[str], buckets: int = 10) -> DataFrame:
     """``(column_name, bucket, lo, hi, n)`` of the non-empty buckets.
 
-    The last bucket includes the maximum. A constant column has one bucket with
+    NaN and infinite values are counted as bucket 0, without borders. The last
+    bucket includes the maximum. A constant column has one bucket with
     ``lo = hi``. Two passes over the data for all columns together: the bounds
     (one row), then one count per column and bucket.
     """
@@ -53,9 +54,10 @@ def histogram(df: DataFrame, columns: Sequence[str], buckets: int = 10) -> DataF
         numbers[name] = as_double(F.col(name), df.schema[name].dataType)
         if numbers[name] is None:
             raise ValueError(f"column {name} is not numeric")
+    finite = {name: F.when(_finite(v), v) for name, v in numbers.items()}
     bounds = df.agg(
-        *(F.min(v).alias(f"lo_{i}") for i, v in enumerate(numbers.values())),
-        *(F.max(v).alias(f"hi_{i}") for i, v in enumerate(numbers.values())),
+        *(F.min(v).alias(f"lo_{i}") for i, v in enumerate(finite.values())),
+        *(F.max(v).alias(f"hi_{i}") for i, v in enumerate(finite.values())),
     ).first()
     entries = []
     for i, (name, value) in enumerate(numbers.items()):
@@ -63,9 +65,11 @@ def histogram(df: DataFrame, columns: Sequence[str], buckets: int = 10) -> DataF
         entries.append(
             F.struct(
                 F.lit(name).alias("column_name"),
-                _bucket(value, lo, hi, buckets).alias("bucket"),
-                F.lit(lo).cast("double").alias("lo"),
-                F.lit(hi).cast("double").alias("hi"),
+                F.when(value.isNotNull() & ~_finite(value), F.lit(0))
+                .otherwise(_bucket(finite[name], lo, hi, buckets))
+                .alias("bucket"),
+                F.when(_finite(value), F.lit(lo).cast("double")).alias("lo"),
+                F.when(_finite(value), F.lit(hi).cast("double")).alias("hi"),
             )
         )
     counted = (
@@ -109,6 +113,10 @@ def null_vector(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in names))
 
 
+def _finite(value: Column) -> Column:
+    return F.coalesce(~F.isnan(value) & (F.abs(value) < float("inf")), F.lit(False))
+
+
 def _bucket(value: Column, lo: float | None, hi: float | None, buckets: int) -> Column:
     if lo is None:
         return F.lit(None).cast("int")

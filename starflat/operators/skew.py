@@ -20,20 +20,23 @@ MAX_SALTS = 1 << 16
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """When a key counts as hot (both limits), and how finely it is split.
+    """When a key counts as hot, and how finely it is split.
+
+    A key is hot above ``min_rows`` rows and above ``share`` of all rows or a quarter
+    of an even shuffle partition's rows, whichever is less.
 
     ``rows_per_salt`` is far below ``min_rows``: many salts hash evenly over the
     shuffle partitions, few would collide.
     """
 
-    share: float = 0.005
+    share: float = 0.0025
     min_rows: int = 1_000_000
     rows_per_salt: int = 100_000
     tracked_items: int = 8192
 
     @property
     def max_hot_keys(self) -> int:
-        return int(1 / self.share)
+        return min(1000, int(4 / self.share))
 
 
 @dataclass(frozen=True)
@@ -59,7 +62,9 @@ def find_hot_keys(
             for c in columns
         ),
     ).first()
-    smallest = max(policy.share * row["total_rows"], policy.min_rows)
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    even = row["total_rows"] / (4 * max(partitions, 1))
+    smallest = max(min(policy.share * row["total_rows"], even), policy.min_rows)
     found = {}
     for name in columns:
         salts = {
@@ -80,7 +85,11 @@ def salted_join(
     hot: HotKeys,
     how: str = "inner",
 ) -> DataFrame:
-    """``left`` joined to ``right`` (inner or left) with the hot keys split."""
+    """``left`` joined to ``right`` (inner or left) with the hot keys split.
+
+    The salt is a hash of the whole row, so rows of a hot key must differ to be
+    spread: aggregate equal rows first, as the agreement constraint does.
+    """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
     match = F.col(left_key) == F.col(right_key)

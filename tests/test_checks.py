@@ -18,14 +18,14 @@ def one(df, check):
 @pytest.fixture(scope="module")
 def examples(spark):
     """Five transactions, one of them negative."""
-    rows = [(1, "150.50", 1), (2, "75.20", 1), (3, "-200.00", 2), (4, "89.90", 3), (5, "150.50", 1)]
+    rows = [(1, "12.25", 7), (2, "310.00", 7), (3, "-46.80", 8), (4, "5.05", 9), (5, "12.25", 7)]
     rows = [(i, Decimal(a), c) for i, a, c in rows]
     return spark.createDataFrame(rows, "txn_id INT, amount DECIMAL(10,2), card_id INT")
 
 
 @pytest.fixture(scope="module")
 def texts(spark):
-    rows = [("4532123456789012",), ("123",), ("",), (None,)]
+    rows = [("2600111122223333",), ("123",), ("",), (None,)]
     return spark.createDataFrame(rows, "x STRING")
 
 
@@ -117,14 +117,36 @@ def test_empty_tables_pass(spark):
     assert {(r["status"], r["value"]) for r in found} == {("PASS", 0.0)}
 
 
-def test_missing_columns_stop_the_other_checks(spark):
-    df = spark.createDataFrame([(1,)], "a INT")
-    found = run_checks(
-        df, "t", [checks.completeness_check(["a", "b"]), checks.null_check("b")]
-    ).collect()
-    assert [(r["check_name"], r["status"], r["value"], r["message"]) for r in found] == [
-        ("completeness", "FAIL", 0.0, "1 missing columns")
+def test_missing_columns_fail_and_the_other_checks_run(spark):
+    df = spark.createDataFrame([(1,), (None,)], "a INT")
+    suite = [
+        checks.completeness_check(["a", "b"]),
+        checks.null_check("b"),
+        checks.extreme_check("b", 1, 2),
+        checks.duplicate_check(["a", "b"]),
+        checks.null_check("a", 0.1),
+        checks.duplicate_check(["a"]),
     ]
+    found = run_checks(df, "t", suite).collect()
+    assert [(r["check_name"], r["column_name"], r["status"], r["message"]) for r in found] == [
+        ("completeness", "a,b", "FAIL", "1 missing columns"),
+        ("null", "b", "FAIL", "column missing: b"),
+        ("extreme", "b", "FAIL", "column missing: b"),
+        ("duplicate", "a,b", "FAIL", "column missing: b"),
+        ("null", "a", "FAIL", "1 of 2 rows"),
+        ("duplicate", "a", "PASS", "0 of 2 rows"),
+    ]
+
+
+def test_completeness_alone_reads_nothing(spark):
+    df = spark.range(10).selectExpr("id", "raise_error('read') AS boom")
+    found = run_checks(df, "t", [checks.completeness_check(["id", "boom"])]).collect()
+    assert [(r["status"], r["value"], r["total_rows"]) for r in found] == [("PASS", 1.0, None)]
+
+
+def test_negative_numbers_in_text(spark):
+    df = spark.createDataFrame([("-1",), ("2",), ("x",), (None,)], "a STRING")
+    assert one(df, checks.negative_check("a")) == ("WARN", 0.25)
 
 
 def test_gate_sees_every_table(spark, tiny):

@@ -92,3 +92,12 @@ def test_profile_with_histograms(mixed):
     assert sum(b["n"] for b in rows["n"]) == 4
     assert [b["n"] for b in rows["s"]] == [1]
     assert rows["z"] is None
+
+
+def test_values_that_are_no_numbers_have_a_bucket_of_their_own(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(x,) for x in (nan, inf, -inf, 0.0, 10.0, None)], "x DOUBLE")
+    found = sorted(tuple(r) for r in histogram(df, ["x"]).collect())
+    assert found == [("x", 0, None, None, 3), ("x", 1, 0.0, 1.0, 1), ("x", 10, 9.0, 10.0, 1)]
+    only = spark.createDataFrame([(nan,), (inf,)], "x DOUBLE")
+    assert [tuple(r) for r in histogram(only, ["x"]).collect()] == [("x", 0, None, None, 2)]
