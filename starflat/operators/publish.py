@@ -110,6 +110,13 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below a folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return int(system.getContentSummary(target).getLength())
+
+
 def drop_old_versions(spark: SparkSession, base: str, source: str, keep: int = 2) -> list[str]:
     """Removes all but the newest ``keep`` published versions; returns what it removed."""
     if keep < 1:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import UTC, date, datetime
@@ -9,12 +10,13 @@ from datetime import UTC, date, datetime
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from starflat.operators import ledger, publish
-from starflat.operators.checks import Check, gate, run_suites, volume_check
+from starflat.operators.checks import Check, gate, run_checks, run_suites, volume_check
 from starflat.operators.flatten import Star, flatten
 from starflat.operators.metrics import RunMetrics
 from starflat.operators.publish import GuardSpec
-from starflat.operators.sinks import parse_formats, write_csv, write_schema
+from starflat.operators.sinks import parse_formats, read_schema, write_csv, write_schema
 from starflat.sources.incremental import cutoff_date, slice_since
+from starflat.sources.tables import assert_same_schema, require_rows
 
 MODES = ("full", "incremental")
 
@@ -24,7 +26,8 @@ class FlatJob:
     """A flat table under ``base``; the fact alone advances by watermark.
 
     The table itself is Parquet; ``formats`` with ``csv`` adds the rows of each run
-    as CSV.
+    as CSV. A run needs ``min_rows`` rows of every table; only the slice of an
+    increment may be empty.
     """
 
     base: str
@@ -38,6 +41,7 @@ class FlatJob:
     guards: GuardSpec = GuardSpec()
     suites: Mapping[str, list[Check]] = field(default_factory=dict)
     volume_tolerance: float = 0.5
+    min_rows: int = 1
     compression: str = "snappy"
     formats: str = "parquet"
 
@@ -56,6 +60,7 @@ class RunResult:
     watermark: datetime | None
     cutoff: date | None
     checks: list[Row]
+    bytes_out: int = 0
 
     @property
     def yield_percent(self) -> float:
@@ -84,7 +89,7 @@ def run(
         metrics.error(error)
         metrics.save(spark, f"{job.base}/metrics")
         ledger.append_state(
-            spark, state, **entry, status="failed", completed_at=_now(), error=str(error)[:1000]
+            spark, state, **entry, status="failed", completed_at=_now(), error=str(error)
         )
         raise
     ledger.append_state(
@@ -101,6 +106,10 @@ def run(
     metrics.gauge("rows_out", result.rows_out)
     metrics.gauge("yield_percent", result.yield_percent)
     metrics.gauge("output_columns", len(job.star.outputs))
+    metrics.gauge("output_bytes", result.bytes_out)
+    for r in result.checks:
+        labels = {"table": r["table_name"], "check": r["check_name"], "column": r["column_name"]}
+        metrics.gauge("check", r["value"], **labels, status=r["status"])
     for status in ("PASS", "WARN", "FAIL"):
         found = sum(r["status"] == status for r in result.checks)
         metrics.gauge("checks", found, status=status)
@@ -126,20 +135,28 @@ def _run(
     inputs = {**frames, job.source: fact}
     with metrics.stage("count"):
         rows_in = fact.count()
-    if rows_in == 0:
-        version, watermark = (last["version"], last["watermark"]) if last else (None, None)
-        return RunResult(mode, seq, 0, 0, version, watermark, cutoff, [])
+    required = {t: df for t, df in frames.items() if not (replacing and t == job.source)}
+    with metrics.stage("min_rows"):
+        require_rows(required, job.min_rows)
+    if rows_in == 0:  # nothing new since the last increment
+        with metrics.stage("checks"):
+            checks = gate(run_checks(fact, job.source, [_volume(spark, job, mode)]))
+        _store_volume(spark, job, mode, seq, 0)
+        return RunResult(mode, seq, 0, 0, last["version"], last["watermark"], cutoff, checks)
 
     with metrics.stage("checks"):
         checks = _check(spark, inputs, job, mode)
 
-    version = last["version"] if replacing else f"v{seq:08d}"
+    # The unique part keeps two runs that start at once out of each other's folders.
+    version = last["version"] if replacing else f"v{seq:08d}-{uuid.uuid4().hex[:8]}"
     target = publish.version_path(job.base, version)
-    landing = f"{job.base}/staging/run-{seq:08d}" if replacing else target
+    landing = f"{job.base}/staging/run-{seq:08d}-{uuid.uuid4().hex[:8]}" if replacing else target
     sort_by = (job.output_time, job.output_id)
     formats = parse_formats(job.formats)
     with metrics.stage("write"):
         flat = flatten(inputs, job.star)
+        if replacing:
+            assert_same_schema(flat, read_schema(spark, publish.schema_path(job.base, version)))
         staged = publish.stage(
             flat,
             landing,
@@ -149,6 +166,7 @@ def _run(
             job.output_id,
             job.compression,
         )
+    bytes_out = publish.folder_bytes(spark, landing)
     try:
         if replacing:
             with metrics.stage("publish"):
@@ -164,14 +182,10 @@ def _run(
         if replacing:
             publish.remove(spark, landing)
     known = [t for t in (staged.last, last["watermark"] if replacing else None) if t]
-    ledger.append(
-        spark,
-        f"{job.base}/volumes",
-        ledger.VOLUME_SCHEMA,
-        [(job.source, mode, seq, rows_in)],
-    )
+    _store_volume(spark, job, mode, seq, rows_in)
+    watermark = max(known, default=None)
     return RunResult(
-        mode, seq, rows_in, staged.count, version, max(known, default=None), cutoff, checks
+        mode, seq, rows_in, staged.count, version, watermark, cutoff, checks, bytes_out
     )
 
 
@@ -180,12 +194,21 @@ def _check(
 ) -> list[Row]:
     if not job.suites:
         return []
-    previous = ledger.previous_volume(spark, f"{job.base}/volumes", job.source, mode)
     suites = {table: list(checks) for table, checks in job.suites.items()}
     fact_checks = [c for c in suites.get(job.source, []) if c.kind != "volume"]
-    suites[job.source] = [*fact_checks, volume_check(previous, job.volume_tolerance)]
+    suites[job.source] = [*fact_checks, _volume(spark, job, mode)]
     return gate(run_suites(frames, suites))
 
 
+def _volume(spark: SparkSession, job: FlatJob, mode: str) -> Check:
+    previous = ledger.previous_volume(spark, f"{job.base}/volumes", job.source, mode)
+    return volume_check(previous, job.volume_tolerance)
+
+
+def _store_volume(spark: SparkSession, job: FlatJob, mode: str, seq: int, rows: int) -> None:
+    entry = (job.source, mode, seq, rows)
+    ledger.append(spark, f"{job.base}/volumes", ledger.VOLUME_SCHEMA, [entry])
+
+
 def _now() -> datetime:
     return datetime.now(UTC).replace(tzinfo=None)

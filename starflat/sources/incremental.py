@@ -43,12 +43,18 @@ def missed_rows(
     id_column: str,
     published: DataFrame,
     published_id: str,
+    published_date: str = "event_date",
 ) -> DataFrame:
     """Source rows before ``cutoff`` that the published table lacks.
 
     Such rows arrived later than the look-back; an incremental run never reads
-    them.
+    them. The source gets a bare-column predicate, one day looser than the exact
+    one, and of the published table only the partitions before ``cutoff`` are read.
     """
-    old = df.filter(to_utc(F.col(time_column), zone).cast("date") < F.lit(cutoff))
-    known = published.select(F.col(published_id).alias("_published_id"))
+    local = F.col(time_column)
+    loose = F.lit(datetime.combine(cutoff + timedelta(days=1), datetime.min.time()))
+    old = df.filter(local < loose.cast("timestamp_ntz")).filter(
+        to_utc(local, zone).cast("date") < F.lit(cutoff)
+    )
+    known = published.filter(F.col(published_date) < F.lit(cutoff)).select(F.col(published_id).alias("_published_id"))
     return old.join(known, F.col(id_column) == F.col("_published_id"), "left_anti")

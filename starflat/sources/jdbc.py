@@ -41,10 +41,21 @@ def read_table(spark: SparkSession, source: JdbcSource, table: str) -> DataFrame
 
 
 def read_partitioned(
-    spark: SparkSession, source: JdbcSource, table: str, column: str, policy: PartitionPolicy
+    spark: SparkSession,
+    source: JdbcSource,
+    table: str,
+    column: str,
+    policy: PartitionPolicy,
+    since: tuple[str, datetime] | None = None,
 ) -> DataFrame:
-    """The table in key ranges; an empty table is read in one partition."""
-    bounds = spark.read.format("jdbc").options(**source.options(bounds_query(table, column))).load()
+    """The table in key ranges; an empty table is read in one partition.
+
+    ``since`` (time column, first time) gives the ranges to the keys of a slice: over
+    the whole table growing keys would put all new rows into the last range. Filter
+    the result by the same predicate; Spark pushes it down.
+    """
+    query = bounds_query(table, column, since)
+    bounds = spark.read.format("jdbc").options(**source.options(query)).load()
     plan = partition_plan(bounds.toDF("lower_bound", "upper_bound"), policy).first()
     options = {**source.options(_checked(table)), **range_options(column, *plan)}
     return spark.read.format("jdbc").options(**options).load()
@@ -57,12 +68,15 @@ def probe(spark: SparkSession, source: JdbcSource) -> None:
         raise ConnectionError("the database did not answer the probe with one row")
 
 
-def bounds_query(table: str, column: str) -> str:
+def bounds_query(table: str, column: str, since: tuple[str, datetime] | None = None) -> str:
     """The one-row subquery that the database evaluates for the key range."""
     table, column = _checked(table), _checked(column)
+    where = ""
+    if since is not None:
+        where = f" WHERE {_checked(since[0])} >= TIMESTAMP '{since[1]:%Y-%m-%d %H:%M:%S}'"
     return (
         f"(SELECT MIN({column}) AS lower_bound, MAX({column}) AS upper_bound"
-        f" FROM {table}) key_bounds"
+        f" FROM {table}{where}) key_bounds"
     )
 
 

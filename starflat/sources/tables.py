@@ -77,6 +77,15 @@ def assert_schema(df: DataFrame, expected: T.StructType) -> None:
         raise SchemaMismatch("; ".join(wrong))
 
 
+def assert_same_schema(df: DataFrame, stored: T.StructType) -> None:
+    """The same columns with the same types as stored, in any order."""
+    assert_schema(df, stored)
+    known = set(stored.fieldNames())
+    added = [c for c in df.columns if c not in known]
+    if added:
+        raise SchemaMismatch(f"new columns: {', '.join(added)}; a full run takes them in")
+
+
 def require_columns(df: DataFrame, required: Sequence[str]) -> None:
     """Looks at the schema only."""
     missing = [c for c in required if c not in df.columns]
@@ -86,6 +95,6 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> None:
 
 def require_rows(frames: Mapping[str, DataFrame], min_rows: int = 1) -> None:
     """Each frame has at least ``min_rows`` rows; stops reading once they are found."""
-    for name, df in frames.items():
-        if df.limit(min_rows).count() < min_rows:
-            raise ValueError(f"{name} has fewer than {min_rows} rows")
+    short = [name for name, df in frames.items() if df.limit(min_rows).count() < min_rows]
+    if short:
+        raise ValueError(f"fewer than {min_rows} rows: {', '.join(short)}")

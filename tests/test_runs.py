@@ -10,7 +10,7 @@ from conftest import SALT, TRANSACTION, at
 from pyspark.sql import functions as F
 
 from starflat.operators import ledger, publish
-from starflat.operators.checks import Rejected
+from starflat.operators.checks import Rejected, null_check
 from starflat.operators.flatten import Output, flatten
 from starflat.operators.guards import GuardViolation
 from starflat.operators.metrics import read_metrics
@@ -18,7 +18,7 @@ from starflat.operators.publish import GuardSpec, drop_old_versions, read_publis
 from starflat.plans import bank
 from starflat.plans.runs import FlatJob, run
 from starflat.sources.incremental import cutoff_date, missed_rows, slice_since
-from starflat.sources.tables import local_rows
+from starflat.sources.tables import SchemaMismatch, local_rows
 
 GUARDS = GuardSpec(("card_masked",), ("card_hash", "email_hash"), ("txn_amount",))
 
@@ -63,8 +63,8 @@ def test_slice_keeps_the_whole_date(spark):
 
 def test_full_run(spark, tiny, folder):
     result = run(spark, tiny, make_job(folder), "full")
-    assert (result.rows_in, result.rows_out, result.yield_percent) == (4, 4, 100.0)
-    assert result.watermark == at("2024-10-13 18:30")
+    assert (result.rows_in, result.rows_out, result.yield_percent) == (5, 5, 100.0)
+    assert result.watermark == at("2025-03-10 00:10")
     expected = flatten(tiny, bank.gold_star(SALT))
     found = read_published(spark, folder, "transaction").select(expected.columns)
     assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
@@ -77,9 +77,9 @@ def test_a_full_run_replaces_the_version(spark, tiny, folder):
     run(spark, with_rows(spark, tiny, [(1, "2024-01-01")]), make_job(folder), "full")
     run(spark, with_rows(spark, tiny, [(2, "2024-02-01")]), make_job(folder), "full")
     assert published(spark, folder) == [2]
-    assert drop_old_versions(spark, folder, "transaction", keep=1) == ["v00000001"]
+    assert [v[:9] for v in drop_old_versions(spark, folder, "transaction", keep=1)] == ["v00000001"]
     assert published(spark, folder) == [2]
-    assert not Path(folder, "data", "v00000001").exists()
+    assert not list(Path(folder, "data").glob("v00000001*"))
 
 
 def test_incremental_keeps_history_and_takes_late_rows(spark, tiny, folder):
@@ -98,7 +98,7 @@ def test_running_again_changes_nothing(spark, tiny, folder):
     job = make_job(folder)
     for _ in range(3):
         run(spark, tiny, job, "incremental")
-    assert published(spark, folder) == [1, 2, 3, 4]
+    assert published(spark, folder) == [1, 2, 3, 4, 5]
     assert not list(Path(folder, "staging").glob("*"))
 
 
@@ -131,8 +131,8 @@ def test_no_new_rows_write_nothing(spark, tiny, folder):
     result = run(spark, none, job, "incremental")
     assert (result.rows_in, result.rows_out) == (0, 0)
     assert sorted(Path(folder, "data").rglob("*.parquet")) == before
-    assert result.watermark == at("2024-10-13 18:30")
-    assert published(spark, folder) == [1, 2, 3, 4]
+    assert result.watermark == at("2025-03-10 00:10")
+    assert published(spark, folder) == [1, 2, 3, 4, 5]
 
 
 def test_rejected_input_publishes_nothing(spark, tiny, folder):
@@ -177,9 +177,9 @@ def test_a_leak_keeps_the_published_version(spark, tiny, folder):
     for mode in ("full", "incremental"):
         with pytest.raises(GuardViolation, match="pan"):
             run(spark, tiny, leaking, mode)
-    assert published(spark, folder) == [1, 2, 3, 4]
+    assert published(spark, folder) == [1, 2, 3, 4, 5]
     assert not list(Path(folder, "staging").glob("*"))
-    assert [p.name for p in Path(folder, "data").iterdir()] == ["v00000001"]
+    assert [p.name[:9] for p in Path(folder, "data").iterdir()] == ["v00000001"]
 
 
 def test_volume_history_is_kept_per_mode(spark, tiny, folder):
@@ -196,18 +196,63 @@ def test_volume_history_is_kept_per_mode(spark, tiny, folder):
 def test_csv_beside_parquet(spark, tiny, folder):
     run(spark, tiny, make_job(folder, formats="parquet,csv"), "full")
     lines = [x for p in Path(folder, "csv").rglob("*.csv") for x in p.read_text().splitlines()]
-    assert sum("2024-10-13T18:30:00Z" in line for line in lines) == 1
-    schema = spark.read.text(f"{folder}/schema/v00000001").first()[0]
+    assert sum("2025-03-10T00:10:00Z" in line for line in lines) == 1
+    schema = spark.read.text(f"{folder}/schema/v00000001*").first()[0]
     assert "card_masked" in schema
     with pytest.raises(ValueError):
         run(spark, tiny, make_job(folder, formats="orc"), "full")
 
 
-def test_facts_without_dimensions_give_an_empty_table(spark, tiny, folder):
-    lost = {**tiny, "card": tiny["card"].limit(0)}
-    result = run(spark, lost, make_job(folder, suites={}), "full")
-    assert (result.rows_in, result.rows_out, result.watermark) == (4, 0, None)
-    assert published(spark, folder) == []
+@pytest.mark.parametrize("lost", ["transaction", "card", "member"])
+def test_a_full_run_needs_rows_of_every_table(spark, tiny, folder, lost):
+    run(spark, tiny, make_job(folder), "full")
+    with pytest.raises(ValueError, match=lost):
+        run(spark, {**tiny, lost: tiny[lost].limit(0)}, make_job(folder), "full")
+    assert published(spark, folder) == [1, 2, 3, 4, 5]
+    log = ledger.read_log(spark, publish.state_path(folder), ledger.STATE_SCHEMA)
+    assert [r["run_seq"] for r in log.filter("status = 'failed'").collect()] == [2]
+
+
+def test_an_empty_slice_is_recorded_and_checked(spark, tiny, folder):
+    job = make_job(folder)
+    run(spark, tiny, job, "incremental")
+    none = {**tiny, "transaction": tiny["transaction"].limit(0)}
+    result = run(spark, none, job, "incremental")
+    assert [(r["check_name"], r["status"]) for r in result.checks] == [("volume", "WARN")]
+    volumes = ledger.read_log(spark, f"{folder}/volumes", ledger.VOLUME_SCHEMA)
+    assert sorted(r["row_count"] for r in volumes.collect()) == [0, 5]
+    with pytest.raises(ValueError, match="card"):
+        run(spark, {**tiny, "card": tiny["card"].limit(0)}, job, "incremental")
+
+
+def test_an_increment_with_other_columns_is_refused(spark, tiny, folder):
+    job = make_job(folder)
+    run(spark, tiny, job, "incremental")
+    more = Output("card_count", lambda t: F.lit(1))
+    renamed = Output("nothing", lambda t: F.lit("x"))
+    for outputs in ((*job.star.outputs, more), (*job.star.outputs[:-2], renamed, job.star.outputs[-1])):
+        changed = replace(job, star=replace(job.star, outputs=outputs))
+        with pytest.raises(SchemaMismatch):
+            run(spark, tiny, changed, "incremental")
+    assert published(spark, folder) == [1, 2, 3, 4, 5]
+
+
+def test_the_whole_reason_of_a_failure_is_stored(spark, tiny, folder):
+    many = [null_check(f"column_number_{i:03d}") for i in range(80)]
+    with pytest.raises(Rejected):
+        run(spark, tiny, make_job(folder, suites={"card": many}), "full")
+    log = ledger.read_log(spark, publish.state_path(folder), ledger.STATE_SCHEMA)
+    reason = log.filter("status = 'failed'").first()["error"]
+    assert len(reason) > 1000 and all(f"column_number_{i:03d}" in reason for i in range(80))
+
+
+def test_metrics_have_each_check_and_the_size(spark, tiny, folder):
+    result = run(spark, tiny, make_job(folder), "full")
+    found = read_metrics(spark, f"{folder}/metrics")
+    assert found.filter("name = 'check'").count() == len(result.checks)
+    size = found.filter("name = 'output_bytes'").first()["value"]
+    files = [p for p in Path(folder, "data").rglob("*") if p.is_file() and p.suffix == ".parquet"]
+    assert size >= sum(p.stat().st_size for p in files) > 0
 
 
 def test_mode_is_an_argument(spark, tiny, folder):

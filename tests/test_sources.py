@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from datetime import datetime
+
 from types import SimpleNamespace
 
 import pytest
@@ -61,6 +63,13 @@ def test_jdbc_options():
     assert "secret" not in repr(SOURCE)
 
 
+def test_bounds_of_a_slice():
+    query = jdbc.bounds_query("bank.txn", "id", ("created", datetime(2024, 3, 1, 4)))
+    assert query.endswith("FROM bank.txn WHERE created >= TIMESTAMP '2024-03-01 04:00:00') key_bounds")
+    with pytest.raises(ValueError):
+        jdbc.bounds_query("bank.txn", "id", ("1=1 --", datetime(2024, 3, 1)))
+
+
 def test_bounds_are_a_subquery():
     assert jdbc.bounds_query("bank.txn", "id") == (
         "(SELECT MIN(id) AS lower_bound, MAX(id) AS upper_bound FROM bank.txn) key_bounds"
