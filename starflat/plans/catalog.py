@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
-from starflat.functions import local_text
+from starflat.functions import hash_value, local_text, mask_card, mask_email, redact_cards
 from starflat.operators import checks, constraints, guards, ledger, profile, publish, reports, sinks
 from starflat.operators.flatten import flatten
-from starflat.operators.metrics import read_metrics
+from starflat.operators.metrics import metric_summary, read_metrics
 from starflat.plans import activity, bank
 from starflat.plans.runs import run
 from starflat.session import shared_dir
@@ -23,8 +24,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 RESULT = ("table_name", "check_name", "column_name", "status", "value", "bad_rows", "total_rows")
 
-# Days on which the example source of the incremental queries is read.
-LOAD_DAYS = ("2024-01-12", "2024-01-22", "2024-02-28")
 SHORT_DELAY, LONG_DELAY = 5, 12
 
 
@@ -116,17 +115,27 @@ def spend_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spend_in_range_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same kind of report as SQL text over the flat table as a view."""
-    flat_star(spark, sf_dir).createOrReplaceTempView("flat_transactions")
+    """The same kind of report as SQL text over the flat table.
+
+    The scan gets the range on the bare local time, one day wider on either side
+    than the UTC dates asked for.
+    """
+    tables = bank.frames(spark, sf_dir)
+    local = F.col("txn_time")
+    near = local.between(
+        F.lit("1997-12-31").cast("timestamp_ntz"), F.lit("1999-01-02").cast("timestamp_ntz")
+    )
+    tables["transaction"] = tables["transaction"].filter(near)
     return spark.sql(
         """
         SELECT member_last_name, count(*) AS txn_count,
                CAST(sum(txn_amount) AS DECIMAL(20,2)) AS total_amount
-        FROM flat_transactions
+        FROM {flat}
         WHERE event_date BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'
         GROUP BY member_last_name
         ORDER BY total_amount DESC, member_last_name
-        """
+        """,
+        flat=flatten(tables, bank.gold_star(bank.DEMO_SALT)),
     )
 
 
@@ -315,8 +324,17 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = read_table(spark, sf_dir, "lineitem").withColumn("constant", F.lit(7))
-    found = profile.histogram(lineitem, ["l_extendedprice", "l_quantity", "constant"])
+    quantity = F.col("l_quantity")
+    lineitem = read_table(spark, sf_dir, "lineitem").withColumns(
+        {
+            "constant": F.lit(7),
+            # Now and then a measurement that is no number, or without end.
+            "odd": F.when(F.col("l_linenumber") == 1, F.lit(float("nan")))
+            .when(F.col("l_linenumber") == 2, F.lit(float("-inf")))
+            .otherwise(quantity),
+        }
+    )
+    found = profile.histogram(lineitem, ["l_extendedprice", "l_quantity", "constant", "odd"])
     return found.select(
         "column_name", "bucket", F.round("lo", 4).alias("lo"), F.round("hi", 4).alias("hi"), "n"
     )
@@ -359,12 +377,13 @@ def incremental_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three loads while events arrive up to four days late; equals one full load."""
     base = shared_dir(spark, "incremental")
-    _load_as_arrived(spark, sf_dir, base, LOAD_DAYS, SHORT_DELAY)
+    days = activity.load_days(read_table(spark, sf_dir, "events"))
+    _load_as_arrived(spark, sf_dir, base, days, SHORT_DELAY)
     return publish.read_published(spark, base, "event")
 
 
 def _load_as_arrived(
-    spark: SparkSession, sf_dir: str, base: str, days: tuple[str, ...], delay_days: int
+    spark: SparkSession, sf_dir: str, base: str, days: tuple, delay_days: int
 ) -> list:
     tables = activity.frames(spark, sf_dir)
     events = tables["event"]
@@ -383,7 +402,7 @@ def _load_as_arrived(
 def quarantine_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events that arrived later than the look-back and that no load published."""
     base = shared_dir(spark, "quarantine")
-    first, _, last = LOAD_DAYS
+    first, _, last = activity.load_days(read_table(spark, sf_dir, "events"))
     results = _load_as_arrived(spark, sf_dir, base, (first, last), LONG_DELAY)
     return missed_rows(
         read_table(spark, sf_dir, "events"),
@@ -401,7 +420,8 @@ def full_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "full")
     tables = activity.frames(spark, sf_dir)
     job = activity.job(base)
-    early = {**tables, "event": activity.arrived(tables["event"], LOAD_DAYS[0], SHORT_DELAY)}
+    first = activity.load_days(tables["event"])[0]
+    early = {**tables, "event": activity.arrived(tables["event"], first, SHORT_DELAY)}
     run(spark, early, job, "full")
     run(spark, tables, job, "full")
     publish.drop_old_versions(spark, base, "event", keep=1)
@@ -414,7 +434,8 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = activity.frames(spark, sf_dir)
     events = tables.pop("event")
     inbox = f"{base}/inbox"
-    for before, day in zip((None, *LOAD_DAYS), LOAD_DAYS):
+    days = activity.load_days(events)
+    for before, day in zip((None, *days), days):
         # The arrivals of the last day of a delivery come again with the next one.
         delivered = activity.arrived(events, day, SHORT_DELAY, since=before)
         delivered.write.mode("append").parquet(inbox)
@@ -433,8 +454,10 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = shared_dir(spark, "csv")
-    flat = flat_star(spark, sf_dir)
+    path, rows = shared_dir(spark, "csv"), shared_dir(spark, "csv-rows")
+    # The range partitioner samples its input: stored rows, not the joins again.
+    flat_star(spark, sf_dir).write.parquet(rows)
+    flat = spark.read.parquet(rows)
     sinks.write_csv(flat, path, ["txn_time", "txn_id"])
     return read_csv(spark, path, sinks.with_iso_times(flat).schema)
 
@@ -470,7 +493,7 @@ def watermark_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "state")
     events = read_table(spark, sf_dir, "events")
     orders = read_table(spark, sf_dir, "orders").withColumnRenamed("o_orderdate", "ts")
-    loads = [("events", activity.arrived(events, day, SHORT_DELAY)) for day in LOAD_DAYS]
+    loads = [("events", activity.arrived(events, day, SHORT_DELAY)) for day in activity.load_days(events)]
     loads.insert(1, ("orders", orders))
     for seq, (source, df) in enumerate(loads, start=1):
         last, n = df.agg(F.max("ts"), F.count(F.lit(1))).first()
@@ -497,7 +520,7 @@ def volume_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "volumes")
     events = read_table(spark, sf_dir, "events")
     results = None
-    for seq, day in enumerate(LOAD_DAYS, start=1):
+    for seq, day in enumerate(activity.load_days(events), start=1):
         slice_ = activity.arrived(events, day, SHORT_DELAY)
         previous = ledger.previous_volume(spark, path, "events", "full")
         found = checks.run_checks(slice_, "events", [checks.volume_check(previous)]).select(
@@ -554,6 +577,140 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def min_row_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each table of the two stars against the rows that a run needs."""
+    least = 25
+    tables = {**bank.frames(spark, sf_dir), **activity.frames(spark, sf_dir)}
+    return reports.table_counts(tables).select(
+        "table_name", "row_count", F.lit(least).cast("bigint").alias("required"),
+        (F.col("row_count") >= least).alias("enough"),
+    )
+
+
+def early_exit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States and row counts of a load, of a run without new rows, and of the whole load."""
+    base = shared_dir(spark, "early")
+    tables = activity.frames(spark, sf_dir)
+    events, job = tables["event"], activity.job(base)
+    first = activity.load_days(events)[0]
+    loaded = activity.arrived(events, first, SHORT_DELAY)
+    for slice_ in (loaded, events.filter("event_id < 0"), events):
+        run(spark, {**tables, "event": slice_}, job, "incremental")
+    log = ledger.read_log(spark, publish.state_path(base), ledger.STATE_SCHEMA)
+    done = log.filter("status = 'success'").select("run_seq", "status", "watermark")
+    volumes = ledger.read_log(spark, f"{base}/volumes", ledger.VOLUME_SCHEMA)
+    return done.join(volumes.select("run_seq", "row_count"), "run_seq")
+
+
+def mask_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masks and hashes of card numbers of 0 to 19 digits, of odd e-mails, and of NULL."""
+    key = F.col("o_orderkey")
+    digits = F.repeat(key.cast("string"), F.lit(20))
+    number = F.when(key % 21 != 20, F.left(digits, (key % 21).cast("int")))
+    user = F.left(F.concat(F.lit("user"), key.cast("string")), (key % 7).cast("int"))
+    email = (
+        F.when(key % 5 == 0, F.lit(None).cast("string"))
+        .when(key % 5 == 1, user)
+        .when(key % 5 == 2, F.concat(user, F.lit("@mail.example")))
+        .when(key % 5 == 3, F.concat(user, F.lit("@b@mail.example")))
+        .otherwise(F.lit(""))
+    )
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", number.alias("n"), email.alias("e"))
+    return orders.select(
+        "o_orderkey",
+        mask_card(F.col("n")).alias("card_masked"),
+        hash_value(F.col("n"), bank.DEMO_SALT).alias("card_hash"),
+        hash_value(F.col("n"), bank.DEMO_SALT, null_as_empty=True).alias("card_hash_or_empty"),
+        mask_email(F.col("e")).alias("email_masked"),
+        hash_value(F.col("e"), bank.DEMO_SALT).alias("email_hash"),
+    )
+
+
+def pan_redact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with their full card numbers masked."""
+    documents = read_table(spark, sf_dir, "documents")
+    return documents.select("doc_id", redact_cards(F.col("text")).alias("text"))
+
+
+def csv_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with names that need quotes, through CSV with other options."""
+    path = shared_dir(spark, "csv-options")
+    part = read_table(spark, sf_dir, "part").select(
+        "p_partkey", F.concat_ws("|", "p_name", F.lit('"quoted"'), "p_brand").alias("label"), "p_retailprice"
+    )
+    sinks.write_csv(part, path, ["p_partkey"], delimiter="|", encoding="ISO-8859-1", header=True)
+    return read_csv(spark, path, part.schema, delimiter="|", encoding="ISO-8859-1")
+
+
+def csv_beside_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CSV that a full run writes beside its table."""
+    base = shared_dir(spark, "formats")
+    job = replace(activity.job(base), formats="parquet,csv")
+    result = run(spark, activity.frames(spark, sf_dir), job, "full")
+    flat = publish.read_published(spark, base, "event")
+    path = f"{base}/csv/run-{result.run_seq:08d}"
+    return read_csv(spark, path, sinks.with_iso_times(flat).schema)
+
+
+def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event with the largest number, by its key."""
+    events = read_table(spark, sf_dir, "events")
+    return events.filter(F.col("event_id") == events.agg(F.max("event_id")).first()[0])
+
+
+def _one_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = shared_dir(spark, "summary")
+    run(spark, activity.frames(spark, sf_dir), activity.job(base), "full")
+    # Times and sizes of files differ from run to run.
+    return read_metrics(spark, f"{base}/metrics").filter(
+        "name IN ('rows_in', 'rows_out', 'check')"
+    )
+
+
+def metric_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points, total, mean and last value of a run's metrics."""
+    return metric_summary(_one_run_metrics(spark, sf_dir)).filter("name <> 'check'").select(
+        "name", "points", "total", "mean", "last"
+    )
+
+
+def metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status of every check of a run, through the JSON form of its metrics."""
+    path = shared_dir(spark, "metrics-json")
+    found = _one_run_metrics(spark, sf_dir).filter("name = 'check'")
+    sinks.write_json(found, path)
+    labels = F.col("labels")
+    return spark.read.schema(found.schema).json(path).select(
+        labels["table"].alias("table_name"), labels["check"].alias("check_name"),
+        labels["column"].alias("column_name"), labels["status"].alias("status"),
+    )
+
+
+def stream_late_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that arrive before half of their members; they follow with the next delivery."""
+    base = shared_dir(spark, "stream-late")
+    tables = activity.frames(spark, sf_dir)
+    events = tables.pop("event")
+    first = activity.load_days(events)[0]
+    half = {**tables, "member": tables["member"].filter("member_id % 2 = 0")}
+    deliveries = ((None, first, half), (first, None, tables))
+    for before, day, known in deliveries:
+        delivered = activity.arrived(events, day, SHORT_DELAY, since=before)
+        delivered.write.mode("append").parquet(f"{base}/inbox")
+        start_merge(
+            read_stream(spark, f"{base}/inbox", events.schema),
+            known,
+            activity.star(),
+            f"{base}/table",
+            "event_id",
+            "ts",
+            "event_id",
+            "event_time",
+            activity.GUARDS,
+        ).awaitTermination()
+    return read_merged(spark, f"{base}/table")
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -606,5 +763,15 @@ QUERIES: dict[str, Query] = {
         synthetic_cards,
         synthetic_transactions,
         run_metrics,
+        min_row_report,
+        early_exit,
+        mask_edges,
+        pan_redact,
+        csv_options,
+        csv_beside_parquet,
+        point_lookup,
+        metric_report,
+        metrics_json,
+        stream_late_dimension,
     )
 }

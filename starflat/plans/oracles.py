@@ -100,7 +100,18 @@ SELECT table_name, check_name, column_name,
 FROM counted
 """
 
-_ARRIVED = "CAST(ts AS DATE) + CAST(event_id % {delay} AS INTEGER) <= DATE '{day}'"
+_ARRIVED = "CAST(ts AS DATE) + CAST(event_id % {delay} AS INTEGER) <= {day}"
+
+
+def _load_day(tenths: int) -> str:
+    """The day after which so many tenths of the days of all events are over."""
+    days = "(CAST(max(ts) AS DATE) - CAST(min(ts) AS DATE))"
+    return (
+        f"(SELECT CAST(min(ts) AS DATE) + CAST({days} * {tenths} // 10 AS INTEGER) FROM events)"
+    )
+
+
+_FIRST_DAY, _SECOND_DAY = _load_day(4), _load_day(7)
 
 
 def _counted(prelude: str, *selects: str) -> str:
@@ -129,9 +140,14 @@ def _profile(table: str, column: str, number: str | None, text: bool) -> str:
     FROM {table}"""
 
 
-def _histogram(column: str) -> str:
+# NULL where the histogram's odd column is NaN or infinite.
+_ODD = "CASE WHEN l_linenumber > 2 THEN l_quantity END"
+
+
+def _histogram(name: str, column: str = "") -> str:
+    column = column or name
     return f"""
-    SELECT '{column}' AS column_name, CAST(b AS INTEGER) AS bucket,
+    SELECT '{name}' AS column_name, CAST(b AS INTEGER) AS bucket,
            round(lo + (b - 1) * ((hi - lo) / 10), 4) AS lo,
            round(CASE WHEN b = 10 THEN hi ELSE lo + b * ((hi - lo) / 10) END, 4) AS hi,
            count(*) AS n
@@ -139,7 +155,8 @@ def _histogram(column: str) -> str:
                  lo, hi
           FROM lineitem,
                (SELECT CAST(min({column}) AS DOUBLE) AS lo, CAST(max({column}) AS DOUBLE) AS hi
-                FROM lineitem))
+                FROM lineitem)
+          WHERE {column} IS NOT NULL)
     GROUP BY b, lo, hi"""
 
 
@@ -409,11 +426,10 @@ def _csv_roundtrip() -> str:
 
 
 def _volume_history() -> str:
-    days = ("2024-01-12", "2024-01-22", "2024-02-28")
+    loads = [_ARRIVED.format(delay=5, day=day) for day in (_FIRST_DAY, _SECOND_DAY)]
     runs = " UNION ALL ".join(
-        f"SELECT CAST({i} AS BIGINT) AS run_seq, count(*) AS n FROM events"
-        f" WHERE {_ARRIVED.format(delay=5, day=day)}"
-        for i, day in enumerate(days, start=1)
+        f"SELECT CAST({i} AS BIGINT) AS run_seq, count(*) AS n FROM events WHERE {load}"
+        for i, load in enumerate((*loads, "true"), start=1)
     )
     return f"""
     WITH runs AS ({runs})
@@ -427,7 +443,7 @@ def _volume_history() -> str:
 _QUARANTINE = f"""
 WITH source AS (
   SELECT event_id, ts, event_type, ts {_ZONE} AS utc,
-         {_ARRIVED.format(delay=12, day="2024-01-12")} AS in_first
+         {_ARRIVED.format(delay=12, day=_FIRST_DAY)} AS in_first
   FROM events),
 boundary AS (
   SELECT CAST(max(utc) AS DATE) - 7 AS cutoff FROM source WHERE in_first)
@@ -552,9 +568,9 @@ ORACLES: dict[str, str] = {
                || 'txn_amount,txn_description,txn_time,card_masked,card_hash,card_printed_name,'
                || 'card_created,account_type,account_created,event_date' AS column_name,
                'PASS' AS status, CAST(1.0 AS DOUBLE) AS value, CAST(0 AS BIGINT) AS bad_rows,
-               count(*) AS total_rows FROM lineitem
+               CAST(NULL AS BIGINT) AS total_rows
         UNION ALL
-        SELECT 'raw', 'completeness', 'number,email', 'FAIL', 0.0, 2, count(*) FROM lineitem""",
+        SELECT 'raw', 'completeness', 'number,email', 'FAIL', 0.0, 2, NULL""",
     "check_volume": """
         WITH daily AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1)
         SELECT d.day, d.n,
@@ -594,7 +610,10 @@ ORACLES: dict[str, str] = {
         )
     ),
     "histogram": f"""{_histogram('l_extendedprice')} UNION ALL {_histogram('l_quantity')}
-        UNION ALL SELECT 'constant', 1, 7.0, 7.0, count(*) FROM lineitem""",
+        UNION ALL SELECT 'constant', 1, 7.0, 7.0, count(*) FROM lineitem
+        UNION ALL {_histogram('odd', f"({_ODD})")}
+        UNION ALL SELECT 'odd', 0, NULL, NULL, count(*) FROM lineitem WHERE l_linenumber <= 2
+        HAVING count(*) > 0""",
     "output_profile": f"""{_FLAT}
         SELECT count(*) AS row_count, CAST(16 AS BIGINT) AS column_count,
                CAST(0 AS BIGINT) AS null_cells,
@@ -631,6 +650,73 @@ ORACLES: dict[str, str] = {
     "synthetic_accounts": f"{_SYNTHETIC} SELECT * FROM account",
     "synthetic_cards": f"{_SYNTHETIC} SELECT * FROM card",
     "synthetic_transactions": f"{_SYNTHETIC} SELECT * FROM txn",
+    "min_row_report": f"""{_BANK}
+        SELECT table_name, row_count, CAST(25 AS BIGINT) AS required, row_count >= 25 AS enough FROM (
+          SELECT 'member' AS table_name, count(*) AS row_count FROM member
+          UNION ALL SELECT 'account', count(*) FROM account
+          UNION ALL SELECT 'card', count(*) FROM card
+          UNION ALL SELECT 'transaction', count(*) FROM txn
+          UNION ALL SELECT 'event', count(*) FROM events
+          UNION ALL SELECT 'nation', count(*) FROM nation)""",
+    "early_exit": f"""
+        WITH loaded AS (SELECT * FROM events WHERE {_ARRIVED.format(delay=5, day=_FIRST_DAY)}),
+        seen AS (SELECT max(ts {_ZONE}) AS last FROM loaded)
+        SELECT CAST(1 AS BIGINT) AS run_seq, 'success' AS status, (SELECT last FROM seen) AS watermark,
+               count(*) AS row_count FROM loaded
+        UNION ALL SELECT 2, 'success', (SELECT last FROM seen), 0
+        UNION ALL SELECT 3, 'success', (SELECT max(ts {_ZONE}) FROM events), count(*) FROM events
+          WHERE CAST(ts {_ZONE} AS DATE) >= (SELECT CAST(last AS DATE) - 7 FROM seen)""",
+    "mask_edges": """
+        WITH given AS (
+          SELECT o_orderkey, CASE WHEN o_orderkey % 21 <> 20
+                   THEN left(repeat(CAST(o_orderkey AS VARCHAR), 20), CAST(o_orderkey % 21 AS INTEGER)) END AS n,
+                 left('user' || o_orderkey, CAST(o_orderkey % 7 AS INTEGER)) AS u,
+                 o_orderkey % 5 AS kind
+          FROM orders),
+        odd AS (
+          SELECT *, CASE kind WHEN 1 THEN u WHEN 2 THEN u || '@mail.example'
+                    WHEN 3 THEN u || '@b@mail.example' WHEN 4 THEN '' END AS e,
+                 CASE kind WHEN 2 THEN u WHEN 3 THEN u || '@b' END AS name
+          FROM given)
+        SELECT o_orderkey,
+               CASE WHEN length(n) >= 13 THEN left(n, 6) || '******' || right(n, 4)
+                    WHEN length(n) > 4 THEN '******' || right(n, 4)
+                    WHEN n IS NOT NULL THEN '******' END AS card_masked,
+               sha256(n || 'demo-salt') AS card_hash,
+               sha256(coalesce(n, '') || 'demo-salt') AS card_hash_or_empty,
+               CASE WHEN e IS NULL THEN '' WHEN name IS NULL THEN '****'
+                    ELSE left(name, greatest(least(length(name) - 1, 3), 0)) || '****@mail.example'
+               END AS email_masked,
+               sha256(e || 'demo-salt') AS email_hash
+        FROM odd""",
+    "pan_redact": r"""
+        SELECT doc_id, regexp_replace(text, '\b([0-9]{6})[0-9]{6}([0-9]{4})\b', '\1******\2', 'g') AS text
+        FROM documents""",
+    "csv_options": """
+        SELECT p_partkey, p_name || '|"quoted"|' || p_brand AS label, p_retailprice FROM part""",
+    "csv_beside_parquet": f"""{_ACTIVITY}
+        SELECT * REPLACE ({_ISO.format(c='event_time')} AS event_time) FROM flat""",
+    "point_lookup": "SELECT * FROM events WHERE event_id = (SELECT max(event_id) FROM events)",
+    "metric_report": """
+        SELECT name, CAST(1 AS BIGINT) AS points, n AS total, n AS mean, n AS last
+        FROM (SELECT CAST(count(*) AS DOUBLE) AS n FROM events),
+             (VALUES ('rows_in'), ('rows_out')) v(name)""",
+    "metrics_json": """
+        SELECT 'event' AS table_name, 'completeness' AS check_name,
+               'event_id,ts,user_id,value' AS column_name, 'PASS' AS status
+        UNION ALL SELECT 'event', 'null', 'user_id',
+          CASE WHEN count(*) - count(user_id) > 0.01 * count(*) THEN 'FAIL' ELSE 'PASS' END FROM events
+        UNION ALL SELECT 'event', 'negative', 'value',
+          CASE WHEN min(value) < 0 THEN 'WARN' ELSE 'PASS' END FROM events
+        UNION ALL SELECT 'event', 'extreme', 'value',
+          CASE WHEN min(value) < 0.01 OR max(value) > 100000 THEN 'WARN' ELSE 'PASS' END FROM events
+        UNION ALL SELECT 'event', 'duplicate', 'event_id',
+          CASE WHEN count(DISTINCT event_id) < count(*) THEN 'FAIL' ELSE 'PASS' END FROM events
+        UNION ALL SELECT 'event', 'volume', '', 'PASS'
+        UNION ALL SELECT 'member', 'consistency', 'email',
+          CASE WHEN count(*) FILTER (WHERE coalesce(c_name, '') = '') > 0 THEN 'FAIL' ELSE 'PASS' END
+          FROM customer""",
+    "stream_late_dimension": f"{_ACTIVITY} SELECT * FROM flat",
     "run_metrics": """
         WITH broken(status, failing) AS (
           SELECT 'FAIL', count(*) FILTER (WHERE user_id IS NULL) * 1.0 / count(*) > 0.01

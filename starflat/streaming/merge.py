@@ -7,13 +7,15 @@ again replaces exactly what it wrote.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from starflat.operators.checks import Check, gate, run_checks
 from starflat.operators.flatten import Star, flatten
+from starflat.operators.ledger import read_log
 from starflat.operators.publish import GuardSpec, remove, stage
 from starflat.operators.sinks import write_parquet
 
@@ -56,8 +58,14 @@ def start_merge(
     guards: GuardSpec = GuardSpec(),
     delay: str = "7 days",
     partition_by: str = "event_date",
+    suite: Sequence[Check] = (),
 ) -> StreamingQuery:
-    """Loads what is there and stops; started again it goes on where it stopped."""
+    """Loads what is there and stops; started again it goes on where it stopped.
+
+    Each batch passes the gate of ``suite`` before it is joined, as a batch run
+    does. Facts that do not find all their dimensions yet wait: they are stored
+    beside the batch and joined again with the next one.
+    """
     spark = stream.sparkSession
     arrivals = first_arrivals(stream, id_column, time_column, delay)
 
@@ -67,8 +75,15 @@ def start_merge(
         landed_path = f"{base}/landed/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(landed_path)
         landed = spark.read.schema(batch.schema).parquet(landed_path)
-        if not landed.isEmpty():
-            flat = flatten({**dimensions, star.fact: landed}, star)
+        if suite and not landed.isEmpty():
+            gate(run_checks(landed, star.fact, suite))
+        waiting = read_waiting(spark, base, batch.schema, batch_id)
+        facts = landed.unionByName(waiting)
+        waits_path = f"{base}/waiting/batch_id={batch_id}"
+        if facts.isEmpty():
+            facts.limit(0).write.mode("overwrite").parquet(waits_path)
+        else:
+            flat = flatten({**dimensions, star.fact: facts}, star)
             staged_path = f"{base}/staged/batch_id={batch_id}"
             staged = stage(
                 flat, staged_path, guards, partition_by, output_time, output_id
@@ -77,6 +92,9 @@ def start_merge(
             write_parquet(
                 staged.rows, target, partition_by, (output_time, output_id), clustered=True
             )
+            known = staged.rows.select(F.col(output_id).alias("_known"))
+            lost = facts.join(known, F.col(id_column).eqNullSafe(F.col("_known")), "left_anti")
+            lost.write.mode("overwrite").parquet(waits_path)
             remove(spark, staged_path)
         remove(spark, landed_path)
 
@@ -89,6 +107,38 @@ def start_merge(
     )
 
 
+def read_waiting(
+    spark: SparkSession, base: str, schema: T.StructType, before: int | None = None
+) -> DataFrame:
+    """Facts without all their dimensions after the newest batch (earlier than ``before``).
+
+    A batch stores everything that still waits, so only the newest one counts and a
+    batch that runs again reads what it read before.
+    """
+    stored = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    rows = read_log(spark, f"{base}/waiting", stored)
+    batches = waiting_batches(spark, base)
+    earlier = [b for b in batches if before is None or b < before]
+    newest = max(earlier, default=-1)
+    return rows.filter(F.col("batch_id") == newest).drop("batch_id")
+
+
+def waiting_batches(spark: SparkSession, base: str) -> list[int]:
+    """Numbers of the batches that stored waiting facts, by their folders."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/waiting/batch_id=*")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [int(s.getPath().getName().split("=")[1]) for s in found or []]
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that came later than the delay and were dropped, over the recent batches."""
+    return sum(
+        operator.numRowsDroppedByWatermark
+        for progress in query.recentProgress
+        for operator in progress.stateOperators
+    )
+
+
 def read_merged(spark: SparkSession, base: str) -> DataFrame:
     """All loaded batches as one table."""
     return spark.read.parquet(f"{base}/data").drop("batch_id")

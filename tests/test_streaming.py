@@ -7,15 +7,22 @@ from conftest import SALT, at
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from starflat.operators.checks import null_check
 from starflat.operators.flatten import Output, Star, flatten
 from starflat.operators.publish import GuardSpec
 from starflat.plans import bank
-from starflat.streaming.merge import read_merged, read_stream, start_merge
+from starflat.streaming.merge import (
+    dropped_rows,
+    read_merged,
+    read_stream,
+    read_waiting,
+    start_merge,
+)
 
 GUARDS = GuardSpec(("card_masked",), ("card_hash",), ("txn_amount",))
 
 
-def load(spark, tiny, folder, star=None):
+def load(spark, tiny, folder, star=None, suite=()):
     dimensions = {k: v for k, v in tiny.items() if k != "transaction"}
     return start_merge(
         read_stream(spark, f"{folder}/inbox", tiny["transaction"].schema, files_per_trigger=1),
@@ -27,6 +34,7 @@ def load(spark, tiny, folder, star=None):
         "txn_id",
         "txn_time",
         GUARDS,
+        suite=suite,
     )
 
 
@@ -54,7 +62,7 @@ def test_a_repeated_batch_replaces_itself(spark, tiny, folder):
     for commit in Path(folder, "out", "checkpoint", "commits").glob("*"):
         commit.unlink()
     load(spark, tiny, folder).awaitTermination()
-    assert read_merged(spark, f"{folder}/out").count() == 4
+    assert read_merged(spark, f"{folder}/out").count() == 5
 
 
 def test_rows_later_than_the_delay_are_dropped(spark, tiny, folder):
@@ -79,3 +87,37 @@ def test_a_leak_stops_the_stream(spark, tiny, folder):
     with pytest.raises(StreamingQueryException):
         load(spark, tiny, folder, Star(star.fact, star.links, (*kept, leak))).awaitTermination()
     assert not Path(folder, "out", "data").exists()
+
+
+def test_facts_wait_for_their_dimensions(spark, tiny, folder):
+    send(tiny["transaction"], folder)
+    late = {**tiny, "card": tiny["card"].filter("card_id <> 2")}
+    load(spark, late, folder).awaitTermination()
+    out = f"{folder}/out"
+    assert sorted(r["txn_id"] for r in read_merged(spark, out).collect()) == [1, 3, 4]
+    waiting = read_waiting(spark, out, tiny["transaction"].schema)
+    assert sorted(r["txn_id"] for r in waiting.collect()) == [2, 5]
+    more = tiny["transaction"].filter("txn_id = 1").withColumn("txn_id", F.lit(6))
+    send(more, folder)
+    load(spark, tiny, folder).awaitTermination()
+    assert sorted(r["txn_id"] for r in read_merged(spark, out).collect()) == [1, 2, 3, 4, 5, 6]
+    assert read_waiting(spark, out, tiny["transaction"].schema).count() == 0
+
+
+def test_the_gate_stops_a_bad_batch(spark, tiny, folder):
+    send(tiny["transaction"].withColumn("card_id", F.lit(None).cast("int")), folder)
+    with pytest.raises(StreamingQueryException, match="failed checks"):
+        load(spark, tiny, folder, suite=[null_check("card_id")]).awaitTermination()
+    assert not Path(folder, "out", "data").exists()
+
+
+def test_dropped_rows_are_counted(spark, tiny, folder):
+    send(tiny["transaction"], folder)
+    load(spark, tiny, folder).awaitTermination()
+    old = tiny["transaction"].withColumn("txn_id", F.col("txn_id") + 50).withColumn(
+        "txn_time", F.lit(at("2024-01-01"))
+    )
+    send(old, folder)
+    query = load(spark, tiny, folder)
+    query.awaitTermination()
+    assert dropped_rows(query) == 5
