@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
@@ -23,6 +24,8 @@ CLASS_RATIO = 1.15
 REPEATS, SAMPLED = 24, 2
 SEED = 20240611
 FILTER_BITS = 20
+# Runs of words that the filter knows; the longest that any similar passage must share.
+GRAMS = (3, 2)
 REGION_ITEMS = 4
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -37,10 +40,15 @@ def _codes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(crc32, words), np.uint32, len(words))
 
 
-def _pair_places(codes: np.ndarray) -> np.ndarray:
-    """Places of the neighbouring word pairs in the filter."""
-    first, second = codes[:-1].astype(np.uint64), codes[1:].astype(np.uint64)
-    mixed = (first * np.uint64(0x9E3779B97F4A7C15) + second) * np.uint64(0xD6E8FEB86659FD93)
+def _gram_places(codes: np.ndarray, size: int) -> np.ndarray:
+    """Places in the filter of the runs of ``size`` words."""
+    n = len(codes) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    mixed = np.full(n, size, np.uint64)
+    for i in range(size):
+        mixed = (mixed ^ codes[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(31)
     return (mixed >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
@@ -49,41 +57,57 @@ def allowed(length: int) -> int:
     return int((1 - SIMILARITY) * length + 1e-9)
 
 
-def length_classes(lengths: list[int]) -> list[tuple[int, int]]:
-    """``(least, most)`` words of the items that share windows of ``most`` words."""
-    classes: list[tuple[int, int]] = []
+@dataclass(frozen=True)
+class Kind:
+    """Items of ``least`` to ``most`` words, looked for through runs of ``gram`` words."""
+
+    least: int
+    most: int
+    gram: int
+    enough: int  # runs that a similar passage has in common with any of these items
+
+
+def kinds_of(lengths: list[int]) -> list[Kind]:
+    """Classes of item lengths; an edit breaks at most as many runs as a run has words."""
+    classes: list[list[int]] = []
     for length in sorted(set(lengths)):
         if classes and length <= classes[-1][0] * CLASS_RATIO:
-            classes[-1] = (classes[-1][0], length)
+            classes[-1].append(length)
         else:
-            classes.append((length, length))
-    return classes
+            classes.append([length])
+    found = []
+    for group in classes:
+        enough = {q: min(n - q + 1 - q * allowed(n) for n in group) for q in GRAMS}
+        gram = next((q for q in GRAMS if enough[q] >= 1), GRAMS[-1])
+        found.append(Kind(group[0], group[-1], gram, max(1, enough[gram])))
+    return found
 
 
-def _enough(least: int) -> int:
-    """Word pairs that a similar passage has in common with any item of ``least`` words or more."""
-    return max(1, least - 1 - 2 * allowed(least))
+def _counts(known: np.ndarray, window: int, gram: int, words: int) -> np.ndarray:
+    """Known runs in the window that starts at each word, cut at the end."""
+    sums = np.concatenate([[0], np.cumsum(known)])
+    starts = np.minimum(np.arange(words), len(known))
+    return sums[np.minimum(starts + max(window - gram + 1, 0), len(known))] - sums[starts]
 
 
-def _counts(known: np.ndarray, window: int) -> np.ndarray:
-    """Known pairs in the window that starts at each word, cut at the end."""
-    sums = np.concatenate([[0], np.cumsum(known)])
-    starts = np.arange(len(known) + 1)
-    return sums[np.minimum(starts + window - 1, len(known))] - sums[starts]
+def _known(codes: np.ndarray, bits: np.ndarray, kinds: list[Kind]) -> dict[int, np.ndarray]:
+    return {q: bits[_gram_places(codes, q)] for q in {k.gram for k in kinds}}
 
 
-def _regions(known: np.ndarray, classes: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Word ranges that hold all windows with enough known pairs, long ones cut with overlap."""
-    n = len(known) + 1
-    widest = classes[-1][1] + allowed(classes[-1][1])
-    if _counts(known, widest).max() < min(_enough(a) for a, _ in classes):
-        return []
+def _regions(known: dict[int, np.ndarray], words: int, kinds: list[Kind]) -> list[tuple[int, int]]:
+    """Word ranges that hold all windows with enough known runs, long ones cut with overlap."""
+    n = words
+    widest = max(k.most + allowed(k.most) for k in kinds)
     edges = np.zeros(n + 1, np.int64)
-    for least, most in classes:
-        window = most + allowed(most)
-        starts = np.flatnonzero(_counts(known, window) >= _enough(least))
-        np.add.at(edges, starts, 1)
-        np.add.at(edges, np.minimum(starts + window, n), -1)
+    for gram, runs in known.items():
+        mine = [k for k in kinds if k.gram == gram]
+        if _counts(runs, widest, gram, n).max() < min(k.enough for k in mine):
+            continue
+        for kind in mine:
+            window = kind.most + allowed(kind.most)
+            starts = np.flatnonzero(_counts(runs, window, gram, n) >= kind.enough)
+            np.add.at(edges, starts, 1)
+            np.add.at(edges, np.minimum(starts + window, n), -1)
     covered = np.cumsum(edges[:-1]) > 0
     turns = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
     found = []
@@ -96,37 +120,41 @@ def _regions(known: np.ndarray, classes: list[tuple[int, int]]) -> list[tuple[in
     return found
 
 
-def embed(windows: np.ndarray, repeat: int, steps: int) -> np.ndarray:
-    """CGK walks over rows of word codes, 0 beyond the end.
+def embed(windows: np.ndarray, repeat: int, places: np.ndarray) -> np.ndarray:
+    """Some places of the CGK walks over rows of word codes, 0 beyond the end.
 
     Each step writes the word the walk stands at and goes on by a random bit
     that depends on the step and on the word. Where two rows differ by an edit
-    their walks part, and soon fall into step again by chance.
+    their walks part, and soon fall into step again by chance. A word's bits for
+    64 steps come from one hash of it.
     """
     rows, width = windows.shape
-    out = np.zeros((rows, steps), np.uint32)
-    at = np.zeros(rows, np.int64)
-    every = np.arange(rows)
-    padded = np.hstack([windows, np.zeros((rows, 1), np.uint32)])
-    salts = np.random.default_rng([SEED, repeat]).integers(1, 1 << 63, steps, dtype=np.uint64)
-    for step in range(steps):
-        symbol = padded[every, at]
-        out[:, step] = symbol
-        mixed = (symbol.astype(np.uint64) ^ salts[step]) * np.uint64(0xFF51AFD7ED558CCD)
-        at = np.minimum(at + (mixed >> np.uint64(63)).astype(np.int64), width)
+    padded = np.hstack([windows, np.zeros((rows, 1), np.uint32)]).ravel()
+    first = np.arange(rows) * (width + 1)
+    at, last = first.copy(), first + width
+    out = np.zeros((rows, len(places)), np.uint32)
+    for step in range(int(places.max()) + 1):
+        if step % 64 == 0:
+            salt = np.random.default_rng([SEED, repeat, step]).integers(1, 1 << 63, dtype=np.uint64)
+            bits = (padded.astype(np.uint64) ^ salt) * np.uint64(0xFF51AFD7ED558CCD)
+            bits = (bits ^ (bits >> np.uint64(32))) * np.uint64(0xC4CEB9FE1A85EC53)
+            bits ^= bits >> np.uint64(29)
+        for column in np.flatnonzero(places == step):
+            out[:, column] = padded[at]
+        at += ((bits[at] >> np.uint64(step % 64)) & np.uint64(1)).astype(np.int64)
+        np.minimum(at, last, out=at)
     return out
 
 
 def window_keys(windows: np.ndarray, kind: int, least: int) -> np.ndarray:
     """One key per repetition of each window: sampled places of its embedding."""
     keys = np.zeros((len(windows), REPEATS), np.uint64)
-    steps = 2 * least
     for repeat in range(REPEATS):
-        places = np.sort(np.random.default_rng([SEED, kind, repeat]).integers(0, steps, SAMPLED))
-        walked = embed(windows, repeat, int(places[-1]) + 1)
+        places = np.random.default_rng([SEED, kind, repeat]).integers(0, 2 * least, SAMPLED)
+        walked = embed(windows, repeat, places)
         key = np.full(len(windows), kind * REPEATS + repeat + 1, np.uint64)
-        for place in places:
-            key = (key ^ walked[:, place]) * np.uint64(0x9E3779B97F4A7C15)
+        for symbols in walked.T:
+            key = (key ^ symbols) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(29)
         keys[:, repeat] = key
     return keys.view(np.int64)
@@ -145,19 +173,29 @@ def distance(item: list[bytes], region: list[bytes]) -> int:
     return int(row.min())
 
 
-def _windows(codes: np.ndarray, known: np.ndarray, classes: list[tuple[int, int]]):
-    """Windows of each class with enough known pairs: where their number peaks or a known run begins."""
-    begins = np.concatenate([known & ~np.concatenate([[False], known[:-1]]), [False]])
-    for kind, (least, most) in enumerate(classes):
-        counts = _counts(known, most)
+def may_be_close(item: list[bytes], region_pairs: set) -> bool:
+    """Whether enough word pairs are shared: an edit takes at most two pairs of the item away."""
+    pairs = set(zip(item, item[1:]))
+    return len(pairs & region_pairs) >= len(pairs) - 2 * allowed(len(item))
+
+
+def _windows(codes: np.ndarray, bits: np.ndarray, kinds: list[Kind]):
+    """Windows of each class with enough known runs: where their number peaks or such runs begin."""
+    known = _known(codes, bits, kinds)
+    for number, kind in enumerate(kinds):
+        runs, n = known[kind.gram], len(codes)
+        begins = np.zeros(n, bool)
+        begins[: len(runs)] = runs & ~np.concatenate([[False], runs[:-1]])
+        counts = _counts(runs, kind.most, kind.gram, n)
         after = np.concatenate([counts[1:], [-1]])
         before = np.concatenate([[-1], counts[:-1]])
-        needed = max(1, _enough(least) - allowed(most))
+        # The window is shorter than the one that decided: it may lack the last runs.
+        needed = max(1, kind.enough - allowed(kind.most))
         peaks = np.flatnonzero((counts >= needed) & ((counts > after) & (counts >= before) | begins))
         if len(peaks):
-            starts = np.unique(np.clip(np.concatenate([peaks - 1, peaks, peaks + 1]), 0, len(codes) - 1))
-            padded = np.concatenate([codes, np.zeros(most, np.uint32)])
-            yield kind, padded[starts[:, None] + np.arange(most)]
+            starts = np.unique(np.clip(np.concatenate([peaks - 1, peaks, peaks + 1]), 0, n - 1))
+            padded = np.concatenate([codes, np.zeros(kind.most, np.uint32)])
+            yield number, padded[starts[:, None] + np.arange(kind.most)]
 
 
 def matches(
@@ -172,13 +210,14 @@ def matches(
     A document holds an item if some part of it equals the item's words but for
     edits (inserted, left out or other words) in at most a fifth of them.
 
-    1. Word pairs of the items set bits of a filter of fixed size. Windows of a
-       document with fewer known pairs than that many edits would leave are out.
+    1. Runs of two and three words of the items set bits of a filter of fixed size.
+       Windows with fewer known runs than that many edits would leave are out.
        The rest are regions; equal regions of many documents are handled once.
     2. Windows as long as the items, over the regions, are embedded by random
        walks that turn edits into few differing places. Keys of sampled places,
        ``REPEATS`` of them, are joined with those of the items.
-    3. The edit distance of every pair that met is computed exactly.
+    3. The edit distance of every pair that met is computed exactly, unless they
+       share too few word pairs for it to be small enough.
 
     Items under ``MIN_WORDS`` words are no passages and match nothing, nor do
     NULL or empty texts. Repeated rows of an id count as one document; NULL ids
@@ -189,7 +228,8 @@ def matches(
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, rows in byte_rows(batches):
             found = [words_of(r) for r in rows]
-            places = [np.unique(_pair_places(_codes(w))) if len(w) > 1 else [] for w in found]
+            codes = [_codes(w) for w in found]
+            places = [np.unique(np.concatenate([_gram_places(c, q) for q in GRAMS])) for c in codes]
             yield pa.RecordBatch.from_arrays(
                 [
                     keys,
@@ -208,20 +248,18 @@ def matches(
     bits = np.zeros(1 << FILTER_BITS, bool)
     bits[[r[0] for r in wanted.select(F.explode("places")).distinct().collect()]] = True
     lengths = [r["n"] for r in wanted.select("n").distinct().collect()]
-    classes = length_classes(lengths) or [(MIN_WORDS, MIN_WORDS)]
+    kinds = kinds_of(lengths or [MIN_WORDS])
     packed = np.packbits(bits)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_pairs = np.unpackbits(packed).astype(bool)
+        known_bits = np.unpackbits(packed).astype(bool)
         for keys, rows in byte_rows(batches):
             where, found = [], []
             for at, row in enumerate(rows):
                 words = words_of(row)
-                if len(words) < 2:
-                    continue
-                known = known_pairs[_pair_places(_codes(words))]
-                if known.any():
-                    for start, end in _regions(known, classes):
+                known = _known(_codes(words), known_bits, kinds)
+                if any(runs.any() for runs in known.values()):
+                    for start, end in _regions(known, len(words), kinds):
                         where.append(at)
                         found.append(b" ".join(words[start:end]).decode())
             yield pa.RecordBatch.from_arrays(
@@ -240,17 +278,15 @@ def matches(
     )
 
     def region_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_pairs = np.unpackbits(packed).astype(bool)
+        known_bits = np.unpackbits(packed).astype(bool)
         for keys, rows in byte_rows(batches):
             stacks: dict[int, list] = {}
             for at, row in enumerate(rows):
-                codes = _codes(row.split())
-                known = known_pairs[_pair_places(codes)]
-                for kind, windows in _windows(codes, known, classes):
+                for kind, windows in _windows(_codes(row.split()), known_bits, kinds):
                     stacks.setdefault(kind, []).append((at, windows))
             for kind, parts in stacks.items():
                 owners = np.repeat([at for at, _ in parts], [len(w) for _, w in parts])
-                found = window_keys(np.vstack([w for _, w in parts]), kind, classes[kind][0])
+                found = window_keys(np.vstack([w for _, w in parts]), kind, kinds[kind].least)
                 pairs = np.unique(
                     np.stack([np.repeat(owners, REPEATS), found.ravel()]), axis=1
                 )
@@ -263,11 +299,10 @@ def matches(
             where, found = [], []
             for at, row in enumerate(rows):
                 codes = _codes(row.split())
-                kind = next(k for k, (a, b) in enumerate(classes) if a <= len(codes) <= b)
-                least, most = classes[kind]
-                window = np.zeros((1, most), np.uint32)
+                kind = next(i for i, k in enumerate(kinds) if k.least <= len(codes) <= k.most)
+                window = np.zeros((1, kinds[kind].most), np.uint32)
                 window[0, : len(codes)] = codes
-                found.append(window_keys(window, kind, least).ravel())
+                found.append(window_keys(window, kind, kinds[kind].least).ravel())
                 where.extend([at] * REPEATS)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -288,13 +323,19 @@ def matches(
 
     def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = [
-                distance(item.encode().split(), words.encode().split())
-                for item, words in zip(frame["item"], frame["words"])
-            ]
-            frame = frame.assign(distance=found)
-            near = frame["distance"] <= frame["n"].map(allowed)
-            yield frame.loc[near, ["region", "item_id", "n", "distance"]]
+            kept, found = [], []
+            for text, rows in frame.groupby("words", sort=False).indices.items():
+                words = text.encode().split()
+                pairs = set(zip(words, words[1:]))
+                for row in rows:
+                    item = frame["item"].iat[row].encode().split()
+                    if may_be_close(item, pairs):
+                        edits = distance(item, words)
+                        if edits <= allowed(len(item)):
+                            kept.append(row)
+                            found.append(edits)
+            near = frame.iloc[kept].assign(distance=found)
+            yield near[["region", "item_id", "n", "distance"]]
 
     close = pairs.mapInPandas(verify, "region long, item_id long, n int, distance int")
     return (
