@@ -132,10 +132,33 @@ def _run(
     cutoff = cutoff_date(last["watermark"], job.lookback_days) if replacing else None
     # Dimensions are read whole: a fact row of the slice may refer to any of them.
     fact = slice_since(frames[job.source], job.source_time, job.zone, cutoff)
-    inputs = {**frames, job.source: fact}
+    # The slice is landed once: the gate, the search for hot keys and the join all see
+    # the same rows, and the source is read a single time.
+    landed = f"{job.base}/landed/run-{seq:08d}-{uuid.uuid4().hex[:8]}"
+    try:
+        with metrics.stage("land"):
+            fact.write.option("compression", job.compression).parquet(landed)
+        fact = spark.read.schema(fact.schema).parquet(landed)
+        return _publish(spark, {**frames, job.source: fact}, job, mode, last, seq, metrics, cutoff)
+    finally:
+        publish.remove(spark, landed)
+
+
+def _publish(
+    spark: SparkSession,
+    inputs: Mapping[str, DataFrame],
+    job: FlatJob,
+    mode: str,
+    last: Row | None,
+    seq: int,
+    metrics: RunMetrics,
+    cutoff: date | None,
+) -> RunResult:
+    """Everything that follows the landing of the slice."""
+    replacing, fact = cutoff is not None, inputs[job.source]
     with metrics.stage("count"):
-        rows_in = fact.count()
-    required = {t: df for t, df in frames.items() if not (replacing and t == job.source)}
+        rows_in = fact.count()  # from the file footers
+    required = {t: df for t, df in inputs.items() if not (replacing and t == job.source)}
     with metrics.stage("min_rows"):
         require_rows(required, job.min_rows)
     if rows_in == 0:  # nothing new since the last increment

@@ -246,6 +246,21 @@ def test_the_whole_reason_of_a_failure_is_stored(spark, tiny, folder):
     assert len(reason) > 1000 and all(f"column_number_{i:03d}" in reason for i in range(80))
 
 
+@pytest.mark.parametrize("mode", ["full", "incremental"])
+def test_the_source_is_read_once(spark, tiny, folder, mode):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def watch(value):
+        seen.add(1)
+        return value
+
+    watched = tiny["transaction"].withColumn("card_id", watch("card_id"))
+    run(spark, {**tiny, "transaction": watched}, make_job(folder), mode)
+    assert seen.value == 5
+    assert not list(Path(folder, "landed").glob("*"))
+
+
 def test_metrics_have_each_check_and_the_size(spark, tiny, folder):
     result = run(spark, tiny, make_job(folder), "full")
     found = read_metrics(spark, f"{folder}/metrics")
