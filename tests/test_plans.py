@@ -10,7 +10,7 @@ import pytest
 from starflat.operators.checks import run_checks
 from starflat.plans import bank
 from starflat.plans.catalog import QUERIES
-from starflat.sources.incremental import slice_since
+from starflat.sources.incremental import missed_rows, slice_since
 from starflat.sources.tables import read_table
 
 SF = "/root/testdata/sf0.001"
@@ -54,6 +54,25 @@ def test_the_date_range_reaches_the_scan(spark):
     assert re.search(r"PushedFilters: .*GreaterThanOrEqual\(l_shipdate,", text)
 
 
+def test_the_date_range_of_the_sql_reaches_the_scan(spark):
+    text = plan(QUERIES["spend_in_range_sql"](spark, SF))
+    assert re.search(r"PushedFilters: .*GreaterThanOrEqual\(l_shipdate,1997-12-31", text)
+    assert re.search(r"PushedFilters: .*LessThanOrEqual\(l_shipdate,1999-01-02", text)
+
+
+def test_late_rows_are_looked_for_in_old_data_only(spark, folder):
+    events = read_table(spark, SF, "events")
+    dated = events.select("event_id", events["ts"].cast("date").alias("event_date"))
+    dated.write.partitionBy("event_date").parquet(folder)
+    published = spark.read.parquet(folder)
+    late = missed_rows(
+        events, "ts", bank.SOURCE_ZONE, date(2024, 1, 10), "event_id", published, "event_id"
+    )
+    text = plan(late)
+    assert re.search(r"PushedFilters: .*LessThan\(ts,2024-01-11", text)
+    assert re.search(r"PartitionFilters: \[.*event_date.* < 2024-01-10", text)
+
+
 def test_the_look_back_reaches_the_scan(spark):
     events = read_table(spark, SF, "events")
     text = plan(slice_since(events, "ts", bank.SOURCE_ZONE, date(2024, 1, 20)))
@@ -92,7 +111,7 @@ def test_scanning_checks_share_one_scan(spark):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_joins(spark, no_broadcast, name):
-    if name in ("incremental_merge", "quarantine_late", "full_publish", "stream_merge"):
+    if name in ("incremental_merge", "quarantine_late", "full_publish", "stream_merge", "stream_late_dimension"):
         pytest.skip("returns a table it wrote")
     text = simple(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
