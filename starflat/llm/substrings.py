@@ -114,21 +114,26 @@ def repeats(docs: DataFrame) -> DataFrame:
     """``(row, doc_id, sentences, at, length, first_doc_id)``: spans that occurred before.
 
     The first occurrence of a span is the one with the smallest document id
-    (NULL last), then row, then place. Spans are counted before the shuffle, so
-    a passage in a third of all documents sends one row a task; the join that
-    follows has one row per repeated span on its other side and AQE splits it.
+    (NULL last), then row, then place.
+
+    Half of each hash decides first: it is counted alone, partly before the
+    shuffle, so a passage in a third of all documents sends one row a task. Spans
+    whose half occurs once are out; the semi-join that drops them has one row a
+    half on its other side and AQE splits it. Whole hashes decide over the rest.
     """
     found = staged(spans(docs), "spans")
+    several = found.groupBy("low").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("low")
+    candidates = staged(found.join(several, "low", "left_semi"), "span-candidates")
     place = F.struct(
         F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("first_doc_id"), "row", "at"
     )
     repeated = (
-        found.groupBy("high", "low")
+        candidates.groupBy("high", "low")
         .agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
         .filter("n > 1")
         .select("high", "low", "first")
     )
-    later = found.join(repeated, ["high", "low"]).filter(
+    later = candidates.join(repeated, ["high", "low"]).filter(
         (F.col("row") != F.col("first.row")) | (F.col("at") != F.col("first.at"))
     )
     return later.select("row", "doc_id", "sentences", "at", "length", F.col("first.first_doc_id"))
