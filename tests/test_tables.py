@@ -45,14 +45,14 @@ def test_assert_schema(tiny):
 def test_min_rows(tiny, spark):
     require_rows(tiny, 3)
     with pytest.raises(ValueError, match="transaction"):
-        require_rows({"transaction": tiny["transaction"]}, 5)
+        require_rows({"transaction": tiny["transaction"]}, 6)
     with pytest.raises(ValueError):
         require_rows({"x": spark.createDataFrame([], "a INT")})
 
 
 def test_plain_comparison_and_point_lookup(tiny):
     assert tiny["member"].filter("age > 30").count() == 2
-    assert tiny["member"].filter("member_id = 2").first()["first_name"] == "Maria"
+    assert tiny["member"].filter("member_id = 2").first()["first_name"] == "Ines"
 
 
 @pytest.mark.parametrize(
