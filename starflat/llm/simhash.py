@@ -18,6 +18,8 @@ from starflat.llm.components import components
 
 BITS, SEED, SHINGLE = 64, 42, 3
 MAX_BITS = 2
+# 5-word fingerprints of documents with Jaccard similarity 0.8 differ in 9.7 bits, give or take 2.9.
+SIMILAR_BITS, SIMILAR_BLOCKS = 17, 5
 BLOCKS, SAME_BLOCKS = 5, 3
 GROUP_ROWS = 4096
 HASHES_AT_ONCE = 1 << 16
@@ -28,18 +30,24 @@ PIVOTS = np.array(
 )
 
 
-def fingerprint(text: bytes) -> int:
-    """The 64 majority bits of the hashes of all word shingles of a UTF-8 text."""
-    words = text.lower().split()
+def shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
+    """Hashes of all runs of so many words, of a shorter text as a whole; an empty one has none."""
     if not words:
-        return 0
-    if len(words) < SHINGLE:
+        return np.zeros(0, np.uint64)
+    if len(words) < shingle:
         shingles = [b" ".join(words)]
     else:
-        shingles = list(map(b" ".join, zip(*(words[i:] for i in range(SHINGLE)))))
-    hashes = np.fromiter(
-        map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, len(shingles)
-    )
+        shingles = list(map(b" ".join, zip(*(words[i:] for i in range(shingle)))))
+    return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, len(shingles))
+
+
+def fingerprint(text: bytes) -> int:
+    """The 64 majority bits of the hashes of all word shingles of a UTF-8 text."""
+    return majority(shingle_hashes(text.lower().split(), SHINGLE))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have; 0 without hashes."""
     ones = np.zeros(BITS, np.int64)
     for start in range(0, len(hashes), HASHES_AT_ONCE):
         part = hashes[start : start + HASHES_AT_ONCE]
@@ -252,3 +260,240 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     marked = docs.mapInArrow(mark, schema)
     same = marked["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & (marked[name] == kept["kept_fp"])
     return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", name]).select(*docs.columns)
+
+
+def ball_keys(blocks: int) -> list[tuple[int, int, int]]:
+    """``(part, mask, flip)`` of each key of a fingerprint: ``fp & mask ^ flip``.
+
+    Fingerprints meet if some block has at most two changed bits: each has the
+    keys of its block and of all values one bit beside it, so both meet halfway.
+    No pair of less than three changed bits a block is lost; of those with one
+    or two more changes than that, a few in a hundred are.
+    """
+    found = []
+    for part, block in enumerate(np.array_split(np.arange(BITS), blocks)):
+        bits = [1 << int(b) for b in block]
+        found += [(part, sum(bits), flip) for flip in [0, *bits]]
+    return found
+
+
+def _meetings(frames: Iterator[pd.DataFrame], radius: int, similarity: float, least_only: bool):
+    """Pairs of nodes of different roots that are near and of similar size, group by group.
+
+    Rows of a group are sorted by their distance to the first pivot; what lies
+    further apart there than the radius cannot be near. (Of random pairs a pivot
+    discards few at a wide radius, so further ones would cost more than the bits.)
+    A second fingerprint keeps chance neighbours from the comparison of texts.
+    With ``least_only`` each node comes with its smallest partner alone.
+    """
+    rest = None
+    for frame in _and_end(frames):
+        both = rest if frame is None else frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+        if both is None or not len(both):
+            continue
+        names = both[["part", "key", "cell"]].to_numpy()
+        cuts = np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1
+        if frame is not None:  # the last group may go on in the next batch
+            start = cuts[-1] if len(cuts) else 0
+            rest = both.iloc[start:].reset_index(drop=True)
+            both, cuts = both.iloc[:start], cuts[:-1]
+            if not len(both):
+                continue
+        bounds = np.concatenate([[0], cuts, [len(both)]])
+        ends = np.repeat(bounds[1:], np.diff(bounds))
+        fp, second = both["fp"].to_numpy().view(np.uint64), both["second"].to_numpy().view(np.uint64)
+        node, root = both["node"].to_numpy(), both["root"].to_numpy()
+        size, pivot = both["n"].to_numpy(), both["pivot"].to_numpy()
+        best, left, right = node.copy(), [], []
+        at, step = np.arange(len(both)), 1
+        while True:
+            at = at[at + step < ends[at]]
+            at = at[pivot[at + step] - pivot[at] <= radius]
+            if not len(at):
+                break
+            apart = np.bitwise_count(fp[at] ^ fp[at + step])
+            near = apart <= radius
+            a, b = at[near], at[near] + step
+            fits = (
+                (apart[near] + np.bitwise_count(second[a] ^ second[b]) <= 2 * radius)
+                & (root[a] != root[b])
+                & (np.minimum(size[a], size[b]) >= similarity * np.maximum(size[a], size[b]) - 1e-9)
+            )
+            a, b = a[fits], b[fits]
+            if least_only:
+                best[b] = np.minimum(best[b], node[a])
+                best[a] = np.minimum(best[a], node[b])
+            elif len(a):
+                left.append(node[a])
+                right.append(node[b])
+            step += 1
+        if least_only:
+            moved = best < node
+            left, right = [best[moved]], [node[moved]]
+        if left:
+            a, b = np.concatenate(left), np.concatenate(right)
+            pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            yield pairs.drop_duplicates()
+
+
+def _candidates(nodes: DataFrame, radius: int, blocks: int, similarity: float, least_only: bool) -> DataFrame:
+    """``(a, b)``: distinct pairs of ``nodes`` within ``radius`` whose roots differ.
+
+    A key with more than ``GROUP_ROWS`` nodes is cut into cells; every two cells
+    of it meet in a group of their own, so no group outgrows a task.
+    """
+    keys = F.array(
+        *[F.struct(F.lit(p).alias("part"), F.lit(signed(m)).alias("mask"), F.lit(signed(f)).alias("flip"))
+          for p, m, f in ball_keys(blocks)]
+    )
+    pivot = F.bit_count(F.col("fp").bitwiseXOR(F.lit(signed(int(PIVOTS[0])))))
+    keyed = nodes.select("node", "fp", "second", "n", "root", pivot.alias("pivot"), F.explode(keys).alias("k")).select(
+        "node", "fp", "second", "n", "root", "pivot", "k.part",
+        F.col("fp").bitwiseAND(F.col("k.mask")).bitwiseXOR(F.col("k.flip")).alias("key"),
+    )
+    hot = (
+        keyed.groupBy("part", "key")
+        .count()
+        .filter(F.col("count") > GROUP_ROWS)
+        .select("part", "key", F.ceil(F.col("count") / GROUP_ROWS).cast("long").alias("cells"))
+    )
+    own = F.pmod(F.xxhash64("node"), F.col("cells"))
+    cells = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("cells") - 1),
+        lambda c: F.least(own, c) * F.col("cells") + F.greatest(own, c),
+    )
+    grouped = (
+        keyed.join(hot, ["part", "key"], "left")
+        .withColumn("cell", F.explode(F.when(F.col("cells").isNull(), F.array(F.lit(0).cast("long"))).otherwise(cells)))
+        .select("part", "key", "cell", "node", "fp", "second", "n", "root", "pivot")
+        .repartition("part", "key", "cell")
+        .sortWithinPartitions("part", "key", "cell", "pivot")
+    )
+
+    def meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _meetings(frames, radius, similarity, least_only)
+
+    pairs = grouped.mapInPandas(meet, "a long, b long")
+    if least_only:
+        return pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    return pairs.distinct()
+
+
+def _with_node(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` and the hash of each text's words."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("text").cast(pa.large_binary())
+            words = ((v.as_py() or b"").lower().split() for v in column)
+            found = np.fromiter((xxhash.xxh3_64_intdigest(b" ".join(w)) for w in words), np.uint64, len(batch))
+            columns = [*batch.columns, pa.array(found.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, name])
+
+    return docs.mapInArrow(mark, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+
+
+def _similar(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs whose sets of word shingles have at least this Jaccard similarity."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, rows in byte_rows(batches):
+            sets = [np.unique(shingle_hashes(r.lower().split(), shingle)).view(np.int64) for r in rows]
+            yield pa.RecordBatch.from_arrays(
+                [keys, pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"]
+            )
+
+    pairs = staged(pairs, "similar-pairs")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    one_each = (
+        _with_node(docs.select(F.col("text").cast("string").alias("text")), "node")
+        .join(wanted, "node", "left_semi")
+        .groupBy("node")
+        .agg(F.first(F.coalesce("text", F.lit(""))).alias("text"))
+    )
+    sets = staged(one_each.mapInArrow(cut, "node long, shingles array<long>"), "similar-sets")
+    common = F.size(F.array_intersect("x", "y"))
+    return staged(
+        pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+        .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+        .filter(common * (1 + similarity) >= similarity * (F.size("x") + F.size("y")) - 1e-9)
+        .select("a", "b"),
+        "similar-links",
+    )
+
+
+def drop_similar(
+    docs: DataFrame,
+    shingle: int = 5,
+    radius: int = SIMILAR_BITS,
+    blocks: int = SIMILAR_BLOCKS,
+    similarity: float = 0.8,
+) -> DataFrame:
+    """``docs`` with one document of each group of similar ones, the one with the smallest doc_id.
+
+    Documents are linked whose sets of ``shingle``-word shingles have a Jaccard
+    similarity of at least ``similarity``; links are looked for among those whose
+    fingerprints over such shingles differ in at most ``radius`` bits and meet
+    under a key of ``blocks`` blocks. Texts with the same words are one node, so are NULL and empty texts. All columns stay.
+
+    First each node is compared with its smallest near one only, which joins a
+    large group of near copies by one pair a copy. Then all near pairs are
+    compared that are still in different groups, so no link between groups is left out.
+
+    A group without any doc_id keeps one of its rows; of repeated rows one stays.
+    """
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, rows in byte_rows(batches):
+            nodes, prints, seconds, sizes = [], [], [], []
+            for row in rows:
+                words = row.lower().split()
+                hashes = shingle_hashes(words, shingle)
+                nodes.append(xxhash.xxh3_64_intdigest(b" ".join(words)))
+                prints.append(majority(hashes))
+                mixed = (hashes ^ (hashes >> np.uint64(32))) * np.uint64(0xC4CEB9FE1A85EC53)
+                seconds.append(majority(mixed ^ (mixed >> np.uint64(29))))
+                sizes.append(len(np.unique(hashes)))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    keys,
+                    pa.array(np.array(nodes, np.uint64).view(np.int64)),
+                    pa.array(np.array(prints, np.uint64).view(np.int64)),
+                    pa.array(np.array(seconds, np.uint64).view(np.int64)),
+                    pa.array(sizes, pa.int32()),
+                ],
+                ["doc_id", "node", "fp", "second", "n"],
+            )
+
+    prints = texts(docs).mapInArrow(compute, "doc_id long, node long, fp long, second long, n int")
+    nodes = staged(
+        prints.groupBy("node").agg(
+            F.first("fp").alias("fp"),
+            F.first("second").alias("second"),
+            F.first("n").alias("n"),
+            F.min("doc_id").alias("least"),
+        ),
+        "similar-nodes",
+    )
+    alone = nodes.withColumn("root", F.col("node"))
+    first = _similar(_candidates(alone, radius, blocks, similarity, True), docs, shingle, similarity)
+    rooted = staged(_rooted(nodes, first), "similar-roots")
+    others = _similar(_candidates(rooted, radius, blocks, similarity, False), docs, shingle, similarity)
+    kept = (
+        _rooted(nodes, first.unionByName(others))
+        .groupBy("root")
+        .agg(F.min(F.struct(F.col("least").isNull().alias("unnamed"), "least", "node")).alias("k"))
+        .select(F.col("k.least").alias("kept_id"), F.col("k.node").alias("kept_node"))
+    )
+    name = fresh(docs, "node")
+    marked = _with_node(docs, name)
+    same = marked["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & (marked[name] == kept["kept_node"])
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", name]).select(*docs.columns)
+
+
+def _rooted(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``nodes`` with the name of the component that these links give each."""
+    roots = components(pairs).withColumnRenamed("node", "linked")
+    return nodes.join(roots, nodes.node == roots.linked, "left").select(
+        "node", "fp", "second", "n", "least", F.coalesce("root", "node").alias("root")
+    )

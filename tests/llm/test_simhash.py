@@ -129,3 +129,72 @@ def test_components_of_chains_and_stars(spark):
     found = {r["node"]: r["root"] for r in components(links).collect()}
     assert found == {**{i: 0 for i in range(201)}, **{1000 + i: 1000 for i in range(300)}}
     assert components(links.filter("a < 0")).count() == 0
+
+
+def jaccard(x, y):
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (x.lower().split(), y.lower().split())]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def kept_by_brute_force(texts):
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if jaccard(texts[i], texts[j]) >= 0.8:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return {i for i in range(len(texts)) if find(i) == i}
+
+
+def planted(rng):
+    """Texts with copies that differ in some words, also copies of copies."""
+    texts = []
+    for _ in range(40):
+        words = passage(rng, 22).split()
+        texts.append(" ".join(words))
+        for _ in range(rng.randrange(1, 4)):
+            source = rng.choice([words, texts[-1].split()])
+            copy = list(source)
+            for _ in range(rng.randrange(1, 9)):
+                copy[rng.randrange(len(copy))] = "changed%d" % rng.randrange(99)
+            texts.append(" ".join(copy))
+    return texts
+
+
+def test_near_copies_go(spark):
+    texts = planted(random.Random(6))
+    want = kept_by_brute_force(texts)
+    assert len(texts) - len(want) > 25
+    kept = simhash.drop_similar(frame(spark, list(enumerate(texts))))
+    assert {r["doc_id"] for r in kept.collect()} == want
+    by_prints = simhash.drop_near_duplicates(frame(spark, list(enumerate(texts))))
+    assert by_prints.count() > len(want) + 20
+
+
+def test_the_stage_drops_near_copies(spark, tmp_path):
+    import corpus_pipeline
+
+    texts = planted(random.Random(7))
+    kept = corpus_pipeline.drop_near_duplicates(spark, frame(spark, list(enumerate(texts))), str(tmp_path))
+    assert {r["doc_id"] for r in kept.collect()} == kept_by_brute_force(texts)
+
+
+def test_large_keys_are_cut_into_cells(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "GROUP_ROWS", 7)
+    texts = planted(random.Random(8))
+    kept = simhash.drop_similar(frame(spark, list(enumerate(texts))))
+    assert {r["doc_id"] for r in kept.collect()} == kept_by_brute_force(texts)
+
+
+def test_similar_documents_of_odd_and_empty_tables(spark):
+    kept = simhash.drop_similar(odd(spark))
+    assert kept.columns == odd(spark).columns
+    words = {tuple((r[1] or "").lower().encode().split()) for r in odd_rows()}
+    assert kept.count() == len(words)
+    assert simhash.drop_similar(empty(spark)).count() == 0
