@@ -23,7 +23,10 @@ CLASS_RATIO = 1.15
 # embeddings agree in half of their places meets with 1 - (1 - 1/4)^24 > 0.998.
 REPEATS, SAMPLED = 24, 2
 SEED = 20240611
-FILTER_BITS = 20
+# The filter has at least 2^20 places and 16 a known run; beyond 2^26 it is fuller, which
+# costs time but loses nothing.
+FILTER_BITS, MOST_BITS, PLACES_A_RUN = 20, 26, 16
+WINDOWS_AT_ONCE = 1 << 15
 # Runs of words that the filter knows; the longest that any similar passage must share.
 GRAMS = (3, 2)
 REGION_ITEMS = 4
@@ -40,8 +43,13 @@ def _codes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(crc32, words), np.uint32, len(words))
 
 
-def _gram_places(codes: np.ndarray, size: int) -> np.ndarray:
-    """Places in the filter of the runs of ``size`` words."""
+def filter_bits(runs: int) -> int:
+    """The filter's size for so many known runs, as a power of two."""
+    return min(MOST_BITS, max(FILTER_BITS, (PLACES_A_RUN * runs - 1).bit_length()))
+
+
+def _gram_places(codes: np.ndarray, size: int, bits: int) -> np.ndarray:
+    """Places of the runs of ``size`` words in a filter of ``2^bits``."""
     n = len(codes) - size + 1
     if n <= 0:
         return np.zeros(0, np.int64)
@@ -49,7 +57,7 @@ def _gram_places(codes: np.ndarray, size: int) -> np.ndarray:
     for i in range(size):
         mixed = (mixed ^ codes[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(31)
-    return (mixed >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def allowed(length: int) -> int:
@@ -91,7 +99,8 @@ def _counts(known: np.ndarray, window: int, gram: int, words: int) -> np.ndarray
 
 
 def _known(codes: np.ndarray, bits: np.ndarray, kinds: list[Kind]) -> dict[int, np.ndarray]:
-    return {q: bits[_gram_places(codes, q)] for q in {k.gram for k in kinds}}
+    size = len(bits).bit_length() - 1
+    return {q: bits[_gram_places(codes, q, size)] for q in {k.gram for k in kinds}}
 
 
 def _regions(known: dict[int, np.ndarray], words: int, kinds: list[Kind]) -> list[tuple[int, int]]:
@@ -180,22 +189,18 @@ def may_be_close(item: list[bytes], region_pairs: set) -> bool:
 
 
 def _windows(codes: np.ndarray, bits: np.ndarray, kinds: list[Kind]):
-    """Windows of each class with enough known runs: where their number peaks or such runs begin."""
+    """All windows of each class with enough known runs, a part at a time."""
     known = _known(codes, bits, kinds)
     for number, kind in enumerate(kinds):
         runs, n = known[kind.gram], len(codes)
-        begins = np.zeros(n, bool)
-        begins[: len(runs)] = runs & ~np.concatenate([[False], runs[:-1]])
         counts = _counts(runs, kind.most, kind.gram, n)
-        after = np.concatenate([counts[1:], [-1]])
-        before = np.concatenate([[-1], counts[:-1]])
         # The window is shorter than the one that decided: it may lack the last runs.
         needed = max(1, kind.enough - allowed(kind.most))
-        peaks = np.flatnonzero((counts >= needed) & ((counts > after) & (counts >= before) | begins))
-        if len(peaks):
-            starts = np.unique(np.clip(np.concatenate([peaks - 1, peaks, peaks + 1]), 0, n - 1))
-            padded = np.concatenate([codes, np.zeros(kind.most, np.uint32)])
-            yield number, padded[starts[:, None] + np.arange(kind.most)]
+        starts = np.flatnonzero(counts >= needed)
+        padded = np.concatenate([codes, np.zeros(kind.most, np.uint32)])
+        for first in range(0, len(starts), WINDOWS_AT_ONCE):
+            part = starts[first : first + WINDOWS_AT_ONCE]
+            yield number, padded[part[:, None] + np.arange(kind.most)]
 
 
 def matches(
@@ -210,10 +215,10 @@ def matches(
     A document holds an item if some part of it equals the item's words but for
     edits (inserted, left out or other words) in at most a fifth of them.
 
-    1. Runs of two and three words of the items set bits of a filter of fixed size.
+    1. Runs of two and three words of the items set bits of a filter that grows with them.
        Windows with fewer known runs than that many edits would leave are out.
        The rest are regions; equal regions of many documents are handled once.
-    2. Windows as long as the items, over the regions, are embedded by random
+    2. All windows as long as the items, over the regions, are embedded by random
        walks that turn edits into few differing places. Keys of sampled places,
        ``REPEATS`` of them, are joined with those of the items.
     3. The edit distance of every pair that met is computed exactly, unless they
@@ -229,24 +234,27 @@ def matches(
         for keys, rows in byte_rows(batches):
             found = [words_of(r) for r in rows]
             codes = [_codes(w) for w in found]
-            places = [np.unique(np.concatenate([_gram_places(c, q) for q in GRAMS])) for c in codes]
+            places = [np.unique(np.concatenate([_gram_places(c, q, 32) for q in GRAMS])) for c in codes]
             yield pa.RecordBatch.from_arrays(
                 [
                     keys,
                     pa.array([b" ".join(w).decode() for w in found], pa.string()),
                     pa.array([len(w) for w in found], pa.int32()),
-                    pa.array(places, pa.list_(pa.int32())),
+                    pa.array(places, pa.list_(pa.int64())),
                 ],
                 ["item_id", "words", "n", "places"],
             )
 
-    schema = "item_id long, words string, n int, places array<int>"
+    schema = "item_id long, words string, n int, places array<long>"
     wanted = staged(
         named.mapInArrow(split, schema).filter(f"n >= {MIN_WORDS}"), "benchmark-items"
     )
-    # At most 2^FILTER_BITS numbers, and the different lengths of items.
-    bits = np.zeros(1 << FILTER_BITS, bool)
-    bits[[r[0] for r in wanted.select(F.explode("places")).distinct().collect()]] = True
+    # At most 2^MOST_BITS numbers, and the different lengths of items.
+    places = wanted.select(F.explode("places").alias("place"))
+    size = filter_bits(places.distinct().count())
+    places = places.select(F.shiftright("place", 32 - size).alias("place")).distinct()
+    bits = np.zeros(1 << size, bool)
+    bits[places.toArrow().column("place").to_numpy()] = True
     lengths = [r["n"] for r in wanted.select("n").distinct().collect()]
     kinds = kinds_of(lengths or [MIN_WORDS])
     packed = np.packbits(bits)
@@ -284,15 +292,18 @@ def matches(
             for at, row in enumerate(rows):
                 for kind, windows in _windows(_codes(row.split()), known_bits, kinds):
                     stacks.setdefault(kind, []).append((at, windows))
+                    if sum(len(w) for _, w in stacks[kind]) >= WINDOWS_AT_ONCE:
+                        yield keyed(keys, kind, stacks.pop(kind))
             for kind, parts in stacks.items():
-                owners = np.repeat([at for at, _ in parts], [len(w) for _, w in parts])
-                found = window_keys(np.vstack([w for _, w in parts]), kind, kinds[kind].least)
-                pairs = np.unique(
-                    np.stack([np.repeat(owners, REPEATS), found.ravel()]), axis=1
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [keys.take(pa.array(pairs[0])), pa.array(pairs[1])], ["region", "key"]
-                )
+                yield keyed(keys, kind, parts)
+
+    def keyed(keys: pa.Array, kind: int, parts: list) -> pa.RecordBatch:
+        owners = np.repeat([at for at, _ in parts], [len(w) for _, w in parts])
+        found = window_keys(np.vstack([w for _, w in parts]), kind, kinds[kind].least)
+        pairs = np.unique(np.stack([np.repeat(owners, REPEATS), found.ravel()]), axis=1)
+        return pa.RecordBatch.from_arrays(
+            [keys.take(pa.array(pairs[0])), pa.array(pairs[1])], ["region", "key"]
+        )
 
     def item_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, rows in byte_rows(batches):

@@ -111,3 +111,45 @@ def test_a_long_run_of_known_words(spark):
     text = " ".join([item] * 40)
     bench = spark.createDataFrame([(1, item, "x", 1)], ITEMS)
     assert d.matches(frame(spark, [(1, text)]), bench).count() == 1
+
+
+def starts_of_passages(bench, texts, places):
+    """How many of the given starts are among the windows that are embedded."""
+    kinds = d.kinds_of([len(i) for i in bench])
+    known = {int(p) for i in bench for q in d.GRAMS for p in d._gram_places(d._codes(i), q, 20)}
+    bits = np.zeros(1 << 20, bool)
+    bits[list(known)] = True
+    hits = 0
+    for text, at in zip(texts, places):
+        codes = d._codes(text)
+        kind = kinds[0]
+        own = np.concatenate([codes, np.zeros(kind.most, np.uint32)])[at : at + kind.most]
+        hits += any((w == own).all(axis=1).any() for _, w in d._windows(codes, bits, kinds))
+    return hits
+
+
+def test_no_window_is_left_out_by_a_full_filter_or_nested_items():
+    """Of 30,000 items the smallest filter is nearly full, and passages stand among known words."""
+    rng = random.Random(6)
+    word = lambda: b"w%d" % rng.randrange(100000)
+    bench = [[word() for _ in range(37)] for _ in range(30000)]
+    texts, places = [], []
+    for item in bench[:100]:
+        before = [word() for _ in range(60)]
+        texts.append(before + item + [word() for _ in range(60)])
+        places.append(60)
+    assert starts_of_passages(bench, texts, places) == 100
+    long = [word() for _ in range(90)]
+    assert starts_of_passages([long[20:57], long], [long], [20]) == 1
+    assert d.filter_bits(100) == 20 and d.filter_bits(2_000_000) == 25
+
+
+def test_nested_items_are_found(spark):
+    rng = random.Random(7)
+    rows, texts = [], []
+    for i in range(30):
+        words = passage(rng, 12).split()
+        rows += [(2 * i, " ".join(words), "x", 1), (2 * i + 1, " ".join(words[30:67]), "x", 1)]
+        texts.append((i, " ".join(words)))
+    found = d.matches(frame(spark, texts), spark.createDataFrame(rows, ITEMS)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(i, 2 * i + k) for i in range(30) for k in (0, 1)}
