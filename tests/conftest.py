@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import sys
-from datetime import datetime
 from decimal import Decimal
 from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path[:0] = [str(Path(__file__).resolve().parents[n]) for n in (1, 0)]
+
+from bank_data import ACCOUNT, CARD, MEMBER, TRANSACTION, at  # noqa: E402
 
 from starflat.session import build_session  # noqa: E402
 from starflat.sources.tables import local_rows  # noqa: E402
@@ -30,23 +31,6 @@ def spark():
     session.stop()
 
 
-SALT = "unit-test-salt"
-MEMBER = "member_id INT, first_name STRING, last_name STRING, age INT, email STRING"
-ACCOUNT = "account_id INT, account_type STRING, created TIMESTAMP_NTZ, owner_id INT"
-CARD = (
-    "card_id INT, number STRING, printed_name STRING, created TIMESTAMP_NTZ,"
-    " account_id INT, holder_id INT"
-)
-TRANSACTION = (
-    "txn_id INT, amount DECIMAL(10,2), description STRING, txn_time TIMESTAMP_NTZ,"
-    " card_id INT, txn_type STRING"
-)
-
-
-def at(text: str) -> datetime:
-    return datetime.fromisoformat(text)
-
-
 @pytest.fixture(scope="session")
 def tiny(spark):
     """Four members, four accounts, four cards, five transactions.

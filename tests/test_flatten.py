@@ -3,7 +3,7 @@ from __future__ import annotations
 from decimal import Decimal
 
 import pytest
-from conftest import SALT, at
+from bank_data import SALT, at
 from pyspark.sql import functions as F
 
 from starflat.functions.numbers import MONEY

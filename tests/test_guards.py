@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SALT
+from bank_data import SALT
 
 from starflat.operators.flatten import flatten
 from starflat.operators.guards import (

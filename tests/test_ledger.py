@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import at
+from bank_data import at
 from pyspark.errors import AnalysisException
 
 from starflat.operators import ledger

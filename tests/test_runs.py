@@ -6,7 +6,7 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
-from conftest import SALT, TRANSACTION, at
+from bank_data import SALT, TRANSACTION, at
 from pyspark.sql import functions as F
 
 from starflat.operators import ledger, publish

@@ -4,7 +4,7 @@ import json
 from pathlib import Path
 
 import pytest
-from conftest import SALT
+from bank_data import SALT
 from pyspark.sql import functions as F
 
 from starflat.operators.flatten import flatten

@@ -3,7 +3,7 @@ from __future__ import annotations
 from pathlib import Path
 
 import pytest
-from conftest import SALT, at
+from bank_data import SALT, at
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
