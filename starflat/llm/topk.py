@@ -16,8 +16,9 @@ QUERY_ROWS, SHARD_ROWS, FAN_IN = 1024, 4096, 32
 EXACT_FLOAT, LONG_MAX = 2**53, 2**63 - 1
 
 
-def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """``(vec_id, v)`` with ``floor(scale * x)`` of each component; rows that cannot be searched are left out."""
+def quantised(vectors: DataFrame, scale: int = SCALE, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(vec_id, v)``, and columns to ``keep``, with ``floor(scale * x)`` of each component; rows
+    that cannot be searched are left out."""
     x = F.transform(F.col("embedding"), lambda c: F.floor(c.cast("double") * scale).cast("double"))
     usable = F.forall(
         "embedding",
@@ -25,7 +26,7 @@ def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     )
     return (
         vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & usable)
-        .select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("v"))
+        .select(F.col("vec_id").cast("long").alias("vec_id"), *keep, x.alias("v"))
         .withColumn("dim", F.size("v"))
     )
 
