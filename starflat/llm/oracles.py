@@ -17,4 +17,30 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-LLM_ORACLES = {"op4_topk": TOP_K}
+NEGATIVES = """
+WITH v AS (
+    SELECT vec_id,
+           CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+           CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+    FROM v a JOIN v c ON c.vec_id <> a.vec_id
+    WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+    FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+LLM_ORACLES = {"op4_topk": TOP_K, "op12_negatives": NEGATIVES}

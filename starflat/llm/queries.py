@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starflat.llm import decontaminate, extraction, licenses, packing, secrets, sharding, simhash, substrings, topk, toxicity
+from starflat.llm import (
+    alignment,
+    decontaminate,
+    extraction,
+    licenses,
+    negatives,
+    packing,
+    secrets,
+    sharding,
+    simhash,
+    substrings,
+    topk,
+    toxicity,
+    urls,
+)
 from starflat.llm.common import read
 from starflat.llm.oracles import LLM_ORACLES
 
@@ -68,6 +82,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+    return alignment.digest(*alignment.align(read(spark, sf_dir, "documents"), *files))
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose id is divisible by 7 get the next label of ten first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(read(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
+def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
     "op2_packing": op2_packing,
@@ -79,6 +108,9 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_licenses": op8_licenses,
     "op9_extraction": op9_extraction,
     "op10_toxicity": op10_toxicity,
+    "op11_alignment": op11_alignment,
+    "op12_negatives": op12_negatives,
+    "op13_urls": op13_urls,
 }
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]

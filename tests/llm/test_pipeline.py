@@ -11,7 +11,7 @@ import corpus_pipeline
 from starflat.llm import queries
 from starflat.llm.common import staged
 
-NAMES = [f"op{n}_" for n in range(1, 11)]
+NAMES = [f"op{n}_" for n in range(1, 14)]
 
 
 def write(spark, folder):
