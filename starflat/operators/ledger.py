@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Row, SparkSession, types as T
 from pyspark.sql import functions as F
 
@@ -63,14 +63,11 @@ def append(spark: SparkSession, path: str, schema: T.StructType, rows: Iterable[
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All entries; empty if the log was never written. Other errors are raised."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    """All entries; empty if the log was never written. Read errors are raised."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
         return spark.createDataFrame([], schema)
-
+    return spark.read.schema(schema).parquet(path)
 
 def append_state(spark: SparkSession, path: str, **entry) -> None:
     if entry["status"] not in STATUSES:
@@ -78,9 +75,11 @@ def append_state(spark: SparkSession, path: str, **entry) -> None:
     append(spark, path, STATE_SCHEMA, [tuple(entry.get(f.name) for f in STATE_SCHEMA.fields)])
 
 
-def current_state(spark: SparkSession, path: str) -> DataFrame:
-    """The newest successful entry of every source, one row per source."""
+def current_state(spark: SparkSession, path: str, up_to: int | None = None) -> DataFrame:
+    """The newest successful entry of every source, one row per source; of runs up to ``up_to`` if given."""
     log = read_log(spark, path, STATE_SCHEMA).filter("status = 'success'")
+    if up_to is not None:
+        log = log.filter(F.col("run_seq") <= up_to)
     entry = F.struct(*(f.name for f in STATE_SCHEMA.fields))
     return (
         log.groupBy("source")
@@ -89,9 +88,41 @@ def current_state(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def last_success(spark: SparkSession, path: str, source: str) -> Row | None:
-    return current_state(spark, path).filter(F.col("source") == source).first()
+def last_success(spark: SparkSession, path: str, source: str, up_to: int | None = None) -> Row | None:
+    """The newest successful entry of ``source``, of runs up to number ``up_to`` if given."""
+    return current_state(spark, path, up_to).filter(F.col("source") == source).first()
+
 
+def claim_run(spark: SparkSession, path: str, number: int) -> int:
+    """A run number of one's own, ``number`` or the next free one.
+
+    A claim is an empty file that is created only if absent, in one step of the file
+    system, so two runs that start at once get two numbers.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(root)
+    while not _create_if_absent(system, hadoop.Path(root, f"run-{number:08d}")):
+        number += 1
+    return number
+
+
+def _create_if_absent(system, target) -> bool:
+    if system.getScheme() == "file":
+        # Hadoop's local file system looks first and creates then; the operating system does both at once.
+        try:
+            open(target.toUri().getPath(), "x").close()
+        except FileExistsError:
+            return False
+        return True
+    try:
+        system.create(target, False).close()
+    except Py4JJavaError:
+        if system.exists(target):
+            return False
+        raise
+    return True
 
 def run_state(spark: SparkSession, path: str, source: str) -> tuple[Row | None, int]:
     """The newest successful entry of ``source`` and the number of the next run."""

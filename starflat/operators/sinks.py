@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
@@ -32,19 +32,24 @@ def write_parquet(
     compression: str = "snappy",
     dynamic: bool = False,
     clustered: bool = False,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Parquet, partitioned by date.
 
     The rebalance hint brings the rows of a date together, so a date becomes
     few files, and lets AQE split a date that holds much of the data. Rows read
     from such files are ``clustered`` already and are not shuffled again.
-    ``dynamic`` replaces only the partitions that occur in ``df``.
+    ``dynamic`` replaces only the partitions that occur in ``df``. ``watch`` may observe
+    the rows in the tasks that write them, behind the last shuffle: there a repeated
+    task is counted once.
     """
     if compression not in COMPRESSIONS:
         raise ValueError(f"compression must be among {', '.join(COMPRESSIONS)}")
     if partition_by:
         if not clustered:
             df = df.hint("rebalance", F.col(partition_by))
+        if watch:
+            df = watch(df)
         df = df.sortWithinPartitions(partition_by, *sort_by)
     writer = df.write.mode("overwrite").option("compression", compression)
     if partition_by:

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from starflat.functions import hash_value, local_text, mask_card, mask_email, redact_cards
-from starflat.operators import checks, constraints, guards, ledger, profile, publish, reports, sinks
+from starflat.operators import checks, constraints, guards, ledger, manifest, profile, publish, reports, sinks
 from starflat.operators.flatten import flatten
 from starflat.operators.metrics import metric_summary, read_metrics
 from starflat.plans import activity, bank
-from starflat.plans.runs import run
+from starflat.plans.runs import replay, run, stale_report
 from starflat.session import shared_dir
 from starflat.sources import partitioning, synthetic
 from starflat.sources.incremental import cutoff_date, missed_rows, slice_since
@@ -428,6 +429,83 @@ def full_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.read_published(spark, base, "event")
 
 
+def _drifted(events: DataFrame) -> DataFrame:
+    """What a source held before: in its first fifth of days some rows had not come, some had
+    another value, and some were still there that the source deletes later."""
+    first, last = events.agg(F.min("ts").cast("date"), F.max("ts").cast("date")).first()
+    early = F.col("ts").cast("date") < F.lit(first + timedelta((last - first).days // 5))
+    number = F.col("event_id")
+    changed = F.when(early & (number % 701 == 0), F.col("value") + 1).otherwise(F.col("value"))
+    return events.filter(~(early & (number % 601 == 0))).withColumn("value", changed)
+
+
+def _source_now(events: DataFrame) -> DataFrame:
+    first, last = events.agg(F.min("ts").cast("date"), F.max("ts").cast("date")).first()
+    early = F.col("ts").cast("date") < F.lit(first + timedelta((last - first).days // 5))
+    return events.filter(~(early & (F.col("event_id") % 803 == 0)))
+
+
+def reconcile_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load of an earlier source, then a reconciling run: the dates that it found and loaded
+    again, with the rows of each before, in the source, and published afterwards."""
+    base = shared_dir(spark, "reconcile")
+    tables = activity.frames(spark, sf_dir)
+    events, job = tables["event"], activity.job(base)
+    run(spark, {**tables, "event": _drifted(events)}, job, "full")
+    now = {**tables, "event": _source_now(events)}
+    state = publish.published_state(spark, base, "event")
+    report = shared_dir(spark, "reconcile-report")
+    stale_report(spark, now, job, state).write.parquet(report)
+    run(spark, now, job, "reconcile")
+    after = publish.published_state(spark, base, "event")
+    rewritten = manifest.snapshot(spark, base, "event", after).filter(F.col("run_seq") == after["run_seq"])
+    published = (
+        publish.read_published(spark, base, "event")
+        .groupBy(F.col("event_date").cast("string").alias("event_date"))
+        .agg(F.count(F.lit(1)).alias("published_rows"))
+    )
+    return (
+        rewritten.select("event_date")
+        .join(spark.read.parquet(report), "event_date", "full_outer")
+        .join(published, "event_date", "left")
+        .select("event_date", "source_rows", "stored_rows", "reason", "published_rows")
+    )
+
+
+def reconciled_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after such a run: late, changed and deleted rows of old dates as in the source."""
+    base = shared_dir(spark, "reconciled")
+    tables = activity.frames(spark, sf_dir)
+    job = activity.job(base)
+    run(spark, {**tables, "event": _drifted(tables["event"])}, job, "full")
+    run(spark, {**tables, "event": _source_now(tables["event"])}, job, "reconcile")
+    return publish.read_published(spark, base, "event")
+
+
+def changed_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members that get another name after the first load reach all dates with an incremental run."""
+    base = shared_dir(spark, "dimension")
+    tables = activity.frames(spark, sf_dir)
+    job = replace(activity.job(base), follow_dimensions=True)
+    before = F.when(F.col("member_id") % 97 == 0, F.lit("?")).otherwise(F.col("member_name"))
+    old = tables["member"].withColumn("member_name", before)
+    run(spark, {**tables, "member": old}, job, "incremental")
+    run(spark, tables, job, "incremental")
+    return publish.read_published(spark, base, "event")
+
+
+def replay_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as a full run makes it of the landed rows of several increments."""
+    base = shared_dir(spark, "replay")
+    tables = activity.frames(spark, sf_dir)
+    events = tables["event"]
+    job = replace(activity.job(base), bronze=True, source_id="event_id")
+    for day in activity.load_days(events):
+        run(spark, {**tables, "event": activity.arrived(events, day, SHORT_DELAY)}, job, "incremental")
+    replay(spark, tables, job)
+    return publish.read_published(spark, base, "event")
+
+
 def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The incremental load as a stream, with some events delivered twice."""
     base = shared_dir(spark, "stream")
@@ -753,6 +831,10 @@ QUERIES: dict[str, Query] = {
         incremental_merge,
         quarantine_late,
         full_publish,
+        reconcile_dates,
+        reconciled_table,
+        changed_dimension,
+        replay_bronze,
         stream_merge,
         csv_roundtrip,
         parquet_pruned_read,

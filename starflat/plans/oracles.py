@@ -82,6 +82,9 @@ WITH flat AS (
   JOIN nation n ON c.c_nationkey = n.n_nationkey)
 """
 
+# The end of the first fifth of the days of the events, on which the drift lies.
+_EARLY = """(SELECT min(ts)::DATE + CAST((max(ts)::DATE - min(ts)::DATE) // 5 AS INTEGER) FROM events)"""
+
 _GAPS = """
 WITH gaps AS (
   SELECT event_id, ts, user_id,
@@ -629,6 +632,31 @@ ORACLES: dict[str, str] = {
     "incremental_merge": f"{_ACTIVITY} SELECT * FROM flat",
     "quarantine_late": _QUARANTINE,
     "full_publish": f"{_ACTIVITY} SELECT * FROM flat",
+    "changed_dimension": f"{_ACTIVITY} SELECT * FROM flat",
+    "replay_bronze": f"{_ACTIVITY} SELECT * FROM flat",
+    "reconciled_table": f"""{_ACTIVITY}
+SELECT flat.* FROM flat JOIN events e USING (event_id)
+WHERE NOT (CAST(e.ts AS DATE) < {_EARLY} AND event_id % 803 = 0)""",
+    "reconcile_dates": f"""{_ACTIVITY}, early AS (
+  SELECT *, CAST(ts {_ZONE} AS DATE) AS day, CAST(ts AS DATE) < {_EARLY} AS early FROM events
+), marked AS (
+  SELECT day, NOT (early AND event_id % 803 = 0) AS now, NOT (early AND event_id % 601 = 0) AS before,
+         early AND event_id % 701 = 0 AS changed
+  FROM early
+), days AS (
+  SELECT day, count(*) FILTER (now) AS source_rows, count(*) FILTER (before) AS stored_rows
+  FROM marked GROUP BY day
+  HAVING count(*) FILTER (now <> before OR (now AND changed)) > 0
+), published AS (
+  SELECT flat.event_date, count(*) AS published_rows
+  FROM flat JOIN early USING (event_id)
+  WHERE NOT (early AND event_id % 803 = 0) GROUP BY ALL
+)
+SELECT CAST(day AS VARCHAR) AS event_date, source_rows, stored_rows,
+       CASE WHEN source_rows = stored_rows THEN 'changed' WHEN stored_rows = 0 THEN 'new' WHEN source_rows = 0 THEN 'gone'
+            WHEN source_rows > stored_rows THEN 'more' ELSE 'fewer' END AS reason,
+       published_rows
+FROM days LEFT JOIN published ON event_date = day""",
     "stream_merge": f"{_ACTIVITY} SELECT * FROM flat",
     "csv_roundtrip": _csv_roundtrip(),
     "parquet_pruned_read": f"""{_ACTIVITY}

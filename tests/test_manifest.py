@@ -1,0 +1,157 @@
+"""Atomic increments: a reader sees the rows of whole runs only, whatever breaks where."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+from bank_data import SALT, at
+from pyspark.sql import functions as F
+from test_runs import make_job, published, with_rows
+
+from starflat.operators import ledger, manifest, publish
+from starflat.operators.flatten import flatten
+from starflat.operators.publish import drop_superseded, read_published
+from starflat.plans import bank, runs
+from starflat.plans.runs import read_bronze, replay, run, silver
+
+OLD = [(1, "2024-02-01 10:00"), (2, "2024-02-02 10:00"), (3, "2024-02-03 10:00")]
+NEW = [(4, "2024-02-02 11:00"), (5, "2024-02-04 10:00")]
+
+
+@pytest.mark.parametrize("where", ["stage", "folder_bytes", "written_dates", "record", "volume", "state"])
+def test_a_crash_at_any_step_shows_old_rows_and_is_repaired(spark, tiny, folder, monkeypatch, where):
+    job = make_job(folder)
+    run(spark, with_rows(spark, tiny, OLD), job, "incremental")
+    seen = []
+
+    def crash_after(module, name, only=lambda *a, **k: True):
+        plain = getattr(module, name)
+
+        def broken(*args, **kwargs):
+            out = plain(*args, **kwargs) if where != "state" else None
+            if only(*args, **kwargs):
+                seen.append(published(spark, folder))
+                raise OSError("lost")
+            return plain(*args, **kwargs) if where == "state" else out
+
+        monkeypatch.setattr(module, name, broken)
+
+    if where in ("stage", "folder_bytes"):
+        crash_after(publish, where)
+    elif where in ("written_dates", "record"):
+        crash_after(manifest, where)
+    elif where == "volume":
+        crash_after(runs, "_store_volume")
+    else:
+        crash_after(ledger, "append_state", lambda *a, **k: k["status"] == "success")
+    with pytest.raises(OSError):
+        run(spark, with_rows(spark, tiny, OLD + NEW), job, "incremental")
+    monkeypatch.undo()
+    assert seen == [[1, 2, 3]] and published(spark, folder) == [1, 2, 3]
+    run(spark, with_rows(spark, tiny, OLD + NEW), job, "incremental")
+    assert published(spark, folder) == [1, 2, 3, 4, 5]
+
+
+def test_a_reader_keeps_its_snapshot(spark, tiny, folder):
+    job = make_job(folder)
+    run(spark, with_rows(spark, tiny, OLD), job, "incremental")
+    before = read_published(spark, folder, "transaction")
+    run(spark, with_rows(spark, tiny, OLD + NEW), job, "incremental")
+    assert sorted(r["txn_id"] for r in before.collect()) == [1, 2, 3]
+    first = read_published(spark, folder, "transaction", run_seq=1)
+    assert sorted(r["txn_id"] for r in first.collect()) == [1, 2, 3]
+    assert published(spark, folder) == [1, 2, 3, 4, 5]
+    with pytest.raises(LookupError):
+        read_published(spark, folder, "transaction", run_seq=0)
+
+
+def test_rows_are_written_once_and_not_read_back(spark, tiny, folder):
+    """The files of a run are its rows and no more; the guards look at them while they are written."""
+    job = make_job(folder)
+    result = run(spark, tiny, job, "full")
+    files = list(Path(folder).rglob("event_date=*/*.parquet"))
+    assert spark.read.parquet(*map(str, files)).count() == result.rows_out == 5
+    assert {p.parts[-4] for p in files} == {result.version}
+
+
+def test_guards_observe_the_write(spark, tiny, folder, monkeypatch):
+    reads = []
+    plain = type(spark.read).parquet
+
+    def watched(self, *paths, **options):
+        reads.extend(paths)
+        return plain(self, *paths, **options)
+
+    flat = flatten(tiny, bank.gold_star(SALT))
+    monkeypatch.setattr(type(spark.read), "parquet", watched)
+    staged = publish.stage(flat, f"{folder}/x", make_job(folder).guards, "event_date", "txn_time", "txn_id")
+    assert (staged.count, staged.last) == (5, at("2025-03-10 00:10"))
+    assert reads == [f"{folder}/x"]  # for the frame it returns; nothing was executed on it
+
+
+def test_no_output_rows(spark, tiny, folder):
+    """Facts that find no card: an increment of no rows, and the dates are known as loaded."""
+    job = make_job(folder, suites={})
+    run(spark, with_rows(spark, tiny, OLD), job, "full")
+    orphans = with_rows(spark, tiny, [(9, "2024-02-04 10:00")])
+    orphans["transaction"] = orphans["transaction"].withColumn("card_id", F.lit(99))
+    result = run(spark, orphans, job, "incremental")
+    assert (result.rows_in, result.rows_out) == (1, 0)
+    assert published(spark, folder) == [1, 2, 3]
+    state = publish.published_state(spark, folder, "transaction")
+    rows = {r["event_date"]: r["folder"] for r in manifest.snapshot(spark, folder, "transaction", state).collect()}
+    assert rows["2024-02-04"] is None and len(rows) == 4
+
+
+def test_superseded_folders_go(spark, tiny, folder):
+    job = make_job(folder)
+    for n in (1, 2, 3):
+        run(spark, with_rows(spark, tiny, OLD[:n]), job, "incremental")
+    assert len(list(Path(folder).rglob("event_date=2024-02-01"))) == 3
+    assert len(drop_superseded(spark, folder, "transaction")) == 3
+    assert len(list(Path(folder).rglob("event_date=2024-02-01"))) == 1
+    assert published(spark, folder) == [1, 2, 3]
+    assert drop_superseded(spark, folder, "transaction") == []
+
+
+def test_filters_on_the_date_prune_folders(spark, tiny, folder):
+    job = make_job(folder)
+    run(spark, with_rows(spark, tiny, OLD), job, "incremental")
+    run(spark, with_rows(spark, tiny, OLD + NEW), job, "incremental")
+    one = read_published(spark, folder, "transaction").filter("event_date = DATE'2024-02-03'")
+    assert [r["txn_id"] for r in one.collect()] == [3]
+    assert "PartitionFilters: [isnotnull(event_date" in one._jdf.queryExecution().toString()
+
+
+def test_two_runs_get_two_numbers(spark, folder):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda _: ledger.claim_run(spark, f"{folder}/claims", 1), range(24)))
+    assert sorted(numbers) == list(range(1, 25))
+
+
+def test_bronze_keeps_what_landed_and_replays(spark, tiny, folder):
+    job = make_job(folder, bronze=True, source_id="txn_id")
+    run(spark, with_rows(spark, tiny, OLD), job, "incremental")
+    changed = [(1, "2024-02-01 12:30"), *OLD[1:], *NEW]
+    run(spark, with_rows(spark, tiny, changed), job, "incremental")
+    frames = with_rows(spark, tiny, [])
+    landed = read_bronze(spark, frames, job)
+    assert landed.groupBy("_run_seq").count().orderBy("_run_seq").collect() == [(1, 3), (2, 5)]
+    assert "Window" not in silver(spark, frames, job)._jdf.queryExecution().toString()
+    want = sorted(map(str, read_published(spark, folder, "transaction").collect()))
+    result = replay(spark, frames, job)
+    assert result.version.startswith("v00000003") and len(list(Path(folder, "bronze").glob("run=*"))) == 2
+    assert sorted(map(str, read_published(spark, folder, "transaction").collect())) == want
+
+
+def test_bronze_of_a_broken_run_goes(spark, tiny, folder, monkeypatch):
+    job = make_job(folder, bronze=True, source_id="txn_id")
+    monkeypatch.setattr(publish, "stage", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        run(spark, tiny, job, "full")
+    assert not list(Path(folder, "bronze").glob("run=*"))
+    with pytest.raises(ValueError):
+        silver(spark, tiny, make_job(folder))
