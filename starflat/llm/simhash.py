@@ -19,7 +19,11 @@ from starflat.llm.components import components
 BITS, SEED, SHINGLE = 64, 42, 3
 MAX_BITS = 2
 # 5-word fingerprints of documents with Jaccard similarity 0.8 differ in 9.7 bits, give or take 2.9.
-SIMILAR_BITS, SIMILAR_BLOCKS = 17, 5
+SIMILAR_BITS = 17
+# Documents meet where all rows of one band of their MinHash signatures agree: 99.1 % of pairs of
+# similarity 0.8 do, 5 in a thousand of those of 0.3.
+BANDS, BAND_ROWS = 20, 7
+SHINGLES_AT_ONCE = 2048
 BLOCKS, SAME_BLOCKS = 5, 3
 GROUP_ROWS = 4096
 HASHES_AT_ONCE = 1 << 16
@@ -262,29 +266,35 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", name]).select(*docs.columns)
 
 
-def ball_keys(blocks: int) -> list[tuple[int, int, int]]:
-    """``(part, mask, flip)`` of each key of a fingerprint: ``fp & mask ^ flip``.
+def _multipliers(n: int, salt: str) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(f"{salt}{i}".encode(), SEED) | 1 for i in range(n)], np.uint64)
+
+
+MULTIPLY, ADD = (_multipliers(BANDS * BAND_ROWS, salt) for salt in ("multiply", "add"))
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """One key per band of the MinHash signature of a set of hashes; none for an empty set."""
+    if not len(hashes):
+        return np.zeros(0, np.int64)
+    least = np.full(len(MULTIPLY), np.iinfo(np.uint64).max)
+    for start in range(0, len(hashes), SHINGLES_AT_ONCE):
+        part = hashes[start : start + SHINGLES_AT_ONCE]
+        np.minimum(least, (part[:, None] * MULTIPLY + ADD).min(axis=0), out=least)
+    rows = least.reshape(BANDS, BAND_ROWS)
+    return np.array([xxhash.xxh3_64_intdigest(row.tobytes()) for row in rows], np.uint64).view(np.int64)
 
-    Fingerprints meet if some block has at most two changed bits: each has the
-    keys of its block and of all values one bit beside it, so both meet halfway.
-    No pair of less than three changed bits a block is lost; of those with one
-    or two more changes than that, a few in a hundred are.
-    """
-    found = []
-    for part, block in enumerate(np.array_split(np.arange(BITS), blocks)):
-        bits = [1 << int(b) for b in block]
-        found += [(part, sum(bits), flip) for flip in [0, *bits]]
-    return found
 
+NO_PARTNER = np.iinfo(np.int64).max
 
-def _meetings(frames: Iterator[pd.DataFrame], radius: int, similarity: float, least_only: bool):
-    """Pairs of nodes of different roots that are near and of similar size, group by group.
 
-    Rows of a group are sorted by their distance to the first pivot; what lies
-    further apart there than the radius cannot be near. (Of random pairs a pivot
-    discards few at a wide radius, so further ones would cost more than the bits.)
-    A second fingerprint keeps chance neighbours from the comparison of texts.
-    With ``least_only`` each node comes with its smallest partner alone.
+def _meetings(frames: Iterator[pd.DataFrame], radius: int, similarity: float):
+    """``(node, partner)``: each node's smallest partner beyond ``tried``, of another root, that is near.
+
+    Group by group; rows of a group are sorted by their distance to the first pivot, so
+    partners lie within the radius of it. A pair whose distances to any of the other
+    pivots differ by more cannot be near and is discarded; bits, a second fingerprint
+    and sizes thin out the rest.
     """
     rest = None
     for frame in _and_end(frames):
@@ -299,122 +309,117 @@ def _meetings(frames: Iterator[pd.DataFrame], radius: int, similarity: float, le
             both, cuts = both.iloc[:start], cuts[:-1]
             if not len(both):
                 continue
-        bounds = np.concatenate([[0], cuts, [len(both)]])
-        ends = np.repeat(bounds[1:], np.diff(bounds))
+        ends = np.repeat(np.append(cuts, len(both)), np.diff(np.concatenate([[0], cuts, [len(both)]])))
         fp, second = both["fp"].to_numpy().view(np.uint64), both["second"].to_numpy().view(np.uint64)
-        node, root = both["node"].to_numpy(), both["root"].to_numpy()
-        size, pivot = both["n"].to_numpy(), both["pivot"].to_numpy()
-        best, left, right = node.copy(), [], []
+        node, root, tried = (both[c].to_numpy() for c in ("node", "root", "tried"))
+        size, table = both["n"].to_numpy(), pivot_table(fp)
+        first = both["pivot"].to_numpy()
+        best = np.full(len(both), NO_PARTNER)
         at, step = np.arange(len(both)), 1
         while True:
             at = at[at + step < ends[at]]
-            at = at[pivot[at + step] - pivot[at] <= radius]
+            at = at[first[at + step] - first[at] <= radius]
             if not len(at):
                 break
-            apart = np.bitwise_count(fp[at] ^ fp[at + step])
-            near = apart <= radius
-            a, b = at[near], at[near] + step
-            fits = (
-                (apart[near] + np.bitwise_count(second[a] ^ second[b]) <= 2 * radius)
-                & (root[a] != root[b])
-                & (np.minimum(size[a], size[b]) >= similarity * np.maximum(size[a], size[b]) - 1e-9)
-            )
-            a, b = a[fits], b[fits]
-            if least_only:
-                best[b] = np.minimum(best[b], node[a])
-                best[a] = np.minimum(best[a], node[b])
-            elif len(a):
-                left.append(node[a])
-                right.append(node[b])
+            a, b = at, at + step
+            keep = (root[a] != root[b]) & (np.minimum(size[a], size[b]) >= similarity * np.maximum(size[a], size[b]) - 1e-9)
+            a, b = a[keep], b[keep]
+            keep = (np.abs(table[a] - table[b]) <= radius).all(axis=1)
+            a, b = a[keep], b[keep]
+            apart = np.bitwise_count(fp[a] ^ fp[b])
+            keep = (apart <= radius) & (apart + np.bitwise_count(second[a] ^ second[b]) <= 2 * radius)
+            a, b = a[keep], b[keep]
+            for x, y in ((a, b), (b, a)):
+                fresh_ones = node[y] > tried[x]
+                np.minimum.at(best, x[fresh_ones], node[y[fresh_ones]])
             step += 1
-        if least_only:
-            moved = best < node
-            left, right = [best[moved]], [node[moved]]
-        if left:
-            a, b = np.concatenate(left), np.concatenate(right)
-            pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-            yield pairs.drop_duplicates()
+        found = np.flatnonzero(best < NO_PARTNER)
+        yield pd.DataFrame({"node": node[found], "partner": best[found]})
 
 
-def _candidates(nodes: DataFrame, radius: int, blocks: int, similarity: float, least_only: bool) -> DataFrame:
-    """``(a, b)``: distinct pairs of ``nodes`` within ``radius`` whose roots differ.
+def _memberships(nodes: DataFrame) -> DataFrame:
+    """``(node, part, key, cells, own)`` of nodes that share a band key with another node.
 
-    A key with more than ``GROUP_ROWS`` nodes is cut into cells; every two cells
-    of it meet in a group of their own, so no group outgrows a task.
+    A key of more than ``GROUP_ROWS`` nodes is dealt by hash over cells of that size.
     """
-    keys = F.array(
-        *[F.struct(F.lit(p).alias("part"), F.lit(signed(m)).alias("mask"), F.lit(signed(f)).alias("flip"))
-          for p, m, f in ball_keys(blocks)]
-    )
-    pivot = F.bit_count(F.col("fp").bitwiseXOR(F.lit(signed(int(PIVOTS[0])))))
-    keyed = nodes.select("node", "fp", "second", "n", "root", pivot.alias("pivot"), F.explode(keys).alias("k")).select(
-        "node", "fp", "second", "n", "root", "pivot", "k.part",
-        F.col("fp").bitwiseAND(F.col("k.mask")).bitwiseXOR(F.col("k.flip")).alias("key"),
-    )
-    hot = (
+    keyed = nodes.select("node", F.posexplode("bands").alias("part", "key"))
+    shared = (
         keyed.groupBy("part", "key")
         .count()
-        .filter(F.col("count") > GROUP_ROWS)
+        .filter("count > 1")
         .select("part", "key", F.ceil(F.col("count") / GROUP_ROWS).cast("long").alias("cells"))
     )
-    own = F.pmod(F.xxhash64("node"), F.col("cells"))
-    cells = F.transform(
-        F.sequence(F.lit(0).cast("long"), F.col("cells") - 1),
-        lambda c: F.least(own, c) * F.col("cells") + F.greatest(own, c),
+    return staged(
+        keyed.join(shared, ["part", "key"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("cells"))),
+        "similar-memberships",
     )
+
+
+def _proposals(members: DataFrame, state: DataFrame, apart: int, radius: int, similarity: float) -> DataFrame:
+    """``(node, partner)``, at most one row a node: its smallest near partner not tried yet.
+
+    Cells meet themselves, or the cell ``apart`` from them; a key whose nodes all
+    belong to one component is done.
+    """
+    joined = members.join(state, "node")
+    several = joined.groupBy("part", "key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
+    active = joined.filter(F.col("cells") > apart).join(several.select("part", "key"), ["part", "key"], "left_semi")
+    own, cells = F.col("own"), F.col("cells")
+    cell = F.explode(F.array(own, F.pmod(own - apart, cells))) if apart else own
+    pivot = F.bit_count(F.col("fp").bitwiseXOR(F.lit(signed(int(PIVOTS[0])))))
     grouped = (
-        keyed.join(hot, ["part", "key"], "left")
-        .withColumn("cell", F.explode(F.when(F.col("cells").isNull(), F.array(F.lit(0).cast("long"))).otherwise(cells)))
-        .select("part", "key", "cell", "node", "fp", "second", "n", "root", "pivot")
+        active.select("part", "key", cell.alias("cell"), "node", "fp", "second", "n", "root", "tried", pivot.alias("pivot"))
         .repartition("part", "key", "cell")
         .sortWithinPartitions("part", "key", "cell", "pivot")
     )
+    found = grouped.mapInPandas(lambda frames: _meetings(frames, radius, similarity), "node long, partner long")
+    return staged(found.groupBy("node").agg(F.min("partner").alias("partner")), "similar-pairs")
+
+
+WORDS_HASH = "h1 long, h2 long"
 
-    def meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return _meetings(frames, radius, similarity, least_only)
 
-    pairs = grouped.mapInPandas(meet, "a long, b long")
-    if least_only:
-        return pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    return pairs.distinct()
+def _words_hash(words: list[bytes]) -> tuple[int, int]:
+    """128 bits of a text's words, as two signed longs."""
+    whole = xxhash.xxh3_128_intdigest(b" ".join(words))
+    return signed(whole >> 64), signed(whole & (1 << 64) - 1)
 
 
-def _with_node(docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` and the hash of each text's words."""
+def _marked(docs: DataFrame, names: tuple[str, str]) -> DataFrame:
+    """``docs`` and the hash of each text's words in two columns."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("text").cast(pa.large_binary())
-            words = ((v.as_py() or b"").lower().split() for v in column)
-            found = np.fromiter((xxhash.xxh3_64_intdigest(b" ".join(w)) for w in words), np.uint64, len(batch))
-            columns = [*batch.columns, pa.array(found.view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, name])
+            found = [_words_hash((v.as_py() or b"").lower().split()) for v in column]
+            added = [pa.array([f[n] for f in found], pa.int64()) for n in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, *names])
 
-    return docs.mapInArrow(mark, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+    fields = [T.StructField(name, T.LongType()) for name in names]
+    return docs.mapInArrow(mark, T.StructType([*docs.schema.fields, *fields]))
 
 
-def _similar(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs whose sets of word shingles have at least this Jaccard similarity."""
+def _sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """``(node, shingles)`` of the wanted nodes, from one of the texts of each; written once."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, rows in byte_rows(batches):
             sets = [np.unique(shingle_hashes(r.lower().split(), shingle)).view(np.int64) for r in rows]
-            yield pa.RecordBatch.from_arrays(
-                [keys, pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"]
-            )
+            yield pa.RecordBatch.from_arrays([keys, pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
-    pairs = staged(pairs, "similar-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts_only = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     one_each = (
-        _with_node(docs.select(F.col("text").cast("string").alias("text")), "node")
-        .join(wanted, "node", "left_semi")
-        .groupBy("node")
-        .agg(F.first(F.coalesce("text", F.lit(""))).alias("text"))
+        _marked(texts_only, ("h1", "h2")).join(wanted, ["h1", "h2"]).groupBy("node").agg(F.first("text").alias("text"))
     )
-    sets = staged(one_each.mapInArrow(cut, "node long, shingles array<long>"), "similar-sets")
+    return staged(one_each.mapInArrow(cut, "node long, shingles array<long>"), "similar-sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``(a, b)``: the pairs whose sets of shingles have at least this Jaccard similarity."""
+    ends = pairs.select(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b")).distinct()
     common = F.size(F.array_intersect("x", "y"))
     return staged(
-        pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+        ends.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
         .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
         .filter(common * (1 + similarity) >= similarity * (F.size("x") + F.size("y")) - 1e-9)
         .select("a", "b"),
@@ -426,74 +431,110 @@ def drop_similar(
     docs: DataFrame,
     shingle: int = 5,
     radius: int = SIMILAR_BITS,
-    blocks: int = SIMILAR_BLOCKS,
     similarity: float = 0.8,
 ) -> DataFrame:
     """``docs`` with one document of each group of similar ones, the one with the smallest doc_id.
 
     Documents are linked whose sets of ``shingle``-word shingles have a Jaccard
-    similarity of at least ``similarity``; links are looked for among those whose
-    fingerprints over such shingles differ in at most ``radius`` bits and meet
-    under a key of ``blocks`` blocks. Texts with the same words are one node, so are NULL and empty texts. All columns stay.
-
-    First each node is compared with its smallest near one only, which joins a
-    large group of near copies by one pair a copy. Then all near pairs are
-    compared that are still in different groups, so no link between groups is left out.
+    similarity of at least ``similarity``; links are looked for among those that
+    agree on a band of their MinHash signatures and whose fingerprints over such
+    shingles differ in at most ``radius`` bits. Texts with the same words are one
+    node, so are NULL and empty texts. All columns stay, whatever their names.
+
+    Each round every node proposes one partner only, the smallest near one of another
+    component that it has not tried; the proposals are verified, and the links
+    join components. A node whose proposal failed proposes the next one, until no
+    node has a near partner outside its component: rows grow with the nodes in
+    every round, and no link between components is left out. The shingles of each
+    node with a partner are written once.
 
     A group without any doc_id keeps one of its rows; of repeated rows one stays.
+    A very long text is held whole by its task. An empty table gives an empty one.
     """
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, rows in byte_rows(batches):
-            nodes, prints, seconds, sizes = [], [], [], []
+            names, prints, seconds, sizes, bands = [], [], [], [], []
             for row in rows:
                 words = row.lower().split()
                 hashes = shingle_hashes(words, shingle)
-                nodes.append(xxhash.xxh3_64_intdigest(b" ".join(words)))
+                names.append(_words_hash(words))
                 prints.append(majority(hashes))
                 mixed = (hashes ^ (hashes >> np.uint64(32))) * np.uint64(0xC4CEB9FE1A85EC53)
                 seconds.append(majority(mixed ^ (mixed >> np.uint64(29))))
-                sizes.append(len(np.unique(hashes)))
+                different = np.unique(hashes)
+                sizes.append(len(different))
+                bands.append(band_keys(different))
             yield pa.RecordBatch.from_arrays(
                 [
                     keys,
-                    pa.array(np.array(nodes, np.uint64).view(np.int64)),
+                    *(pa.array([name[n] for name in names], pa.int64()) for n in (0, 1)),
                     pa.array(np.array(prints, np.uint64).view(np.int64)),
                     pa.array(np.array(seconds, np.uint64).view(np.int64)),
                     pa.array(sizes, pa.int32()),
+                    pa.array(bands, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "node", "fp", "second", "n"],
+                ["doc_id", "h1", "h2", "fp", "second", "n", "bands"],
             )
 
-    prints = texts(docs).mapInArrow(compute, "doc_id long, node long, fp long, second long, n int")
-    nodes = staged(
-        prints.groupBy("node").agg(
-            F.first("fp").alias("fp"),
-            F.first("second").alias("second"),
-            F.first("n").alias("n"),
-            F.min("doc_id").alias("least"),
-        ),
-        "similar-nodes",
+    prints = texts(docs).mapInArrow(
+        compute, f"doc_id long, {WORDS_HASH}, fp long, second long, n int, bands array<long>"
+    )
+    grouped = prints.groupBy("h1", "h2").agg(
+        *(F.first(c).alias(c) for c in ("fp", "second", "n", "bands")), F.min("doc_id").alias("least")
     )
-    alone = nodes.withColumn("root", F.col("node"))
-    first = _similar(_candidates(alone, radius, blocks, similarity, True), docs, shingle, similarity)
-    rooted = staged(_rooted(nodes, first), "similar-roots")
-    others = _similar(_candidates(rooted, radius, blocks, similarity, False), docs, shingle, similarity)
+    nodes = staged(grouped.withColumn("node", F.monotonically_increasing_id()), "similar-nodes")
+    roots = _linked(docs, nodes, shingle, radius, similarity)
+    named = nodes.select("node", "h1", "h2", "least")
+    if roots is not None:
+        named = named.join(roots.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left")
+    root = F.col("node") if roots is None else F.coalesce("root", "node")
     kept = (
-        _rooted(nodes, first.unionByName(others))
-        .groupBy("root")
-        .agg(F.min(F.struct(F.col("least").isNull().alias("unnamed"), "least", "node")).alias("k"))
-        .select(F.col("k.least").alias("kept_id"), F.col("k.node").alias("kept_node"))
+        named.groupBy(root.alias("root"))
+        .agg(F.min(F.struct(F.col("least").isNull().alias("unnamed"), "least", "h1", "h2")).alias("k"))
+        .select(F.col("k.least").alias("kept_id"), F.col("k.h1").alias("kept_h1"), F.col("k.h2").alias("kept_h2"))
     )
-    name = fresh(docs, "node")
-    marked = _with_node(docs, name)
-    same = marked["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & (marked[name] == kept["kept_node"])
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", name]).select(*docs.columns)
+    names = fresh(docs, "h1"), fresh(docs, "h2")
+    marked = _marked(docs, names)
+    same = (
+        marked["doc_id"].cast("long").eqNullSafe(kept["kept_id"])
+        & (marked[names[0]] == kept["kept_h1"])
+        & (marked[names[1]] == kept["kept_h2"])
+    )
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", *names]).select(*docs.columns)
 
 
-def _rooted(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``nodes`` with the name of the component that these links give each."""
-    roots = components(pairs).withColumnRenamed("node", "linked")
-    return nodes.join(roots, nodes.node == roots.linked, "left").select(
-        "node", "fp", "second", "n", "least", F.coalesce("root", "node").alias("root")
-    )
+def _linked(docs: DataFrame, nodes: DataFrame, shingle: int, radius: int, similarity: float) -> DataFrame | None:
+    """``(node, root)`` of the nodes with links; None without any."""
+    members = _memberships(nodes)
+    cells = members.agg(F.max("cells")).first()[0] or 0
+    state = nodes.select("node", "fp", "second", "n", F.col("node").alias("root"), F.lit(-1).cast("long").alias("tried"))
+    links = roots = sets = None
+    for apart in range(cells):
+        while True:
+            found = _proposals(members, state, apart, radius, similarity)
+            if found.isEmpty():
+                break
+            if sets is None or apart:
+                ends = found.select(F.explode(F.array("node", "partner")).alias("node")).distinct()
+                wanted = nodes.select("node", "h1", "h2").join(ends, "node", "left_semi")
+                if sets is not None:
+                    wanted = wanted.join(sets, "node", "left_anti")
+                more = _sets(docs, wanted, shingle)
+                sets = more if sets is None else sets.unionByName(more)
+            good = _verified(found, sets, similarity)
+            links = good if links is None else links.unionByName(good)
+            roots = components(links)
+            # Only those that proposed may propose again: components only grow.
+            state = staged(
+                nodes.select("node", "fp", "second", "n")
+                .join(roots, "node", "left")
+                .join(found, "node", "left")
+                .select(
+                    "node", "fp", "second", "n", F.coalesce("root", "node").alias("root"),
+                    F.coalesce("partner", F.lit(int(NO_PARTNER))).alias("tried"),
+                ),
+                "similar-state",
+            )
+        state = state.withColumn("tried", F.lit(-1).cast("long"))
+    return roots
