@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window
 
 from starflat.llm.common import byte_rows, fresh, hex16, signed, staged, texts
 from starflat.llm.components import components
@@ -24,6 +25,11 @@ SIMILAR_BITS = 17
 # similarity 0.8 do, 5 in a thousand of those of 0.3.
 BANDS, BAND_ROWS = 20, 7
 SHINGLES_AT_ONCE = 2048
+# Pairs whose signatures agree in fewer rows are left out: 3 standard deviations below 0.8.
+LEAST_ROWS_EQUAL = int(BANDS * BAND_ROWS * 0.7)
+# Partners that a node proposes in a round: first its best one, then more at once.
+PROPOSED, MOST_PROPOSED = 4, 64
+PAIRS_HELD = 1 << 21
 BLOCKS, SAME_BLOCKS = 5, 3
 GROUP_ROWS = 4096
 HASHES_AT_ONCE = 1 << 16
@@ -273,28 +279,38 @@ def _multipliers(n: int, salt: str) -> np.ndarray:
 MULTIPLY, ADD = (_multipliers(BANDS * BAND_ROWS, salt) for salt in ("multiply", "add"))
 
 
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """One key per band of the MinHash signature of a set of hashes; none for an empty set."""
-    if not len(hashes):
-        return np.zeros(0, np.int64)
+def signature(hashes: np.ndarray) -> np.ndarray:
+    """The MinHash signature of a set of hashes."""
     least = np.full(len(MULTIPLY), np.iinfo(np.uint64).max)
     for start in range(0, len(hashes), SHINGLES_AT_ONCE):
         part = hashes[start : start + SHINGLES_AT_ONCE]
         np.minimum(least, (part[:, None] * MULTIPLY + ADD).min(axis=0), out=least)
+    return least
+
+
+def band_keys(least: np.ndarray) -> np.ndarray:
+    """One key per band of a signature."""
     rows = least.reshape(BANDS, BAND_ROWS)
     return np.array([xxhash.xxh3_64_intdigest(row.tobytes()) for row in rows], np.uint64).view(np.int64)
 
 
-NO_PARTNER = np.iinfo(np.int64).max
+def _foremost(x: np.ndarray, y: np.ndarray, equal: np.ndarray, node: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k best partners ``y`` of each ``x``: most equal rows first, then smallest node."""
+    order = np.lexsort((node[y], -equal, x))
+    begun = np.flatnonzero(np.append(True, np.diff(x[order]) != 0)) if len(order) else order
+    nth = np.arange(len(order)) - np.repeat(begun, np.diff(np.append(begun, len(order))))
+    return order[nth < k]
 
 
-def _meetings(frames: Iterator[pd.DataFrame], radius: int, similarity: float):
-    """``(node, partner)``: each node's smallest partner beyond ``tried``, of another root, that is near.
+def _meetings(frames: Iterator[pd.DataFrame], radius: int, similarity: float, k: int):
+    """``(node, partner, equal)``: each node's k best near partners of another root that it has not tried.
 
-    Group by group; rows of a group are sorted by their distance to the first pivot, so
-    partners lie within the radius of it. A pair whose distances to any of the other
-    pivots differ by more cannot be near and is discarded; bits, a second fingerprint
-    and sizes thin out the rest.
+    Partners come by how many rows of the signatures are equal, then by node; what
+    is at or before ``(tried_equal, tried)`` in that order was tried. Group by group;
+    rows of a group are sorted by their distance to the first pivot, so partners
+    lie within the radius of it. A pair whose distances to any of the other
+    pivots differ by more cannot be near and is discarded; bits, a second fingerprint,
+    sizes and signatures thin out the rest.
     """
     rest = None
     for frame in _and_end(frames):
@@ -311,10 +327,16 @@ def _meetings(frames: Iterator[pd.DataFrame], radius: int, similarity: float):
                 continue
         ends = np.repeat(np.append(cuts, len(both)), np.diff(np.concatenate([[0], cuts, [len(both)]])))
         fp, second = both["fp"].to_numpy().view(np.uint64), both["second"].to_numpy().view(np.uint64)
-        node, root, tried = (both[c].to_numpy() for c in ("node", "root", "tried"))
-        size, table = both["n"].to_numpy(), pivot_table(fp)
-        first = both["pivot"].to_numpy()
-        best = np.full(len(both), NO_PARTNER)
+        node, root, tried, tried_equal = (both[c].to_numpy() for c in ("node", "root", "tried", "tried_equal"))
+        size, table, first = both["n"].to_numpy(), pivot_table(fp), both["pivot"].to_numpy()
+        rows = np.frombuffer(b"".join(both["rows"]), np.uint8).reshape(len(both), -1)
+        held, n_held = [], 0
+
+        def foremost():
+            x, y, equal = (np.concatenate([h[i] for h in held]) for i in range(3))
+            best = _foremost(x, y, equal, node, k)
+            return x[best], y[best], equal[best]
+
         at, step = np.arange(len(both)), 1
         while True:
             at = at[at + step < ends[at]]
@@ -329,12 +351,21 @@ def _meetings(frames: Iterator[pd.DataFrame], radius: int, similarity: float):
             apart = np.bitwise_count(fp[a] ^ fp[b])
             keep = (apart <= radius) & (apart + np.bitwise_count(second[a] ^ second[b]) <= 2 * radius)
             a, b = a[keep], b[keep]
+            equal = (rows[a] == rows[b]).sum(axis=1)
+            keep = equal >= LEAST_ROWS_EQUAL
+            a, b, equal = a[keep], b[keep], equal[keep]
             for x, y in ((a, b), (b, a)):
-                fresh_ones = node[y] > tried[x]
-                np.minimum.at(best, x[fresh_ones], node[y[fresh_ones]])
+                new = (equal < tried_equal[x]) | ((equal == tried_equal[x]) & (node[y] > tried[x]))
+                if new.any():
+                    held.append((x[new], y[new], equal[new]))
+                    n_held += int(new.sum())
+            if n_held > PAIRS_HELD:
+                held = [foremost()]
+                n_held = len(held[0][0])
             step += 1
-        found = np.flatnonzero(best < NO_PARTNER)
-        yield pd.DataFrame({"node": node[found], "partner": best[found]})
+        if held:
+            x, y, equal = foremost()
+            yield pd.DataFrame({"node": node[x], "partner": node[y], "equal": equal.astype(np.int32)})
 
 
 def _memberships(nodes: DataFrame) -> DataFrame:
@@ -355,8 +386,8 @@ def _memberships(nodes: DataFrame) -> DataFrame:
     )
 
 
-def _proposals(members: DataFrame, state: DataFrame, apart: int, radius: int, similarity: float) -> DataFrame:
-    """``(node, partner)``, at most one row a node: its smallest near partner not tried yet.
+def _proposals(members: DataFrame, state: DataFrame, apart: int, radius: int, similarity: float, k: int) -> DataFrame:
+    """``(node, partner, equal)``, at most k rows a node: its best near partners not tried yet.
 
     Cells meet themselves, or the cell ``apart`` from them; a key whose nodes all
     belong to one component is done.
@@ -367,13 +398,18 @@ def _proposals(members: DataFrame, state: DataFrame, apart: int, radius: int, si
     own, cells = F.col("own"), F.col("cells")
     cell = F.explode(F.array(own, F.pmod(own - apart, cells))) if apart else own
     pivot = F.bit_count(F.col("fp").bitwiseXOR(F.lit(signed(int(PIVOTS[0])))))
+    columns = ["node", "fp", "second", "n", "rows", "root", "tried", "tried_equal"]
     grouped = (
-        active.select("part", "key", cell.alias("cell"), "node", "fp", "second", "n", "root", "tried", pivot.alias("pivot"))
+        active.select("part", "key", cell.alias("cell"), *columns, pivot.alias("pivot"))
         .repartition("part", "key", "cell")
         .sortWithinPartitions("part", "key", "cell", "pivot")
     )
-    found = grouped.mapInPandas(lambda frames: _meetings(frames, radius, similarity), "node long, partner long")
-    return staged(found.groupBy("node").agg(F.min("partner").alias("partner")), "similar-pairs")
+    found = grouped.mapInPandas(
+        lambda frames: _meetings(frames, radius, similarity, k), "node long, partner long, equal int"
+    )
+    best = Window.partitionBy("node").orderBy(F.desc("equal"), "partner")
+    nth = found.distinct().withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= k)
+    return staged(nth.drop("nth"), "similar-pairs")
 
 
 WORDS_HASH = "h1 long, h2 long"
@@ -441,12 +477,11 @@ def drop_similar(
     shingles differ in at most ``radius`` bits. Texts with the same words are one
     node, so are NULL and empty texts. All columns stay, whatever their names.
 
-    Each round every node proposes one partner only, the smallest near one of another
-    component that it has not tried; the proposals are verified, and the links
-    join components. A node whose proposal failed proposes the next one, until no
-    node has a near partner outside its component: rows grow with the nodes in
-    every round, and no link between components is left out. The shingles of each
-    node with a partner are written once.
+    First every node proposes the one partner with the most similar signature; the
+    proposals are verified, and the links join components. Then each node proposes
+    the next few partners of other components that it has not tried, until none has
+    any: rows grow with the nodes in every round, and no link between components
+    is left out. The shingles of each node with a partner are written once.
 
     A group without any doc_id keeps one of its rows; of repeated rows one stays.
     A very long text is held whole by its task. An empty table gives an empty one.
@@ -454,7 +489,7 @@ def drop_similar(
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, rows in byte_rows(batches):
-            names, prints, seconds, sizes, bands = [], [], [], [], []
+            names, prints, seconds, sizes, rows_of, bands = [], [], [], [], [], []
             for row in rows:
                 words = row.lower().split()
                 hashes = shingle_hashes(words, shingle)
@@ -464,7 +499,10 @@ def drop_similar(
                 seconds.append(majority(mixed ^ (mixed >> np.uint64(29))))
                 different = np.unique(hashes)
                 sizes.append(len(different))
-                bands.append(band_keys(different))
+                least = signature(different)
+                rows_of.append((least >> np.uint64(40)).astype(np.uint8).tobytes())
+                # Texts without words are one node and meet nobody.
+                bands.append(band_keys(least) if words else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     keys,
@@ -472,16 +510,17 @@ def drop_similar(
                     pa.array(np.array(prints, np.uint64).view(np.int64)),
                     pa.array(np.array(seconds, np.uint64).view(np.int64)),
                     pa.array(sizes, pa.int32()),
+                    pa.array(rows_of, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "h1", "h2", "fp", "second", "n", "bands"],
+                ["doc_id", "h1", "h2", "fp", "second", "n", "rows", "bands"],
             )
 
     prints = texts(docs).mapInArrow(
-        compute, f"doc_id long, {WORDS_HASH}, fp long, second long, n int, bands array<long>"
+        compute, f"doc_id long, {WORDS_HASH}, fp long, second long, n int, rows binary, bands array<long>"
     )
     grouped = prints.groupBy("h1", "h2").agg(
-        *(F.first(c).alias(c) for c in ("fp", "second", "n", "bands")), F.min("doc_id").alias("least")
+        *(F.first(c).alias(c) for c in ("fp", "second", "n", "rows", "bands")), F.min("doc_id").alias("least")
     )
     nodes = staged(grouped.withColumn("node", F.monotonically_increasing_id()), "similar-nodes")
     roots = _linked(docs, nodes, shingle, radius, similarity)
@@ -505,36 +544,50 @@ def drop_similar(
 
 
 def _linked(docs: DataFrame, nodes: DataFrame, shingle: int, radius: int, similarity: float) -> DataFrame | None:
-    """``(node, root)`` of the nodes with links; None without any."""
+    """``(node, root)`` of the nodes that may have links; None without any."""
     members = _memberships(nodes)
     cells = members.agg(F.max("cells")).first()[0] or 0
-    state = nodes.select("node", "fp", "second", "n", F.col("node").alias("root"), F.lit(-1).cast("long").alias("tried"))
-    links = roots = sets = None
+    everything, nothing = F.lit(BANDS * BAND_ROWS + 1), F.lit(-1)
+    state = staged(
+        nodes.join(members.select("node").distinct(), "node", "left_semi").select(
+            "node", "h1", "h2", "fp", "second", "n", "rows", F.col("node").alias("root"),
+            F.lit(-1).cast("long").alias("tried"), everything.alias("tried_equal"),
+        ),
+        "similar-state",
+    )
+    sets, k = None, 1
     for apart in range(cells):
         while True:
-            found = _proposals(members, state, apart, radius, similarity)
+            found = _proposals(members, state, apart, radius, similarity, k)
             if found.isEmpty():
                 break
             if sets is None or apart:
                 ends = found.select(F.explode(F.array("node", "partner")).alias("node")).distinct()
-                wanted = nodes.select("node", "h1", "h2").join(ends, "node", "left_semi")
+                wanted = state.select("node", "h1", "h2").join(ends, "node", "left_semi")
                 if sets is not None:
                     wanted = wanted.join(sets, "node", "left_anti")
                 more = _sets(docs, wanted, shingle)
                 sets = more if sets is None else sets.unionByName(more)
             good = _verified(found, sets, similarity)
-            links = good if links is None else links.unionByName(good)
-            roots = components(links)
+            # Links between components, by their names.
+            name = lambda c: state.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+            between = good.join(name("a"), "a").join(name("b"), "b").select("root_a", "root_b")
+            joined = components(between, "root_a", "root_b").select(
+                F.col("node").alias("root"), F.col("root").alias("new_root")
+            )
+            last = found.groupBy("node").agg(F.min(F.struct("equal", (-F.col("partner")).alias("p"))).alias("last"))
             # Only those that proposed may propose again: components only grow.
             state = staged(
-                nodes.select("node", "fp", "second", "n")
-                .join(roots, "node", "left")
-                .join(found, "node", "left")
+                state.drop("tried", "tried_equal")
+                .join(joined, "root", "left")
+                .join(last, "node", "left")
                 .select(
-                    "node", "fp", "second", "n", F.coalesce("root", "node").alias("root"),
-                    F.coalesce("partner", F.lit(int(NO_PARTNER))).alias("tried"),
+                    "node", "h1", "h2", "fp", "second", "n", "rows", F.coalesce("new_root", "root").alias("root"),
+                    F.coalesce(-F.col("last.p"), F.lit(0)).alias("tried"),
+                    F.coalesce("last.equal", nothing).alias("tried_equal"),
                 ),
                 "similar-state",
             )
-        state = state.withColumn("tried", F.lit(-1).cast("long"))
-    return roots
+            k = min(MOST_PROPOSED, k * PROPOSED)
+        state = state.withColumns({"tried": F.lit(-1).cast("long"), "tried_equal": everything})
+    return state.select("node", "root") if cells else None
