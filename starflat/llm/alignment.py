@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import gc
+import json
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,14 +15,16 @@ from pyspark.sql import functions as F
 
 from starflat.llm.common import byte_rows, staged, texts
 
-# Ids of the windows whose alignment a task remembers; beyond that it starts afresh.
-KEPT_IDS = 4_000_000
-# Text handed to the tokenizers at a time.
-BATCH_BYTES = 2_000_000
+# Windows whose alignment a task remembers (long ones count more): the last so many and, of what
+# came before, what was used again.
+KEPT = 100_000
+# Text handled at a time.
+BATCH_BYTES = 500_000
 # At most so many pairs are sent to every task; the others are joined by a shuffle.
 COMMON_PAIRS = 1 << 17
-
-Groups = list[tuple[tuple[int, ...], tuple[int, ...]]]
+MARK = "\u2581"
+# Fixed value: how byte-level vocabularies split texts into words.
+WORDS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 # -- the two tokenizers ------------------------------------------------------------
@@ -34,7 +39,12 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class ByteLevel:
-    """A byte-level tokenizer file; special tokens in texts are plain text."""
+    """A byte-level tokenizer file; special tokens in texts are plain text.
+
+    Where ids follow the order of merges, as they do in the public file, the lowest
+    id that a merge can make is the next merge: the ids are ranks, and the
+    rank encoder gives the same ids in a fifth of the time.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
@@ -48,10 +58,24 @@ class ByteLevel:
         for entry, token in vocabulary.items():
             known = all(letter in letters for letter in entry)
             self.bytes_of[token] = bytes(letters[x] for x in entry) if known else entry.encode()
+        self.ranked = self._ranked(json.loads(self.tokenizer.to_str()))
+
+    def _ranked(self, settings: dict):
+        splitter, model = settings["pre_tokenizer"] or {}, settings["model"]
+        merges = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model.get("merges", ())]
+        in_order = [model["vocab"].get(m) for m in merges] == list(range(256, 256 + len(merges)))
+        if not in_order or settings["normalizer"] or splitter.get("type") != "ByteLevel" or not splitter.get("use_regex"):
+            return None
+        import tiktoken
+
+        ranks = {self.bytes_of[i]: i for i in range(256 + len(merges))}
+        return tiktoken.Encoding("ranks", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, rows: list[str]) -> list[list[int]]:
-        found = self.tokenizer.encode_batch_fast([f" {row}" for row in rows], add_special_tokens=False)
-        return [one.ids for one in found]
+        rows = [f" {row}" for row in rows]
+        if self.ranked is not None:
+            return [self.ranked.encode_ordinary(row) for row in rows]
+        return [one.ids for one in self.tokenizer.encode_batch_fast(rows, add_special_tokens=False)]
 
 
 class Pieces:
@@ -61,11 +85,10 @@ class Pieces:
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_file=path)
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes_of = [
-            bytes([int(self.model.id_to_piece(i)[3:5], 16)])
-            if self.model.is_byte(i)
-            else self.model.id_to_piece(i).replace("▁", " ").encode()
-            for i in range(self.model.get_piece_size())
+            bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace(MARK, " ").encode()
+            for i, piece in enumerate(pieces)
         ]
 
     def encode(self, rows: list[str]) -> list[list[int]]:
@@ -79,106 +102,125 @@ class _Side:
         self.tokenizer, self.bytes_of = tokenizer, tokenizer.bytes_of
         self.lengths = np.array([len(b) for b in self.bytes_of], np.int64)
         self.spaced = np.array([b[:1] == b" " for b in self.bytes_of])
+        # Decimal ids, each with the mark that can follow.
+        self.decimals = np.array([f"{i}{mark}" for mark in ",|;" for i in range(len(self.bytes_of))], object)
 
     def spells(self, ids: list[int], whole: bytes) -> bool:
-        return b"".join([self.bytes_of[i] for i in ids]) == whole
+        bytes_of = self.bytes_of
+        return b"".join([bytes_of[i] for i in ids]) == whole
 
 
 # -- windows -----------------------------------------------------------------------
 
 
-def aligned(a: tuple[int, ...], b: tuple[int, ...], a_len: np.ndarray, b_len: np.ndarray) -> tuple[Groups, list]:
-    """Groups between common token ends, and the linked pairs ``(i, j)`` by place, of one window."""
-    groups, links = [], []
-    i = j = begun_a = begun_b = 0
-    end_a, end_b = int(a_len[a[0]]), int(b_len[b[0]])
-    while True:
-        links.append((a[i], b[j]))
-        if end_a == end_b:
-            groups.append((a[begun_a : i + 1], b[begun_b : j + 1]))
-            i, j = i + 1, j + 1
-            begun_a, begun_b = i, j
-            if i == len(a):
-                return groups, links
-            end_a, end_b = end_a + int(a_len[a[i]]), end_b + int(b_len[b[j]])
-        elif end_a < end_b:
-            i += 1
-            end_a += int(a_len[a[i]])
-        else:
-            j += 1
-            end_b += int(b_len[b[j]])
-
-
-class _Windows:
-    """Window alignments by their ids: number, digest text, groups, and linked pairs one after another."""
-
-    def __init__(self, a_len: np.ndarray, b_len: np.ndarray) -> None:
-        self.a_len, self.b_len = a_len, b_len
-        self.clear()
-
-    def clear(self) -> None:
-        self.number: dict[tuple[bytes, bytes], int] = {}
-        self.text: list[str] = []
-        self.groups: list[int] = []
-        self.links: list[np.ndarray] = []
-        self.size = 0
-
-    def find(self, key: tuple[bytes, bytes]) -> int:
-        a, b = (tuple(np.frombuffer(ids, np.int32).tolist()) for ids in key)
-        self.size += len(a) + len(b)
-        groups, links = aligned(a, b, self.a_len, self.b_len)
-        self.text.append(";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups))
-        self.groups.append(len(groups))
-        pairs = np.array(links, np.int64)
-        self.links.append((pairs[:, 0] << 32) | pairs[:, 1])
-        found = self.number[key] = len(self.text) - 1
-        return found
-
-
-def window_bounds(a: np.ndarray, b: np.ndarray, left: _Side, right: _Side) -> tuple[np.ndarray, np.ndarray]:
-    """Where windows end in either id sequence: byte offsets at which both sides end a
-    token and both go on with a token that starts with a space, and the end."""
-    ends_a, ends_b = left.lengths[a].cumsum(), right.lengths[b].cumsum()
+# The ids of either side, four bytes each, with a mark between that is no id.
+Window = bytes
+BETWEEN = b"\xff" * 4
+
+
+def cut_windows(raw_a: bytes, raw_b: bytes, left: _Side, right: _Side) -> list[Window]:
+    """The windows of a text: they end at byte offsets at which both sides end a token and
+    both go on with a token that starts with a space, and at the end."""
+    a, b = np.frombuffer(raw_a, np.int32), np.frombuffer(raw_b, np.int32)
     marked_a, marked_b = np.flatnonzero(left.spaced[a[1:]]), np.flatnonzero(right.spaced[b[1:]])
-    _, at_a, at_b = np.intersect1d(ends_a[marked_a], ends_b[marked_b], assume_unique=True, return_indices=True)
-    return np.append(marked_a[at_a], len(a) - 1) + 1, np.append(marked_b[at_b], len(b) - 1) + 1
+    ends_a, ends_b = left.lengths[a].cumsum()[marked_a], right.lengths[b].cumsum()[marked_b]
+    at = np.searchsorted(ends_b, ends_a)
+    same = np.flatnonzero(np.append(ends_b, -1)[at] == ends_a)
+    to_a = [0, *(4 * marked_a[same] + 4).tolist(), len(raw_a)]
+    to_b = [0, *(4 * marked_b[at[same]] + 4).tolist(), len(raw_b)]
+    return [raw_a[i:j] + BETWEEN + raw_b[k:m] for i, j, k, m in zip(to_a, to_a[1:], to_b, to_b[1:])]
+
+
+class _Memory:
+    """Alignments of windows in two generations: what the newer one has not used again is forgotten in time."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit, self.size, self.new, self.old = limit, 0, {}, {}
+
+    def unknown(self, texts: list[list[Window]]) -> list[Window]:
+        """Windows not seen yet; all others can be read from ``new`` until the next call."""
+        if self.size > self.limit:
+            self.new, self.old, self.size = {}, self.new, 0
+        new, missing = self.new, []
+        for window in {w for windows in texts for w in windows if w not in new}:
+            value = self.old.get(window)
+            if value is None:
+                missing.append(window)
+            else:
+                self.put(window, value)
+        return missing
+
+    def put(self, window: Window, value) -> None:
+        self.new[window] = value
+        self.size += 1 + len(window) // 256
+
+
+def align_windows(windows: list[Window], left: _Side, right: _Side) -> list[tuple[str, bytes, int]]:
+    """For each window its groups as text, its linked pairs as longs, and how many groups it has.
+
+    All windows are put one after another: their ends are shared ends. Between two
+    neighbouring token ends of either side lies one token of each, so every such
+    stretch is one link; where both sides end, a group ends.
+    """
+    ids = np.frombuffer(b"".join([w + BETWEEN for w in windows]), np.int32)
+    marks = np.flatnonzero(ids < 0)
+    side = np.zeros(len(ids), np.int8)
+    side[marks] = 1
+    odd = side.cumsum() % 2 == 1
+    a, b = ids[~odd & (ids >= 0)], ids[odd & (ids >= 0)]
+    ends_a, ends_b = left.lengths[a].cumsum(), right.lengths[b].cumsum()
+    ends = np.union1d(ends_a, ends_b)
+    pairs = (a[np.searchsorted(ends_a, ends)].astype(np.int64) << 32) | b[np.searchsorted(ends_b, ends)]
+    shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    # Groups before each token, and the place of each token in the text: a group's A ids, then its B ids.
+    group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+    last_a, last_b = shared[group_a] == ends_a, shared[group_b] == ends_b
+    begun_a, begun_b = np.searchsorted(group_a, np.arange(len(shared) + 1)), np.searchsorted(group_b, np.arange(len(shared) + 1))
+    words = np.empty(len(a) + len(b), object)
+    n_a, n_b = len(left.bytes_of), len(right.bytes_of)
+    words[np.arange(len(a)) + begun_b[group_a]] = left.decimals[a + n_a * last_a]
+    words[np.arange(len(b)) + begun_a[group_b + 1]] = right.decimals[b + n_b * 2 * last_b]
+    words = words.tolist()
+    sizes = (np.diff(marks, prepend=-1) - 1).reshape(-1, 2)
+    stops = ends_a[sizes[:, 0].cumsum() - 1]
+    links, groups = np.searchsorted(ends, stops) + 1, np.searchsorted(shared, stops) + 1
+    raw, found, at, link, group = pairs.tobytes(), [], 0, 0, 0
+    for stop, to, upto in zip(sizes.sum(axis=1).cumsum().tolist(), links.tolist(), groups.tolist()):
+        found.append(("".join(words[at:stop])[:-1], raw[8 * link : 8 * to], upto - group))
+        at, link, group = stop, to, upto
+    return found
 
 
 def _aligner(byte_file: str, piece_file: str):
     """A function from texts (UTF-8) to one result a text."""
     left, right = _Side(ByteLevel(byte_file)), _Side(Pieces(piece_file))
-    windows = _Windows(left.lengths, right.lengths)
+    memory = _Memory(KEPT)
 
-    def one(row: bytes, a_ids: list[int], b_ids: list[int]):
+    def cut(row: bytes, a: list[int], b: list[int]) -> list[Window]:
         whole = b" " + row
-        if not (left.spells(a_ids, whole) and right.spells(b_ids, whole)):
-            return None
-        a, b = np.array(a_ids, np.int32), np.array(b_ids, np.int32)
-        stops_a, stops_b = window_bounds(a, b, left, right)
-        raw_a, raw_b = a.tobytes(), b.tobytes()
-        if windows.size > KEPT_IDS:
-            windows.clear()
-        number, find, found = windows.number, windows.find, []
-        begun_a = begun_b = 0
-        for stop_a, stop_b in zip((stops_a * 4).tolist(), (stops_b * 4).tolist()):
-            key = (raw_a[begun_a:stop_a], raw_b[begun_b:stop_b])
-            at = number.get(key)
-            found.append(find(key) if at is None else at)
-            begun_a, begun_b = stop_a, stop_b
-        text = ";".join([windows.text[w] for w in found])
-        kinds, times = np.unique(np.array(found), return_counts=True)
-        parts = [windows.links[w] for w in kinds.tolist()]
-        pairs, of = np.unique(np.concatenate(parts), return_inverse=True)
-        weights = np.repeat(times, [len(p) for p in parts])
-        uses = np.bincount(of, weights).astype(np.int64)
-        groups = int(sum(windows.groups[w] * n for w, n in zip(kinds.tolist(), times.tolist())))
-        return len(a), len(b), groups, int(uses.sum()), text, pairs, uses
+        # The rank encoder splits the text's own bytes, so its tokens spell them.
+        if not row or not (left.tokenizer.ranked or left.spells(a, whole)) or not right.spells(b, whole):
+            return []
+        return cut_windows(array("i", a).tobytes(), array("i", b).tobytes(), left, right)
+
+    def one(a: list[int], b: list[int], windows: list[Window]):
+        new = memory.new
+        parts = [new[w] for w in windows]
+        text = ";".join([part[0] for part in parts])
+        links = np.frombuffer(b"".join([part[1] for part in parts]), np.int64)
+        pairs, uses = np.unique(links, return_counts=True)
+        return len(a), len(b), sum([part[2] for part in parts]), len(links), text, pairs, uses
 
     def many(rows: list[bytes]):
-        # What is no UTF-8 is replaced, and the comparison of bytes then fails.
+        # What is no UTF-8 is replaced; its tokens spell the replacement, not the text.
         plain = [row.decode("utf-8", "replace") for row in rows]
-        for row, a_ids, b_ids in zip(rows, left.tokenizer.encode(plain), right.tokenizer.encode(plain)):
-            yield one(row, a_ids, b_ids) if row else None
+        ids = list(zip(left.tokenizer.encode(plain), right.tokenizer.encode(plain)))
+        windows = [cut(row, a, b) for row, (a, b) in zip(rows, ids)]
+        unseen = memory.unknown(windows)
+        for window, found in zip(unseen, align_windows(unseen, left, right) if unseen else ()):
+            memory.put(window, found)
+        for (a, b), mine in zip(ids, windows):
+            yield one(a, b, mine) if mine else None
 
     return many
 
@@ -201,7 +243,7 @@ def alignments(docs: DataFrame, byte_file: str, piece_file: str) -> DataFrame:
 
     ``groups`` is the text ``a1,a2|b1;a3|b2,b3`` of the aligned token ids, ``pairs``
     the different linked pairs ``a << 32 | b`` and ``uses`` how often each occurs.
-    Both tokenizers read the whole text first. Byte offsets where both end a
+    Both tokenizers give the ids of the whole text first. Byte offsets where both end a
     token before one that starts with a space cut the ids into windows, a word
     or a few words each; a task remembers the alignment of each window by its ids.
 
@@ -212,6 +254,14 @@ def alignments(docs: DataFrame, byte_file: str, piece_file: str) -> DataFrame:
     """
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Millions of small objects without cycles: the collector would look at them again and again.
+        gc.disable()
+        try:
+            yield from aligned(batches)
+        finally:
+            gc.enable()
+
+    def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         many = _aligner(byte_file, piece_file)
         for keys, rows in byte_rows(batches):
             begun = 0

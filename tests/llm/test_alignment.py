@@ -122,7 +122,7 @@ def test_rare_pairs_take_the_other_way(spark, tokenizers):
 def test_small_memory_gives_the_same(spark, tokenizers, monkeypatch):
     rows = list(enumerate(hard_texts()[:60]))
     want = slow(rows, tokenizers)
-    monkeypatch.setattr(alignment, "KEPT_IDS", 10)
+    monkeypatch.setattr(alignment, "KEPT", 10)
     monkeypatch.setattr(alignment, "BATCH_BYTES", 100)
     assert run(frame(spark, rows)) == want
 
