@@ -11,7 +11,7 @@ _LOCAL_ROOTS: dict[str, str] = {}
 
 
 PARTITION_BYTES = 256 * 1024**2
-MIN_PARTITIONS, MAX_PARTITIONS = 200, 100_000
+MIN_PARTITIONS, MAX_PARTITIONS = 200, 1_000_000
 
 
 def initial_partitions(shuffle_bytes: int) -> int:

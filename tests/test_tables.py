@@ -56,7 +56,7 @@ def test_plain_comparison_and_point_lookup(tiny):
 
 
 @pytest.mark.parametrize(
-    ("size", "expected"), [(0, 200), (10 * 1024**4, 40_960), (100 * 1024**4, 100_000)]
+    ("size", "expected"), [(0, 200), (10 * 1024**4, 40_960), (100 * 1024**4, 409_600), (10**6 * 1024**4, 1_000_000)]
 )
 def test_initial_partitions(size, expected):
     assert initial_partitions(size) == expected
