@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -13,12 +14,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starflat.llm.alignment import byte_alphabet
 from starflat.llm.common import byte_rows, numbered, staged, texts
 
 CAPACITY = 2048
 ID_BYTES = 4
 END_OF_DOCUMENT = 0
-# Words and runs whose ids a task keeps; beyond that it starts afresh.
+# Words whose ids a task keeps; beyond that it starts afresh.
 KEPT_WORDS = 600_000
 # Effort of the search below the incumbent, and of one enumeration of fillings.
 SEARCH_NODES = 4_000
@@ -31,19 +33,51 @@ MIN_BUCKETS, MAX_BUCKETS = 256, 4096
 # -- pieces of tokenised documents -------------------------------------------------
 
 
-class _Runs(dict):
-    """Ids of the runs that the tokenizer splits a word into, found on first use."""
+# Marks the end of a run of characters; words hold no unprintable character.
+RUN_END = "\0"
+BEYOND_LATIN = re.compile("[^\0-\u024f]")
+# Longer words are left to the tokenizer one by one.
+LONG_WORD = 1000
 
-    def __init__(self, tokenizer) -> None:
-        self.tokenizer, self.model = tokenizer, tokenizer.model
-        self.bytes_of = [i.to_bytes(ID_BYTES, "little") for i in range(tokenizer.get_vocab_size())]
 
-    def __missing__(self, run: str) -> bytes:
-        # The tokenizer's own steps after normalisation, without its bookkeeping.
-        parts = [run] if run.isascii() else [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(run)]
-        tokens = [token for part in parts for token in self.model.tokenize(part)]
-        found = self[run] = b"".join([self.bytes_of[token.id] for token in tokens])
-        return found
+def rank_table(settings: dict) -> dict[bytes, int]:
+    """Token bytes of a byte-level vocabulary with a suffix for the end of a run, which becomes
+    ``RUN_END``, and their ids."""
+    letters, suffix = byte_alphabet(), settings["model"]["end_of_word_suffix"]
+    table = {}
+    for entry, token in settings["model"]["vocab"].items():
+        body = entry.removesuffix(suffix)
+        if body and all(letter in letters for letter in body):
+            table[bytes(map(letters.get, body)) + RUN_END.encode() * (body != entry)] = token
+    return table
+
+
+def is_ranked(path: str) -> bool:
+    """Whether merging by lowest id gives the ids that this tokenizer file gives.
+
+    It does if ids follow the order of merges and every token, encoded by the merges
+    alone, is one token again: were two parts put together that are no merge, then
+    their token would have stayed in two parts.
+    """
+    from tokenizers import Tokenizer, models
+
+    settings = json.loads(Tokenizer.from_file(path).to_str())
+    model, suffix = settings["model"], settings["model"].get("end_of_word_suffix")
+    merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model.get("merges", ())]
+    if not suffix or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "ignore_merges")):
+        return False
+    letters = byte_alphabet()
+    base = [x for letter in letters for x in (letter, letter + suffix)]
+    order = [model["vocab"].get(x, -1) for x in base], [model["vocab"].get("".join(m), -1) for m in merges]
+    if min(order[0]) < 0 or order[1] != list(range(len(base), len(base) + len(merges))) or max(order[0]) >= len(base):
+        return False
+    end = "\u2581"
+    plain = lambda entry: entry.removesuffix(suffix) + end * entry.endswith(suffix)
+    vocabulary = {plain(entry): token for entry, token in model["vocab"].items()}
+    vocabulary[end] = max(vocabulary.values()) + 1
+    steps = [(letter, end) for letter in letters] + [(plain(a), plain(b)) for a, b in merges]
+    known = models.BPE(vocab=vocabulary, merges=steps)
+    return all(len(known.tokenize(plain("".join(m)))) == 1 for m in merges)
 
 
 class _Words(dict):
@@ -51,37 +85,63 @@ class _Words(dict):
 
     The tokenizer drops white space and never joins across it, so a text's ids
     are those of its words, one after another. Words are split at ASCII white
-    space; what else counts as white space is left to the tokenizer.
+    space; what else counts as white space is left to the tokenizer. A text's new
+    words are encoded in one call, by a rank encoder where ids are ranks.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, ranked: bool | None = None) -> None:
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.runs = _Runs(self.tokenizer)
         settings = json.loads(self.tokenizer.to_str())
-        splits = settings["pre_tokenizer"]["pretokenizers"]
-        self.split = regex.compile(splits[0]["pattern"]["Regex"]).findall
         self.special = [t["content"] for t in settings["added_tokens"]]
+        self.ranks = None
+        if is_ranked(path) if ranked is None else ranked:
+            import tiktoken
+
+            table = rank_table(settings)
+            pattern = f"[^{RUN_END} ]+{RUN_END}| "
+            self.ranks = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+            self.between = table[b" "]
+            self.runs = regex.compile(settings["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
 
     def __missing__(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        if not text.isprintable() or any(mark in text for mark in self.special):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            found = np.array(ids, "<u4").tobytes()
-        else:
-            plain = text.lower() if text.isascii() else self.tokenizer.normalizer.normalize_str(text)
-            found = b"".join([self.runs[run] for run in self.split(plain)])
-        self[word] = found
+        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+        found = self[word] = np.array(ids, "<u4").tobytes()
         return found
 
+    def learn(self, words: list[bytes]) -> None:
+        """Encodes words at once; odd ones are left to be looked up one by one."""
+        joined = b" ".join(words).decode("utf-8", "replace")
+        # Beyond Latin letters, what a letter is depends on the version of Unicode.
+        if not self._is_plain(joined):
+            words = [word for word in words if self._is_plain(word.decode("utf-8", "replace"))]
+            joined = b" ".join(words).decode()
+        if not words:
+            return
+        plain = joined.lower() if joined.isascii() else self.tokenizer.normalizer.normalize_str(joined)
+        ids = np.array(self.ranks.encode_ordinary(self.runs.sub(rf"\g<0>{RUN_END}", plain)), "<u4")
+        ends = (ID_BYTES * np.append(np.flatnonzero(ids == self.between), len(ids))).tolist()
+        raw, start = ids.tobytes(), 0
+        for word, end in zip(words, ends, strict=True):
+            self[word] = raw[start:end]
+            start = end + ID_BYTES
+
+    def _is_plain(self, text: str) -> bool:
+        if not text.isprintable() or (not text.isascii() and BEYOND_LATIN.search(text)):
+            return False
+        return not any(mark in text for mark in self.special)
+
     def encode(self, text: bytes) -> bytes:
         if len(self) > KEPT_WORDS:
             self.clear()
-        if len(self.runs) > KEPT_WORDS:
-            self.runs.clear()
-        return b"".join(map(self.__getitem__, text.split()))
+        words = text.split()
+        if self.ranks is not None:
+            new = [word for word in set(words) if word not in self and len(word) <= LONG_WORD]
+            if new:
+                self.learn(new)
+        return b"".join(map(self.__getitem__, words))
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
@@ -90,11 +150,11 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
 
     ``vocabulary`` is the tokenizer file, present on every executor.
     """
-    step = capacity * ID_BYTES
+    step, ranked = capacity * ID_BYTES, is_ranked(vocabulary)
     end = np.array([END_OF_DOCUMENT], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words(vocabulary)
+        words = _Words(vocabulary, ranked)
         for keys, rows in byte_rows(batches):
             where, starts, lengths, sums = [], [], [], []
             for at, row in enumerate(rows):
