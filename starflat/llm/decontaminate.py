@@ -26,10 +26,12 @@ SEED = 20240611
 # The filter has at least 2^20 places and 16 a known run; beyond 2^26 it is fuller, which
 # costs time but loses nothing.
 FILTER_BITS, MOST_BITS, PLACES_A_RUN = 20, 26, 16
+BITMAP_BYTES = 4096  # of the bitmap functions
 WINDOWS_AT_ONCE = 1 << 15
 # Runs of words that the filter knows; the longest that any similar passage must share.
 GRAMS = (3, 2)
 REGION_ITEMS = 4
+REGIONS_A_TASK = 1000
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -129,39 +131,47 @@ def _regions(known: dict[int, np.ndarray], words: int, kinds: list[Kind]) -> lis
     return found
 
 
-def embed(windows: np.ndarray, repeat: int, places: np.ndarray) -> np.ndarray:
-    """Some places of the CGK walks over rows of word codes, 0 beyond the end.
+def walk(codes: np.ndarray, starts: np.ndarray, width: int, repeat: int, places: np.ndarray) -> np.ndarray:
+    """Some places of the CGK walks over the windows of ``width`` codes at ``starts``, 0 beyond them.
 
     Each step writes the word the walk stands at and goes on by a random bit
-    that depends on the step and on the word. Where two rows differ by an edit
+    that depends on the step and on the word. Where two windows differ by an edit
     their walks part, and soon fall into step again by chance. A word's bits for
-    64 steps come from one hash of it.
+    64 steps come from one hash of it, and all windows over it share them.
+    ``codes`` ends with room for one more step than the highest place.
     """
-    rows, width = windows.shape
-    padded = np.hstack([windows, np.zeros((rows, 1), np.uint32)]).ravel()
-    first = np.arange(rows) * (width + 1)
-    at, last = first.copy(), first + width
-    out = np.zeros((rows, len(places)), np.uint32)
+    out = np.zeros((len(starts), len(places)), np.uint32)
+    here, at = np.arange(len(codes), dtype=np.int32), starts.astype(np.int32)
+    ends = at + np.int32(width)
     for step in range(int(places.max()) + 1):
         if step % 64 == 0:
             salt = np.random.default_rng([SEED, repeat, step]).integers(1, 1 << 63, dtype=np.uint64)
-            bits = (padded.astype(np.uint64) ^ salt) * np.uint64(0xFF51AFD7ED558CCD)
+            bits = (codes.astype(np.uint64) ^ salt) * np.uint64(0xFF51AFD7ED558CCD)
             bits = (bits ^ (bits >> np.uint64(32))) * np.uint64(0xC4CEB9FE1A85EC53)
             bits ^= bits >> np.uint64(29)
+            halves = [(bits & np.uint64(0xFFFFFFFF)).astype(np.uint32), (bits >> np.uint64(32)).astype(np.uint32)]
         for column in np.flatnonzero(places == step):
-            out[:, column] = padded[at]
-        at += ((bits[at] >> np.uint64(step % 64)) & np.uint64(1)).astype(np.int64)
-        np.minimum(at, last, out=at)
+            out[:, column] = np.where(at < ends, codes[np.minimum(at, ends)], 0)
+        turns = (halves[step % 64 // 32] >> np.uint32(step % 32)) & np.uint32(1)
+        at = (here + turns.view(np.int32)).take(at)
     return out
 
 
-def window_keys(windows: np.ndarray, kind: int, least: int) -> np.ndarray:
-    """One key per repetition of each window: sampled places of its embedding."""
-    keys = np.zeros((len(windows), REPEATS), np.uint64)
+def embed(windows: np.ndarray, repeat: int, places: np.ndarray) -> np.ndarray:
+    """:func:`walk` over rows of word codes."""
+    rows, width = windows.shape
+    room = np.zeros((rows, int(places.max()) + 2), np.uint32)
+    codes = np.hstack([windows, room])
+    return walk(codes.ravel(), np.arange(rows) * codes.shape[1], width, repeat, places)
+
+
+def window_keys(codes: np.ndarray, starts: np.ndarray, number: int, kind: Kind) -> np.ndarray:
+    """One key per repetition of each window of a class: sampled places of its walk."""
+    keys = np.zeros((len(starts), REPEATS), np.uint64)
     for repeat in range(REPEATS):
-        places = np.random.default_rng([SEED, kind, repeat]).integers(0, 2 * least, SAMPLED)
-        walked = embed(windows, repeat, places)
-        key = np.full(len(windows), kind * REPEATS + repeat + 1, np.uint64)
+        places = np.random.default_rng([SEED, number, repeat]).integers(0, 2 * kind.least, SAMPLED)
+        walked = walk(codes, starts, kind.most, repeat, places)
+        key = np.full(len(starts), number * REPEATS + repeat + 1, np.uint64)
         for symbols in walked.T:
             key = (key ^ symbols) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(29)
@@ -188,19 +198,28 @@ def may_be_close(item: list[bytes], region_pairs: set) -> bool:
     return len(pairs & region_pairs) >= len(pairs) - 2 * allowed(len(item))
 
 
-def _windows(codes: np.ndarray, bits: np.ndarray, kinds: list[Kind]):
-    """All windows of each class with enough known runs, a part at a time."""
+def _starts(codes: np.ndarray, bits: np.ndarray, kinds: list[Kind]) -> Iterator[tuple[int, np.ndarray]]:
+    """Where the windows of each class with enough known runs start."""
     known = _known(codes, bits, kinds)
     for number, kind in enumerate(kinds):
-        runs, n = known[kind.gram], len(codes)
-        counts = _counts(runs, kind.most, kind.gram, n)
+        counts = _counts(known[kind.gram], kind.most, kind.gram, len(codes))
         # The window is shorter than the one that decided: it may lack the last runs.
         needed = max(1, kind.enough - allowed(kind.most))
-        starts = np.flatnonzero(counts >= needed)
-        padded = np.concatenate([codes, np.zeros(kind.most, np.uint32)])
+        yield number, np.flatnonzero(counts >= needed)
+
+
+def _windows(codes: np.ndarray, bits: np.ndarray, kinds: list[Kind]) -> Iterator[tuple[int, np.ndarray]]:
+    """The words of those windows, a part at a time."""
+    for number, starts in _starts(codes, bits, kinds):
+        padded = np.concatenate([codes, np.zeros(kinds[number].most, np.uint32)])
         for first in range(0, len(starts), WINDOWS_AT_ONCE):
             part = starts[first : first + WINDOWS_AT_ONCE]
-            yield number, padded[part[:, None] + np.arange(kind.most)]
+            yield number, padded[part[:, None] + np.arange(kinds[number].most)]
+
+
+def room_of(kind: Kind) -> int:
+    """Zeros that a walk over the last window can reach."""
+    return max(kind.most, 2 * kind.least) + 2
 
 
 def matches(
@@ -249,18 +268,22 @@ def matches(
     wanted = staged(
         named.mapInArrow(split, schema).filter(f"n >= {MIN_WORDS}"), "benchmark-items"
     )
-    # At most 2^MOST_BITS numbers, and the different lengths of items.
     places = wanted.select(F.explode("places").alias("place"))
     size = filter_bits(places.distinct().count())
-    places = places.select(F.shiftright("place", 32 - size).alias("place")).distinct()
-    bits = np.zeros(1 << size, bool)
-    bits[places.toArrow().column("place").to_numpy()] = True
+    # Built as bitmaps of 2^15 places each, so at most 2^MOST_BITS / 8 bytes come to the driver.
+    place = F.shiftright("place", 32 - size) + 1
+    bitmaps = places.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    packed = np.zeros((max(1, (1 << size) >> 15), BITMAP_BYTES), np.uint8)
+    for row in bitmaps.collect():
+        packed[row["bucket"] - 1] = np.frombuffer(row["bits"], np.uint8)
+    packed = packed.ravel()
     lengths = [r["n"] for r in wanted.select("n").distinct().collect()]
     kinds = kinds_of(lengths or [MIN_WORDS])
-    packed = np.packbits(bits)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_bits = np.unpackbits(packed).astype(bool)
+        known_bits = np.unpackbits(packed, bitorder="little").view(bool)
         for keys, rows in byte_rows(batches):
             where, found = [], []
             for at, row in enumerate(rows):
@@ -286,34 +309,44 @@ def matches(
     )
 
     def region_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_bits = np.unpackbits(packed).astype(bool)
+        known_bits = np.unpackbits(packed, bitorder="little").view(bool)
         for keys, rows in byte_rows(batches):
+            # Of each class: regions one after another, with room between, until enough windows.
             stacks: dict[int, list] = {}
+            waiting = dict.fromkeys(range(len(kinds)), 0)
             for at, row in enumerate(rows):
-                for kind, windows in _windows(_codes(row.split()), known_bits, kinds):
-                    stacks.setdefault(kind, []).append((at, windows))
-                    if sum(len(w) for _, w in stacks[kind]) >= WINDOWS_AT_ONCE:
-                        yield keyed(keys, kind, stacks.pop(kind))
-            for kind, parts in stacks.items():
-                yield keyed(keys, kind, parts)
-
-    def keyed(keys: pa.Array, kind: int, parts: list) -> pa.RecordBatch:
-        owners = np.repeat([at for at, _ in parts], [len(w) for _, w in parts])
-        found = window_keys(np.vstack([w for _, w in parts]), kind, kinds[kind].least)
-        pairs = np.unique(np.stack([np.repeat(owners, REPEATS), found.ravel()]), axis=1)
-        return pa.RecordBatch.from_arrays(
-            [keys.take(pa.array(pairs[0])), pa.array(pairs[1])], ["region", "key"]
-        )
+                codes = _codes(row.split())
+                for number, starts in _starts(codes, known_bits, kinds):
+                    if len(starts):
+                        stacks.setdefault(number, []).append((at, codes, starts))
+                        waiting[number] += len(starts)
+                        if waiting[number] >= WINDOWS_AT_ONCE:
+                            waiting[number] = 0
+                            yield keyed(keys, number, stacks.pop(number))
+            for number, parts in stacks.items():
+                yield keyed(keys, number, parts)
+
+    def keyed(keys: pa.Array, number: int, parts: list) -> pa.RecordBatch:
+        room = np.zeros(room_of(kinds[number]), np.uint32)
+        flat = np.concatenate([x for _, codes, _ in parts for x in (codes, room)])
+        begins = np.cumsum([0, *(len(codes) + len(room) for _, codes, _ in parts[:-1])])
+        starts = np.concatenate([begin + s for begin, (_, _, s) in zip(begins, parts)])
+        owners = np.repeat([at for at, _, _ in parts], [len(s) for _, _, s in parts])
+        found = window_keys(flat, starts, number, kinds[number])
+        owners, found = np.repeat(owners, REPEATS), found.ravel()
+        order = np.lexsort((found, owners))
+        owners, found = owners[order], found[order]
+        new = np.append(True, (owners[1:] != owners[:-1]) | (found[1:] != found[:-1]))
+        return pa.RecordBatch.from_arrays([keys.take(pa.array(owners[new])), pa.array(found[new])], ["region", "key"])
 
     def item_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, rows in byte_rows(batches):
             where, found = [], []
             for at, row in enumerate(rows):
                 codes = _codes(row.split())
-                kind = next(i for i, k in enumerate(kinds) if k.least <= len(codes) <= k.most)
-                window = np.zeros((1, kinds[kind].most), np.uint32)
-                window[0, : len(codes)] = codes
-                found.append(window_keys(window, kind, kinds[kind].least).ravel())
+                number = next(i for i, k in enumerate(kinds) if k.least <= len(codes) <= k.most)
+                codes = np.concatenate([codes, np.zeros(room_of(kinds[number]), np.uint32)])
+                found.append(window_keys(codes, np.zeros(1, np.int64), number, kinds[number]).ravel())
                 where.extend([at] * REPEATS)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -323,7 +356,9 @@ def matches(
                 ["item_id", "key"],
             )
 
-    of_region = different.select("region", "words").mapInArrow(region_keys, "region long, key long")
+    # Regions are short rows with much work each: tasks by their number, not by their bytes.
+    tasks = -(-different.count() // REGIONS_A_TASK) or 1
+    of_region = different.select("region", "words").repartition(tasks).mapInArrow(region_keys, "region long, key long")
     of_item = wanted.select("item_id", "words").mapInArrow(item_keys, "item_id long, key long")
     met = of_region.join(of_item, "key").select("region", "item_id").distinct()
     pairs = (
