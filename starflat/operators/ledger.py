@@ -1,13 +1,16 @@
 """Append-only Parquet logs: run state and watermarks, row counts, run metrics.
 
 A run appends one small file; Spark's commit makes it visible as a whole. The
-current entry is the newest one, so nothing is rewritten and a reader never
-finds a half-replaced state. Only small per-run records go here.
+current entry is the newest one, so no entry is rewritten and a reader never
+finds a half-replaced state. When the tail of files grows long its entries go into a
+checkpoint; readers take the newest checkpoint and the tail. Only small per-run
+records go here.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 import pyarrow as pa
 from py4j.protocol import Py4JJavaError
@@ -17,6 +20,10 @@ from pyspark.sql import functions as F
 # How a run can stand.
 STATUSES = ("running", "success", "failed")
 
+# Files after the newest checkpoint from which on the next one is made.
+TAIL_FILES = 64
+CHECKPOINTS = "_checkpoints"
+
 _ARROW_TYPES = {
     "bigint": pa.int64(),
     "double": pa.float64(),
@@ -60,14 +67,101 @@ def append(spark: SparkSession, path: str, schema: T.StructType, rows: Iterable[
         pa.schema([(f.name, _ARROW_TYPES[f.dataType.simpleString()]) for f in schema.fields]),
     )
     spark.createDataFrame(table, schema).coalesce(1).write.mode("append").parquet(path)
+    system, root = _place(spark, path)
+    last = _newest_checkpoint(spark, system, root)
+    if len(_visible(system, root) - last.covered) > TAIL_FILES:
+        compact(spark, path, schema)
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All entries; empty if the log was never written. Read errors are raised."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+    system, root = _place(spark, path)
+    if not system.exists(root):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    last = _newest_checkpoint(spark, system, root)
+    if not last.number:
+        return spark.read.schema(schema).parquet(path)
+    return _read_parts(spark, path, schema, last, _visible(system, root) - last.covered)
+
+
+# -- checkpoint and tail -----------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Checkpoint:
+    """Number of a checkpoint (0: none) and the files whose entries it holds."""
+
+    number: int = 0
+    covered: frozenset[str] = frozenset()
+
+
+def compact(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Puts all entries into a checkpoint, so that a log of any length has few files.
+
+    The checkpoint counts once the list of the files that it covers is renamed to its
+    place; a compaction that breaks earlier leaves the log as it was. Files that the
+    checkpoint before covered are removed now, not earlier: a reader that listed the
+    log just before a compaction still finds its files. Of two compactions at once
+    both are whole, and the higher number counts.
+    """
+    system, root = _place(spark, path)
+    before = _newest_checkpoint(spark, system, root)
+    files = _visible(system, root)
+    number = claim_run(spark, f"{path}/{CHECKPOINTS}", before.number + 1)
+    rows = _read_parts(spark, path, schema, before, files - before.covered)
+    rows.hint("rebalance").write.mode("overwrite").parquet(_rows_of(path, number))
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(root, CHECKPOINTS)
+    draft = hadoop.Path(folder, f"draft-{number:08d}")
+    stream = system.create(draft, True)
+    stream.write("\n".join(sorted(files)).encode())
+    stream.close()
+    if not system.rename(draft, hadoop.Path(folder, f"files-{number:08d}")):
+        raise OSError(f"checkpoint {number} of {path} could not be put in place")
+    for name in before.covered & files:
+        system.delete(hadoop.Path(root, name), False)
+    for status in system.listStatus(folder):
+        if int(status.getPath().getName().rsplit("-", 1)[1]) < before.number:
+            system.delete(status.getPath(), True)
+
+
+def _place(spark: SparkSession, path: str):
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()), root
+
+
+def _visible(system, root) -> frozenset[str]:
+    names = (s.getPath().getName() for s in system.listStatus(root) if s.isFile())
+    return frozenset(name for name in names if not name.startswith(("_", ".")))
+
+
+def _rows_of(path: str, number: int) -> str:
+    return f"{path}/{CHECKPOINTS}/rows-{number:08d}"
+
+
+def _newest_checkpoint(spark: SparkSession, system, root) -> Checkpoint:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root, CHECKPOINTS)
+    if not system.exists(folder):
+        return Checkpoint()
+    names = [s.getPath().getName() for s in system.listStatus(folder)]
+    lists = [name for name in names if name.startswith("files-")]
+    if not lists:
+        return Checkpoint()
+    newest = max(lists)
+    stream = system.open(spark._jvm.org.apache.hadoop.fs.Path(folder, newest))
+    text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return Checkpoint(int(newest.rsplit("-", 1)[1]), frozenset(text.split("\n")))
+
+
+def _read_parts(
+    spark: SparkSession, path: str, schema: T.StructType, last: Checkpoint, tail: Iterable[str]
+) -> DataFrame:
+    paths = [f"{path}/{name}" for name in sorted(tail)]
+    if last.number:
+        paths.insert(0, _rows_of(path, last.number))
+    return spark.read.schema(schema).parquet(*paths)
+
 
 def append_state(spark: SparkSession, path: str, **entry) -> None:
     if entry["status"] not in STATUSES:
@@ -124,6 +218,7 @@ def _create_if_absent(system, target) -> bool:
         raise
     return True
 
+
 def run_state(spark: SparkSession, path: str, source: str) -> tuple[Row | None, int]:
     """The newest successful entry of ``source`` and the number of the next run."""
     log = read_log(spark, path, STATE_SCHEMA)

@@ -33,10 +33,10 @@ def max_event_time(transactions: DataFrame) -> DataFrame:
     return transactions.agg(F.max("txn_time").alias("max_event_time"))
 
 
-def totals_per_card(transactions: DataFrame) -> DataFrame:
-    """Count, sum, debits, credits and extremes of each card's transactions."""
+def totals_per_card(transactions: DataFrame, *further: str) -> DataFrame:
+    """Count, sum, debits, credits and extremes of each card's transactions, also by ``further`` columns."""
     amount = F.col("amount")
-    return transactions.groupBy("card_id").agg(
+    return transactions.groupBy("card_id", *further).agg(
         F.count(F.lit(1)).alias("txn_count"),
         _total(amount).alias("total"),
         _total(F.when(F.col("txn_type") == "debit", amount)).alias("debits"),
@@ -54,12 +54,19 @@ def member_stats(
     Each side is aggregated to one row per member before it is joined, so
     accounts do not multiply transactions.
     """
+    return member_stats_of(members, accounts, cards, totals_per_card(transactions))
+
+
+def member_stats_of(
+    members: DataFrame, accounts: DataFrame, cards: DataFrame, totals: DataFrame
+) -> DataFrame:
+    """:func:`member_stats` from the totals of each card."""
     per_account = accounts.groupBy(F.col("owner_id").alias("a_member")).agg(
         F.count(F.lit(1)).alias("total_accounts")
     )
     per_member = (
         cards.select("card_id", "holder_id")
-        .join(totals_per_card(transactions), "card_id", "left")
+        .join(totals, "card_id", "left")
         .groupBy(F.col("holder_id").alias("c_member"))
         .agg(
             F.count(F.lit(1)).alias("total_cards"),

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from starflat.functions import hash_value, local_text, mask_card, mask_email, redact_cards
-from starflat.operators import checks, constraints, guards, ledger, manifest, profile, publish, reports, sinks
+from starflat.operators import checks, constraints, guards, ledger, manifest, partials, profile, publish, reports, sinks
 from starflat.operators.flatten import flatten
 from starflat.operators.metrics import metric_summary, read_metrics
 from starflat.plans import activity, bank
@@ -84,6 +85,66 @@ def member_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.member_stats(t["member"], t["account"], t["card"], t["transaction"])
 
 
+def _maintained_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by card and month after two loads: the first lacks the newest two months and a
+    third of the two before, the second replaces the newest four."""
+    transactions = bank.transactions(spark, sf_dir).withColumn("month", partials.month_of(F.col("txn_time")))
+    months = sorted(r[0] for r in transactions.select("month").distinct().collect())
+    last, missing = F.col("month").isin(months[-4:]), F.col("month").isin(months[-2:])
+    early = transactions.filter(~missing & (~last | (F.col("txn_id") % 3 != 0)))
+    first = partials.period_totals(early, F.col("month"))
+    schema = T.StructType([*(f for f in first.schema if f.name != partials.PERIOD), first.schema[partials.PERIOD]])
+    store = partials.PeriodStore(shared_dir(spark, "partials"), "transaction", schema)
+    store.replace(spark, first, months[:-2])
+    store.replace(spark, partials.period_totals(transactions.filter(last), F.col("month")), months[-4:])
+    return store.read(spark)
+
+
+def member_stats_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The member report from stored sums, without another look at the transactions."""
+    t = bank.frames(spark, sf_dir)
+    totals = partials.merge_totals(_maintained_totals(spark, sf_dir))
+    return reports.member_stats_of(t["member"], t["account"], t["card"], totals)
+
+
+def active_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different cards a year, from the months' key sets."""
+    return partials.active_cards(_maintained_totals(spark, sf_dir), F.substring("period", 1, 4))
+
+
+def sketch_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile of the orders from monthly sketches, two loads, and whether it keeps its bounds."""
+    orders = read_table(spark, sf_dir, "orders")
+    names = ["o_custkey", "o_totalprice", "o_orderpriority"]
+    month = partials.month_of(F.col("o_orderdate"))
+    months = sorted(r[0] for r in orders.select(month).distinct().collect())
+    store = partials.PeriodStore(shared_dir(spark, "sketches"), "orders", partials.SKETCH_SCHEMA)
+    store.replace(spark, partials.period_sketches(orders.filter(month.isin(months[:-3])), month, names), months[:-3])
+    store.replace(spark, partials.period_sketches(orders.filter(month.isin(months[-5:])), month, names), months[-5:])
+    found = partials.merge_sketches(store.read(spark)).collect()
+    exact = []
+    for row in found:
+        value = F.col(row["column_name"])
+        median = F.lit(row["quantiles"][0] if row["quantiles"] else None).cast("double")
+        distinct = F.count_distinct(value)
+        below = F.count_if(value.cast("double") < median) / F.count(value)
+        up_to = F.count_if(value.cast("double") <= median) / F.count(value)
+        exact.append(
+            orders.agg(
+                F.lit(row["column_name"]).alias("column_name"),
+                F.lit(row["total_count"]).cast("bigint").alias("total_count"),
+                F.lit(row["null_count"]).cast("bigint").alias("null_count"),
+                F.lit(row["min_value"]).cast("double").alias("min_value"),
+                F.lit(row["max_value"]).cast("double").alias("max_value"),
+                (F.abs(distinct - F.lit(row["distinct_estimate"])) <= 0.05 * distinct).alias("distinct_within"),
+                ((below <= 0.52) & (up_to >= 0.48)).alias("median_within")
+                if row["quantiles"]
+                else F.lit(None).cast("boolean").alias("median_within"),
+            )
+        )
+    return reduce(DataFrame.unionByName, exact)
+
+
 def member_stats_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = bank.frames(spark, sf_dir)
     return reports.member_stats_raw(t["member"], t["account"], t["card"], t["transaction"])
@@ -799,6 +860,9 @@ QUERIES: dict[str, Query] = {
         orphans,
         join_yield,
         member_stats,
+        member_stats_maintained,
+        active_cards,
+        sketch_profile,
         member_stats_raw,
         card_balance,
         population_summary,

@@ -476,6 +476,20 @@ ORACLES: dict[str, str] = {
                count(*) * 100.0 / (SELECT count(*) FROM lineitem) AS yield_percent
         FROM star""",
     "member_stats": _BANK + _MEMBER_STATS,
+    "member_stats_maintained": _BANK + _MEMBER_STATS,
+    "active_cards": f"""{_BANK}
+        SELECT strftime(txn_time, '%Y') AS span, count(DISTINCT card_id) AS active_cards,
+               count(*) AS transactions
+        FROM txn GROUP BY 1""",
+    "sketch_profile": """
+        SELECT 'o_custkey' AS column_name, count(*) AS total_count,
+               count(*) - count(o_custkey) AS null_count, CAST(min(o_custkey) AS DOUBLE) AS min_value,
+               CAST(max(o_custkey) AS DOUBLE) AS max_value, true AS distinct_within, true AS median_within
+        FROM orders
+        UNION ALL SELECT 'o_totalprice', count(*), count(*) - count(o_totalprice),
+               CAST(min(o_totalprice) AS DOUBLE), CAST(max(o_totalprice) AS DOUBLE), true, true FROM orders
+        UNION ALL SELECT 'o_orderpriority', count(*), count(*) - count(o_orderpriority),
+               NULL, NULL, true, NULL FROM orders""",
     "member_stats_raw": _BANK + _MEMBER_STATS_RAW,
     "card_balance": f"""{_BANK}
         SELECT c.card_id,

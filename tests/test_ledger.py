@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from bank_data import at
 from pyspark.errors import AnalysisException
@@ -75,3 +77,39 @@ def test_metrics(spark, folder):
     write_json(found, folder + "-json")
     labels = spark.read.json(folder + "-json").filter("name = 'rows'").first()["labels"]
     assert labels["source"] == "t"
+
+
+def files_below(path):
+    return [p for p in Path(path).rglob("*.parquet") if p.is_file()]
+
+
+def test_a_long_log_has_few_files(spark, folder, monkeypatch):
+    monkeypatch.setattr(ledger, "TAIL_FILES", 5)
+    most = 0
+    for seq in range(1, 41):
+        ledger.append(spark, folder, ledger.VOLUME_SCHEMA, [("t", "full", seq, 10 * seq)])
+        most = max(most, len(files_below(folder)))
+    assert most <= 3 * (5 + 2)
+    log = ledger.read_log(spark, folder, ledger.VOLUME_SCHEMA)
+    assert sorted(r["run_seq"] for r in log.collect()) == list(range(1, 41))
+    assert ledger.previous_volume(spark, folder, "t", "full") == 400
+
+
+def test_a_compaction_that_breaks_changes_nothing(spark, folder, monkeypatch):
+    for seq in range(1, 5):
+        ledger.append(spark, folder, ledger.VOLUME_SCHEMA, [("t", "full", seq, seq)])
+    numbers = lambda: sorted(r[0] for r in ledger.read_log(spark, folder, ledger.VOLUME_SCHEMA).select("run_seq").collect())
+    with monkeypatch.context() as broken:
+        broken.setattr(ledger, "_rows_of", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ledger.compact(spark, folder, ledger.VOLUME_SCHEMA)
+    assert numbers() == [1, 2, 3, 4]
+    # One that listed the log earlier and ends after another has ended.
+    late = ledger.read_log(spark, folder, ledger.VOLUME_SCHEMA)
+    ledger.compact(spark, folder, ledger.VOLUME_SCHEMA)
+    assert late.count() == 4
+    ledger.append(spark, folder, ledger.VOLUME_SCHEMA, [("t", "full", 5, 5)])
+    ledger.compact(spark, folder, ledger.VOLUME_SCHEMA)
+    ledger.compact(spark, folder, ledger.VOLUME_SCHEMA)
+    assert numbers() == [1, 2, 3, 4, 5]
+    assert len(files_below(folder)) <= 3
