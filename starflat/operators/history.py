@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
+from starflat.operators import manifest, publish
 from starflat.operators.partials import PERIOD, PeriodStore
 
 # 24 bits and 8 probes an id: an id that a period lacks passes its filter in 0.004 % of cases.
@@ -73,34 +74,60 @@ def candidates(ids: DataFrame, key: str, filters: DataFrame) -> DataFrame:
 
 
 def duplicates(
-    spark: SparkSession,
     ids: DataFrame,
     key: str,
-    store: PeriodStore,
+    filters: DataFrame,
     read_periods: Callable[[list[str | None]], DataFrame],
-    replaced: Iterable[str | None] = (),
+    unfiltered: Iterable[str | None] = (),
 ) -> DataFrame:
     """``(key, period)``: ids of a slice and the earlier periods that hold them, exactly.
 
     ``read_periods`` gives rows with the key and ``period`` of the periods it is asked
-    for; it is asked for those with a candidate only. Periods that the slice replaces
-    do not count. An id that occurs several times is given once per period.
+    for: those with a candidate, and those of ``unfiltered``, which have no filters. An
+    id that occurs several times is given once per period.
     """
-    dropped = list(replaced)
-    filters = store.read(spark)
-    if dropped:
-        filters = filters.filter(~_among(dropped))
     found = candidates(ids, key, filters)
     # One name per period comes to the driver.
-    periods = [r[PERIOD] for r in found.select(PERIOD).distinct().collect()]
-    there = read_periods(periods).select(key, PERIOD).distinct()
-    if not periods:
-        return there.limit(0)
-    return there.filter(_among(periods)).join(ids.select(key), key, "left_semi")
-
-
-def _among(periods: list[str | None]) -> Column:
-    return F.coalesce(F.col(PERIOD).isin([p for p in periods if p is not None]), F.lit(None in periods))
+    periods = {r[PERIOD] for r in found.select(PERIOD).distinct().collect()} | set(unfiltered)
+    there = read_periods(sorted(periods, key=lambda p: (p is not None, p or ""))).select(key, PERIOD).distinct()
+    return there.join(ids.select(key), key, "left_semi")
+
+
+def write_filters(df: DataFrame, key: str, period: Column, path: str) -> None:
+    """The filters of ``df`` below ``path``, a folder a period."""
+    period_filters(df, key, period).hint("rebalance", PERIOD).write.partitionBy(PERIOD).parquet(path)
+
+
+def read_filters(
+    spark: SparkSession, root: str, places: Iterable[tuple[str, str]]
+) -> tuple[DataFrame, list[str | None]]:
+    """Filters of the ``(folder, period)`` places of a manifest, and the periods that have none."""
+    there: dict[str, list[str]] = {}
+    wanted: dict[str, list[str]] = {}
+    for folder, period in places:
+        wanted.setdefault(folder, []).append(period)
+    for folder in wanted:
+        path = f"{root}/run={folder}"
+        if publish.exists(spark, path):
+            there[folder] = manifest.written_dates(spark, path, PERIOD)
+    found = [(f, p) for f, periods in wanted.items() for p in periods if p in there.get(f, ())]
+    lacking = [p for f, periods in wanted.items() for p in periods if p not in there.get(f, ())]
+    filters = manifest.read_dates(spark, root, FILTER_SCHEMA, PERIOD, found)
+    return filters, [None if p == manifest.NO_DATE else p for p in lacking]
+
+
+class HeldBefore(Exception):
+    """Ids of a slice that dates it does not replace hold already."""
+
+    def __init__(self, count: int, examples: list[str]):
+        super().__init__(f"{count} ids are published on other dates: {', '.join(examples)}")
+
+
+def require_new(found: DataFrame, key: str) -> None:
+    """Raises for any row of :func:`duplicates`."""
+    first = found.orderBy(key, PERIOD).limit(5).collect()
+    if first:
+        raise HeldBefore(found.count(), [f"{r[key]} ({r[PERIOD] or 'no date'})" for r in first])
 
 
 def _bitmap(key: Column, bitmaps: Column) -> Column:

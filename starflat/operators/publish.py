@@ -49,6 +49,10 @@ def manifest_path(base: str) -> str:
     return f"{base}/manifest"
 
 
+def filters_path(base: str, version: str) -> str:
+    return f"{base}/filters/{version}"
+
+
 def published_state(spark: SparkSession, base: str, source: str, run_seq: int | None = None) -> Row:
     """The newest successful entry, or the newest as of run ``run_seq``; raises if nothing was published."""
     state = last_success(spark, state_path(base), source, run_seq)
@@ -122,6 +126,11 @@ def remove(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     """Size of all files below a folder."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -144,6 +153,7 @@ def drop_old_versions(spark: SparkSession, base: str, source: str, keep: int = 2
     for version in old:
         remove(spark, version_path(base, version))
         remove(spark, schema_path(base, version))
+        remove(spark, filters_path(base, version))
     return old
 
 
@@ -162,5 +172,9 @@ def drop_superseded(spark: SparkSession, base: str, source: str) -> list[str]:
         .join(current, ["event_date", "folder"], "left_anti")
     )
     root = version_path(base, state["version"])
-    old = [f"{root}/run={r['folder']}/event_date={r['event_date']}" for r in unused.collect()]
-    return [path for path in old if remove(spark, path)]
+    filters = filters_path(base, state["version"])
+    old = [(r["folder"], r["event_date"]) for r in unused.collect()]
+    for folder, date in old:
+        remove(spark, f"{filters}/run={folder}/period={date}")
+    paths = [f"{root}/run={folder}/event_date={date}" for folder, date in old]
+    return [path for path in paths if remove(spark, path)]

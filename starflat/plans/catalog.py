@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from starflat.functions import hash_value, local_text, mask_card, mask_email, redact_cards
-from starflat.operators import checks, constraints, guards, ledger, manifest, partials, profile, publish, reports, sinks
+from starflat.operators import checks, constraints, deltas, guards, ledger, manifest, partials, profile, publish, reports, sinks
 from starflat.operators.flatten import flatten
 from starflat.operators.metrics import metric_summary, read_metrics
 from starflat.plans import activity, bank
-from starflat.plans.runs import replay, run, stale_report
+from starflat.plans.runs import published_duplicates, replay, run, stale_report
 from starflat.session import shared_dir
 from starflat.sources import partitioning, synthetic
 from starflat.sources.incremental import cutoff_date, missed_rows, slice_since
@@ -335,6 +335,41 @@ def constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return constraints.constraint_report(bank.frames(spark, sf_dir), bank.constraints())
 
 
+def constraints_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The constraint report from stored counts after three loads, whose cards change in between."""
+    frames = bank.frames(spark, sf_dir)
+    fact = frames.pop("transaction").withColumn("month", partials.month_of(F.col("txn_time")))
+    months = sorted(r[0] for r in fact.select("month").distinct().collect())
+    declared = [c for c in bank.constraints() if c.table == "transaction"]
+    store = deltas.count_store(shared_dir(spark, "counts"), "transaction")
+    month = F.col("month")
+    # The first load has a third of its rows twice, the others replace all of its months.
+    first = fact.unionByName(fact.filter("txn_id % 3 = 0"))
+    for rows, periods in ((first, months), (fact, months[:-4]), (fact, months[-4:])):
+        load = rows.filter(month.isin(periods))
+        store.replace(spark, deltas.period_counts(load, declared, month), periods)
+    # A third of the cards goes after the loads; their transactions are not read again.
+    known = {**frames, "card": frames["card"].filter("card_id % 3 <> 0")}
+    return deltas.report_of(store.read(spark), known, "transaction", bank.constraints())
+
+
+def duplicate_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event ids that a delivery shares with published dates, found by the filters of the dates.
+
+    Published is what arrived until the first load day; delivered is what came since, and
+    every ninth of all events once more.
+    """
+    base = shared_dir(spark, "unique")
+    tables = activity.frames(spark, sf_dir)
+    events = tables["event"]
+    job = replace(activity.job(base), unique_history=True)
+    first = activity.load_days(events)[0]
+    run(spark, {**tables, "event": activity.arrived(events, first, SHORT_DELAY)}, job, "full")
+    since = activity.arrived(events, None, SHORT_DELAY, since=first + timedelta(days=1))
+    delivered = since.unionByName(events.filter("event_id % 9 = 0"))
+    return published_duplicates(spark, job, delivered.select("event_id"))
+
+
 def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every column of the events, and of the order amounts as text."""
     orders = read_table(spark, sf_dir, "orders").select(
@@ -885,6 +920,8 @@ QUERIES: dict[str, Query] = {
         suite_results,
         suite_gate,
         constraint_report,
+        constraints_maintained,
+        duplicate_history,
         column_profile,
         quality_report,
         histogram,

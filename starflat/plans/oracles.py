@@ -604,6 +604,11 @@ ORACLES: dict[str, str] = {
         FROM (VALUES ('PASS'), ('WARN'), ('FAIL')) s(status)
         LEFT JOIN ({_SUITE_ROWS}) r ON r.status = s.status GROUP BY s.status""",
     "constraint_report": _BANK + _CONSTRAINTS,
+    "constraints_maintained": _BANK.replace("FROM orders),\ntxn", "FROM orders WHERE o_orderkey % 3 <> 0),\ntxn") + _CONSTRAINTS,
+    "duplicate_history": f"""{_ACTIVITY}
+        SELECT event_id, CAST(event_date AS VARCHAR) AS period FROM flat
+        WHERE event_id % 9 = 0 AND event_id IN (
+          SELECT event_id FROM events WHERE {_ARRIVED.format(delay=5, day=_FIRST_DAY)})""",
     "column_profile": f"""{_GAPS}, prices AS (
           SELECT o_totalprice, CASE WHEN o_orderstatus <> 'P'
                  THEN CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) END AS price_text

@@ -9,17 +9,18 @@ dates that differ: late rows beyond the look-back, changed rows, deleted rows.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass, field, replace
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession, types as T
 from pyspark.sql import functions as F
 
-from starflat.operators import ledger, manifest, publish, reconcile
+from starflat.operators import history, ledger, manifest, publish, reconcile
 from starflat.operators.checks import Check, gate, run_checks, run_suites, volume_check
 from starflat.operators.flatten import Star, flatten
 from starflat.operators.metrics import RunMetrics
+from starflat.operators.partials import PERIOD
 from starflat.operators.publish import GuardSpec
 from starflat.operators.sinks import parse_formats, read_schema, write_csv, write_schema
 from starflat.sources.incremental import cutoff_date, slice_since
@@ -35,7 +36,9 @@ class FlatJob:
     The table itself is Parquet; ``formats`` with ``csv`` adds the rows of each run
     as CSV. A run needs ``min_rows`` rows of every table; only the slice of an
     increment may be empty. With ``bronze`` the landed rows of every run stay, for
-    :func:`replay`; it needs ``source_id``, the fact's key.
+    :func:`replay`; it needs ``source_id``, the fact's key. With ``unique_history`` a run is
+    refused whose ids are published on dates that it does not replace; filters of the
+    ids lie beside the rows of each run, under the same manifest.
     """
 
     base: str
@@ -55,6 +58,7 @@ class FlatJob:
     bronze: bool = False
     source_id: str | None = None
     follow_dimensions: bool = False
+    unique_history: bool = False
 
     @property
     def source(self) -> str:
@@ -283,6 +287,10 @@ def _publish(
             )
             if not replacing:
                 write_schema(flat, schema)
+        if job.unique_history:
+            with metrics.stage("unique"):
+                _keep_unique(spark, job, staged.rows, f"{publish.filters_path(job.base, version)}/run={name}",
+                             last if replacing else None, {*digests, *gone})
         bytes_out = publish.folder_bytes(spark, target)
         if "csv" in formats:
             with metrics.stage("csv"):
@@ -292,6 +300,7 @@ def _publish(
             _record(spark, job, version, seq, digests, written, gone)
     except Exception:
         publish.remove(spark, target if replacing else root)
+        publish.remove(spark, f"{publish.filters_path(job.base, version)}/run={name}")
         raise
     known = [t for t in (staged.last, last["watermark"] if replacing else None) if t]
     _store_volume(spark, job, mode, seq, rows_in)
@@ -301,6 +310,40 @@ def _publish(
     )
 
 
+def _keep_unique(
+    spark: SparkSession, job: FlatJob, rows: DataFrame, path: str, last: Row | None, replaced: set[str]
+) -> None:
+    """Refuses ids that other published dates hold, and writes the filters of the new rows."""
+    if last is not None:
+        history.require_new(published_duplicates(spark, job, rows, replaced, last), job.output_id)
+    history.write_filters(rows, job.output_id, F.col(job.partition_by).cast("string"), path)
+
+
+def published_duplicates(
+    spark: SparkSession, job: FlatJob, ids: DataFrame, replaced: Collection[str] = (), state: Row | None = None
+) -> DataFrame:
+    """``(output_id, period)``: ids of ``ids`` that published dates other than ``replaced`` hold.
+
+    The filters of a date lie under the folder that the manifest names for its rows, so
+    they are as old as those. Only dates with a candidate are read, of them the ids
+    alone; dates of runs without filters are read always.
+    """
+    state = state or publish.published_state(spark, job.base, job.source)
+    newest = manifest.snapshot(spark, job.base, job.source, state).filter("folder IS NOT NULL")
+    places = [(r["folder"], r["event_date"]) for r in newest.select("folder", "event_date").collect()]
+    places = [p for p in places if p[1] not in replaced]
+    schema = read_schema(spark, publish.schema_path(job.base, state["version"]))
+
+    def read(periods: list[str | None]) -> DataFrame:
+        named = {manifest.NO_DATE if p is None else p for p in periods}
+        root = publish.version_path(job.base, state["version"])
+        rows = manifest.read_dates(spark, root, schema, job.partition_by, [p for p in places if p[1] in named])
+        return rows.select(job.output_id, F.col(job.partition_by).cast("string").alias(PERIOD))
+
+    filters, unfiltered = history.read_filters(spark, publish.filters_path(job.base, state["version"]), places)
+    return history.duplicates(ids, job.output_id, filters, read, unfiltered)
+
+
 def _record(
     spark: SparkSession,
     job: FlatJob,

@@ -7,6 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from test_runs import make_job, published, with_rows
+
 from starflat.operators import deltas, history
 from starflat.operators.constraints import (
     Agreement,
@@ -18,6 +20,10 @@ from starflat.operators.constraints import (
     constraint_report,
 )
 
+from starflat.operators.history import HeldBefore
+from starflat.operators.publish import drop_superseded, read_published
+from starflat.plans.runs import published_duplicates, run
+
 
 def day():
     return F.col("day")
@@ -53,7 +59,8 @@ def test_duplicates_equal_a_plain_join(spark, folder, kind):
     store = stored(spark, folder, old_df, days)
     sent = {i for i in range(2000, 6000, 3)}
     for replaced in ((), ("d1",), ("d2", None)):
-        found = history.duplicates(spark, new_df, "id", store, reader(old_df, []), replaced)
+        kept = F.coalesce(F.col("period"), F.lit("none")).isin([d or "none" for d in days if d not in replaced])
+        found = history.duplicates(new_df, "id", store.read(spark).filter(kept), reader(old_df, []))
         expected = {(str(i), d) for i, d in old if i in sent and d not in replaced}
         got = [(r["id"] if kind == "string" else str(r["id"]), r["period"]) for r in found.collect()]
         assert len(got) == len(set(got)) and set(got) == expected
@@ -64,7 +71,7 @@ def test_only_candidate_periods_are_read(spark, folder):
     store = stored(spark, folder, old_df, [f"d{i}" for i in range(5)])
     asked = []
     slice_ids = spark.createDataFrame([(10,), (60_000,)], "id long")
-    found = history.duplicates(spark, slice_ids, "id", store, reader(old_df, asked))
+    found = history.duplicates(slice_ids, "id", store.read(spark), reader(old_df, asked))
     assert [tuple(r) for r in found.collect()] == [(10, "d0")]
     assert asked == [["d0"]]
     # Filters let few absent ids pass, and every present one.
@@ -83,10 +90,52 @@ def test_no_history_and_no_ids(spark, folder):
     ids = spark.createDataFrame([(1,), (None,)], "id int")
     empty = spark.createDataFrame([], "id int, day string")
     store = history.filter_store(folder, "t")
-    assert history.duplicates(spark, ids, "id", store, reader(empty, [])).collect() == []
+    assert history.duplicates(ids, "id", store.read(spark), reader(empty, [])).collect() == []
     store.replace(spark, history.period_filters(empty, "id", day()), ["d1"])
-    assert history.duplicates(spark, ids, "id", store, reader(empty, [])).collect() == []
-    assert history.duplicates(spark, ids.limit(0), "id", store, reader(empty, [])).collect() == []
+    assert history.duplicates(ids, "id", store.read(spark), reader(empty, [])).collect() == []
+    assert history.duplicates(ids.limit(0), "id", store.read(spark), reader(empty, [])).collect() == []
+
+
+OLD = [(1, "2024-02-01 10:00"), (2, "2024-02-02 10:00"), (3, "2024-02-20 10:00")]
+
+
+def test_a_run_refuses_ids_of_other_dates(spark, tiny, folder):
+    job = make_job(folder, unique_history=True)
+    run(spark, with_rows(spark, tiny, OLD), job, "incremental")
+    # The look-back is loaded again: its ids are replaced, they are no duplicates.
+    again = [*OLD, (4, "2024-02-21 10:00")]
+    run(spark, with_rows(spark, tiny, again), job, "incremental")
+    assert published(spark, folder) == [1, 2, 3, 4]
+    with pytest.raises(HeldBefore, match=r"^1 ids .*: 2 \(2024-02-02\)$"):
+        run(spark, with_rows(spark, tiny, [*again, (2, "2024-02-22 10:00"), (5, "2024-02-22 11:00")]), job, "incremental")
+    assert published(spark, folder) == [1, 2, 3, 4]
+    run(spark, with_rows(spark, tiny, [*again, (5, "2024-02-22 11:00")]), job, "incremental")
+    assert published(spark, folder) == [1, 2, 3, 4, 5]
+    ids = spark.createDataFrame([(i,) for i in (2, 4, 9)], "txn_id int")
+    plain = read_published(spark, folder, "transaction").join(ids, "txn_id", "left_semi")
+    found = published_duplicates(spark, job, ids)
+    assert sorted(map(tuple, found.collect())) == sorted((r["txn_id"], str(r["event_date"])) for r in plain.collect())
+    # Superseded filters go with their rows.
+    drop_superseded(spark, folder, "transaction")
+    assert sorted(map(tuple, published_duplicates(spark, job, ids).collect())) == sorted(map(tuple, found.collect()))
+
+
+def test_dates_of_runs_without_filters_are_read(spark, tiny, folder):
+    run(spark, with_rows(spark, tiny, OLD), make_job(folder), "incremental")
+    job = make_job(folder, unique_history=True)
+    with pytest.raises(HeldBefore):
+        run(spark, with_rows(spark, tiny, [*OLD, (1, "2024-02-21 10:00")]), job, "incremental")
+    run(spark, with_rows(spark, tiny, [*OLD, (4, "2024-02-21 10:00")]), job, "incremental")
+    assert published(spark, folder) == [1, 2, 3, 4]
+
+
+def test_a_date_without_candidates_is_not_read(spark, tiny, folder):
+    job = make_job(folder, unique_history=True)
+    run(spark, with_rows(spark, tiny, OLD), job, "full")
+    found = published_duplicates(spark, job, spark.createDataFrame([(3,), (77,)], "txn_id int"))
+    read = found.inputFiles()
+    assert read and all("event_date=2024-02-20" in f for f in read if "event_date=" in f)
+    assert [tuple(r) for r in found.collect()] == [(3, "2024-02-20")]
 
 
 CONSTRAINTS = [
