@@ -20,7 +20,7 @@ from starflat.session import shared_dir
 from starflat.sources import partitioning, synthetic
 from starflat.sources.incremental import cutoff_date, missed_rows, slice_since
 from starflat.sources.tables import read_csv, read_table
-from starflat.streaming.merge import read_merged, read_stream, start_merge
+from starflat.streaming.merge import read_expired, read_merged, read_stream, start_merge
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -860,20 +860,19 @@ def metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stream_late_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events that arrive before half of their members; they follow with the next delivery."""
-    base = shared_dir(spark, "stream-late")
+def _stream_twice(
+    spark: SparkSession, sf_dir: str, base: str, members_of_second: str, wait_days: int | None = None
+) -> T.StructType:
+    """Two deliveries, the first with half of the members; the schema of the events."""
     tables = activity.frames(spark, sf_dir)
-    events = tables.pop("event")
+    events, member = tables.pop("event"), tables["member"]
     first = activity.load_days(events)[0]
-    half = {**tables, "member": tables["member"].filter("member_id % 2 = 0")}
-    deliveries = ((None, first, half), (first, None, tables))
-    for before, day, known in deliveries:
+    for before, day, members in ((None, first, "member_id % 2 = 0"), (first, None, members_of_second)):
         delivered = activity.arrived(events, day, SHORT_DELAY, since=before)
         delivered.write.mode("append").parquet(f"{base}/inbox")
         start_merge(
             read_stream(spark, f"{base}/inbox", events.schema),
-            known,
+            {**tables, "member": member.filter(members)},
             activity.star(),
             f"{base}/table",
             "event_id",
@@ -881,10 +880,25 @@ def stream_late_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
             "event_id",
             "event_time",
             activity.GUARDS,
+            wait_days=wait_days,
         ).awaitTermination()
+    return events.schema
+
+
+def stream_late_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that arrive before half of their members; they follow with the next delivery."""
+    base = shared_dir(spark, "stream-late")
+    _stream_twice(spark, sf_dir, base, "true")
     return read_merged(spark, f"{base}/table")
 
 
+def stream_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose members never come, thirty days before the newest event: in quarantine."""
+    base = shared_dir(spark, "stream-expired")
+    schema = _stream_twice(spark, sf_dir, base, "member_id % 2 = 0", wait_days=30)
+    return read_expired(spark, f"{base}/table", schema).select("event_id", "user_id", "ts")
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -956,5 +970,6 @@ QUERIES: dict[str, Query] = {
         metric_report,
         metrics_json,
         stream_late_dimension,
+        stream_expired,
     )
 }

@@ -764,6 +764,10 @@ FROM days LEFT JOIN published ON event_date = day""",
           CASE WHEN count(*) FILTER (WHERE coalesce(c_name, '') = '') > 0 THEN 'FAIL' ELSE 'PASS' END
           FROM customer""",
     "stream_late_dimension": f"{_ACTIVITY} SELECT * FROM flat",
+    "stream_expired": """
+        SELECT event_id, user_id, ts FROM events
+        WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)
+          AND ts < (SELECT max(ts) - INTERVAL 30 DAY FROM events)""",
     "run_metrics": """
         WITH broken(status, failing) AS (
           SELECT 'FAIL', count(*) FILTER (WHERE user_id IS NULL) * 1.0 / count(*) > 0.01

@@ -11,8 +11,11 @@ from starflat.operators.checks import null_check
 from starflat.operators.flatten import Output, Star, flatten
 from starflat.operators.publish import GuardSpec
 from starflat.plans import bank
+from starflat.operators.metrics import read_metrics
 from starflat.streaming.merge import (
+    batches,
     dropped_rows,
+    read_expired,
     read_merged,
     read_stream,
     read_waiting,
@@ -22,7 +25,7 @@ from starflat.streaming.merge import (
 GUARDS = GuardSpec(("card_masked",), ("card_hash",), ("txn_amount",))
 
 
-def load(spark, tiny, folder, star=None, suite=()):
+def load(spark, tiny, folder, star=None, suite=(), wait_days=None):
     dimensions = {k: v for k, v in tiny.items() if k != "transaction"}
     return start_merge(
         read_stream(spark, f"{folder}/inbox", tiny["transaction"].schema, files_per_trigger=1),
@@ -35,6 +38,7 @@ def load(spark, tiny, folder, star=None, suite=()):
         "txn_time",
         GUARDS,
         suite=suite,
+        wait_days=wait_days,
     )
 
 
@@ -121,3 +125,26 @@ def test_dropped_rows_are_counted(spark, tiny, folder):
     query = load(spark, tiny, folder)
     query.awaitTermination()
     assert dropped_rows(query) == 5
+
+
+def test_facts_that_wait_too_long_are_quarantined(spark, tiny, folder):
+    """Transactions 2 and 5 lack their card; the newest fact is of 2025-03-09 21:10."""
+    late = {**tiny, "card": tiny["card"].filter("card_id <> 2")}
+    schema, out = tiny["transaction"].schema, f"{folder}/out"
+    send(tiny["transaction"], folder)
+    load(spark, late, folder, wait_days=10).awaitTermination()
+    assert [r["txn_id"] for r in read_expired(spark, out, schema).collect()] == [5]
+    assert [r["txn_id"] for r in read_waiting(spark, out, schema).collect()] == [2]
+    # A newer fact moves the limit; the card of the expired one comes too late.
+    send(tiny["transaction"].filter("txn_id = 1").withColumn("txn_id", F.lit(6)), folder)
+    load(spark, tiny, folder, wait_days=10).awaitTermination()
+    assert sorted(r["txn_id"] for r in read_merged(spark, out).collect()) == [1, 2, 3, 4, 6]
+    assert read_waiting(spark, out, schema).count() == 0
+    log = [b for b in batches(spark, out) if b["rows_in"]]
+    assert [(b["rows_in"], b["rows_out"], b["waiting"], b["expired"]) for b in log] == [(5, 3, 1, 1), (1, 2, 0, 0)]
+    found = read_metrics(spark, f"{out}/metrics").filter("name = 'rows_out' AND value > 0").collect()
+    assert sorted(r["value"] for r in found) == [2.0, 3.0]
+    # Rows are kept once: landed slices go, each batch has one folder.
+    assert not list(Path(out, "landed").glob("*/*"))
+    files = [str(f) for f in Path(out, "data").rglob("*.parquet")]
+    assert spark.read.parquet(*files).count() == 5
