@@ -41,7 +41,7 @@ class SkewPolicy:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Salts per hot key; at most ``1 / share`` entries."""
+    """Salts per hot key; at most 1,000 entries."""
 
     salts: dict[Any, int]
     null_salts: int = 1
