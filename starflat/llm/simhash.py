@@ -12,7 +12,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 
 from starflat.llm.common import byte_rows, fresh, hex16, signed, staged, texts
 from starflat.llm.components import components
@@ -27,11 +26,10 @@ BANDS, BAND_ROWS = 20, 7
 SHINGLES_AT_ONCE = 2048
 # Pairs whose signatures agree in fewer rows are left out: 3 standard deviations below 0.8.
 LEAST_ROWS_EQUAL = int(BANDS * BAND_ROWS * 0.7)
-# Partners that a node proposes in a round: first its best one, then more at once.
-PROPOSED, MOST_PROPOSED = 4, 64
-PAIRS_HELD = 1 << 21
+# Pairs that a task holds before it verifies them, and partners of a text verified at once.
+PAIRS_HELD, PARTNERS_AT_ONCE = 1 << 21, 1024
 BLOCKS, SAME_BLOCKS = 5, 3
-GROUP_ROWS = 4096
+GROUP_ROWS, GROUP_SHINGLES = 4096, 1 << 21
 HASHES_AT_ONCE = 1 << 16
 N_PIVOTS = 24
 # The reference fingerprints: hashes of 0, 1, 2, ...
@@ -294,23 +292,56 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(row.tobytes()) for row in rows], np.uint64).view(np.int64)
 
 
-def _foremost(x: np.ndarray, y: np.ndarray, equal: np.ndarray, node: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k best partners ``y`` of each ``x``: most equal rows first, then smallest node."""
-    order = np.lexsort((node[y], -equal, x))
-    begun = np.flatnonzero(np.append(True, np.diff(x[order]) != 0)) if len(order) else order
-    nth = np.arange(len(order)) - np.repeat(begun, np.diff(np.append(begun, len(order))))
-    return order[nth < k]
+def _verified(x: np.ndarray, y: np.ndarray, sets: list[bytes], similarity: float, label: np.ndarray, parent: np.ndarray) -> Iterator[np.ndarray]:
+    """Labels of components that links of the pairs join, one array a join; ``parent`` follows them.
+
+    The pairs of each ``x`` are verified at once: its shingles are marked, those of its
+    partners counted. Partners of its own component need no look.
+    """
+    places, at = np.unique(np.concatenate([x, y]), return_inverse=True)
+    sizes = np.array([len(sets[i]) // 8 for i in places])
+    begun = np.append(0, sizes.cumsum())
+    _, code = np.unique(np.frombuffer(b"".join([sets[i] for i in places]), np.int64), return_inverse=True)
+    marked = np.zeros(int(code.max()) + 1, bool)
+    order = np.argsort(at[: len(x)], kind="stable")
+    x, y = at[: len(x)][order], at[len(x) :][order]
+    label = label[places]
+    for partners in np.split(y, np.flatnonzero(np.diff(x)) + 1):
+        here, x = x[0], x[len(partners) :]
+        mine = code[begun[here] : begun[here + 1]]
+        marked[mine] = True
+        for start in range(0, len(partners), PARTNERS_AT_ONCE):
+            others = partners[start : start + PARTNERS_AT_ONCE]
+            others = others[_ends(label[others], parent) != _ends(label[here : here + 1], parent)]
+            if not len(others):
+                continue
+            found = marked[np.concatenate([code[begun[i] : begun[i + 1]] for i in others])]
+            common = np.add.reduceat(found, np.append(0, sizes[others].cumsum()[:-1]), dtype=np.int64)
+            linked = common * (1 + similarity) >= similarity * (len(mine) + sizes[others]) - 1e-9
+            joined = np.unique(_ends(label[np.append(others[linked], here)], parent))
+            if len(joined) > 1:
+                parent[joined] = joined[0]
+                yield joined
+        marked[mine] = False
+
+
+def _ends(labels: np.ndarray, parent: np.ndarray) -> np.ndarray:
+    """The labels that stand for the components of these."""
+    ends = parent[labels]
+    while not np.array_equal(parent[ends], ends):
+        ends = parent[ends]
+    parent[labels] = ends
+    return ends
 
 
-def _meetings(frames: Iterator[pd.DataFrame], radius: int, similarity: float, k: int):
-    """``(node, partner, equal)``: each node's k best near partners of another root that it has not tried.
+def _meetings(frames: Iterator[pd.DataFrame], radius: int, similarity: float, between: bool) -> Iterator[pd.DataFrame]:
+    """``(a, b)``: links between roots, at most one a row, that join what the verified links within groups join.
 
-    Partners come by how many rows of the signatures are equal, then by node; what
-    is at or before ``(tried_equal, tried)`` in that order was tried. Group by group;
-    rows of a group are sorted by their distance to the first pivot, so partners
+    Rows of a group are sorted by their distance to the first pivot, so partners
     lie within the radius of it. A pair whose distances to any of the other
     pivots differ by more cannot be near and is discarded; bits, a second fingerprint,
-    sizes and signatures thin out the rest.
+    sizes and signatures thin out the rest; the shingles decide. With ``between`` only
+    rows of different cells are compared.
     """
     rest = None
     for frame in _and_end(frames):
@@ -327,15 +358,17 @@ def _meetings(frames: Iterator[pd.DataFrame], radius: int, similarity: float, k:
                 continue
         ends = np.repeat(np.append(cuts, len(both)), np.diff(np.concatenate([[0], cuts, [len(both)]])))
         fp, second = both["fp"].to_numpy().view(np.uint64), both["second"].to_numpy().view(np.uint64)
-        node, root, tried, tried_equal = (both[c].to_numpy() for c in ("node", "root", "tried", "tried_equal"))
-        size, table, first = both["n"].to_numpy(), pivot_table(fp), both["pivot"].to_numpy()
+        roots, label = np.unique(both["root"].to_numpy(), return_inverse=True)
+        size, table, first, own = both["n"].to_numpy(), pivot_table(fp), both["pivot"].to_numpy(), both["own"].to_numpy()
         rows = np.frombuffer(b"".join(both["rows"]), np.uint8).reshape(len(both), -1)
-        held, n_held = [], 0
+        sets, parent = both["shingles"].tolist(), np.arange(len(roots))
+        held, n_held, left, right = [], 0, [], []
 
-        def foremost():
-            x, y, equal = (np.concatenate([h[i] for h in held]) for i in range(3))
-            best = _foremost(x, y, equal, node, k)
-            return x[best], y[best], equal[best]
+        def verify():
+            x, y = (np.concatenate([h[i] for h in held]) for i in range(2))
+            for joined in _verified(x, y, sets, similarity, label, parent):
+                left.append(np.repeat(roots[joined[:1]], len(joined) - 1))
+                right.append(roots[joined[1:]])
 
         at, step = np.arange(len(both)), 1
         while True:
@@ -344,72 +377,84 @@ def _meetings(frames: Iterator[pd.DataFrame], radius: int, similarity: float, k:
             if not len(at):
                 break
             a, b = at, at + step
-            keep = (root[a] != root[b]) & (np.minimum(size[a], size[b]) >= similarity * np.maximum(size[a], size[b]) - 1e-9)
+            keep = parent[label[a]] != parent[label[b]]
+            if between:
+                keep &= own[a] != own[b]
+            keep &= np.minimum(size[a], size[b]) >= similarity * np.maximum(size[a], size[b]) - 1e-9
             a, b = a[keep], b[keep]
             keep = (np.abs(table[a] - table[b]) <= radius).all(axis=1)
             a, b = a[keep], b[keep]
             apart = np.bitwise_count(fp[a] ^ fp[b])
             keep = (apart <= radius) & (apart + np.bitwise_count(second[a] ^ second[b]) <= 2 * radius)
             a, b = a[keep], b[keep]
-            equal = (rows[a] == rows[b]).sum(axis=1)
-            keep = equal >= LEAST_ROWS_EQUAL
-            a, b, equal = a[keep], b[keep], equal[keep]
-            for x, y in ((a, b), (b, a)):
-                new = (equal < tried_equal[x]) | ((equal == tried_equal[x]) & (node[y] > tried[x]))
-                if new.any():
-                    held.append((x[new], y[new], equal[new]))
-                    n_held += int(new.sum())
+            keep = (rows[a] == rows[b]).sum(axis=1) >= LEAST_ROWS_EQUAL
+            if keep.any():
+                held.append((a[keep], b[keep]))
+                n_held += int(keep.sum())
             if n_held > PAIRS_HELD:
-                held = [foremost()]
-                n_held = len(held[0][0])
+                verify()
+                held, n_held = [], 0
+                _ends(np.arange(len(parent)), parent)
             step += 1
         if held:
-            x, y, equal = foremost()
-            yield pd.DataFrame({"node": node[x], "partner": node[y], "equal": equal.astype(np.int32)})
+            verify()
+        if left:
+            yield pd.DataFrame({"a": np.concatenate(left), "b": np.concatenate(right)})
 
 
 def _memberships(nodes: DataFrame) -> DataFrame:
     """``(node, part, key, cells, own)`` of nodes that share a band key with another node.
 
-    A key of more than ``GROUP_ROWS`` nodes is dealt by hash over cells of that size.
+    A key of more than ``GROUP_ROWS`` nodes or ``GROUP_SHINGLES`` shingles is dealt by hash
+    over cells of that size. Of keys with the same nodes one is kept: near copies
+    share many bands, and one meeting is enough.
     """
-    keyed = nodes.select("node", F.posexplode("bands").alias("part", "key"))
+    keyed = nodes.select("node", "n", F.posexplode("bands").alias("part", "key"))
+    cells = F.greatest(F.ceil(F.col("rows") / GROUP_ROWS), F.ceil(F.col("shingles") / GROUP_SHINGLES))
     shared = (
         keyed.groupBy("part", "key")
-        .count()
-        .filter("count > 1")
-        .select("part", "key", F.ceil(F.col("count") / GROUP_ROWS).cast("long").alias("cells"))
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.sum("n").alias("shingles"),
+            *(F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"same{i}") for i in range(2)),
+        )
+        .filter("rows > 1")
+        .groupBy("rows", "shingles", "same0", "same1")
+        .agg(F.min(F.struct("part", "key")).alias("k"))
+        .select("k.part", "k.key", cells.cast("long").alias("cells"))
     )
     return staged(
-        keyed.join(shared, ["part", "key"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("cells"))),
+        keyed.drop("n").join(shared, ["part", "key"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("cells"))),
         "similar-memberships",
     )
 
 
-def _proposals(members: DataFrame, state: DataFrame, apart: int, radius: int, similarity: float, k: int) -> DataFrame:
-    """``(node, partner, equal)``, at most k rows a node: its best near partners not tried yet.
+def _links(members: DataFrame, state: DataFrame, apart: int, radius: int, similarity: float) -> DataFrame:
+    """``(a, b)``: verified links between components, by their roots, fewer than memberships.
 
     Cells meet themselves, or the cell ``apart`` from them; a key whose nodes all
     belong to one component is done.
     """
-    joined = members.join(state, "node")
-    several = joined.groupBy("part", "key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
-    active = joined.filter(F.col("cells") > apart).join(several.select("part", "key"), ["part", "key"], "left_semi")
-    own, cells = F.col("own"), F.col("cells")
-    cell = F.explode(F.array(own, F.pmod(own - apart, cells))) if apart else own
+    own, n_cells = F.col("own"), F.col("cells")
+    active, cell = members, own
+    if apart:
+        active = members.filter(n_cells >= 2 * apart)
+        ends = active.join(state.select("node", "root"), "node").groupBy("part", "key")
+        several = ends.agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
+        active = active.join(several.select("part", "key"), ["part", "key"], "left_semi")
+        # In a ring of two cells both neighbours are the same cell.
+        meeting = F.when(n_cells == 2 * apart, F.array(F.pmod(own, F.lit(apart)))).otherwise(F.array(own, F.pmod(own - apart, n_cells)))
+        cell = F.explode(meeting)
     pivot = F.bit_count(F.col("fp").bitwiseXOR(F.lit(signed(int(PIVOTS[0])))))
-    columns = ["node", "fp", "second", "n", "rows", "root", "tried", "tried_equal"]
+    columns = ["own", "fp", "second", "n", "rows", "root", "shingles"]
     grouped = (
-        active.select("part", "key", cell.alias("cell"), *columns, pivot.alias("pivot"))
+        active.join(state, "node")
+        .select("part", "key", cell.alias("cell"), *columns, pivot.alias("pivot"))
         .repartition("part", "key", "cell")
         .sortWithinPartitions("part", "key", "cell", "pivot")
     )
-    found = grouped.mapInPandas(
-        lambda frames: _meetings(frames, radius, similarity, k), "node long, partner long, equal int"
-    )
-    best = Window.partitionBy("node").orderBy(F.desc("equal"), "partner")
-    nth = found.distinct().withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= k)
-    return staged(nth.drop("nth"), "similar-pairs")
+    found = grouped.mapInPandas(lambda frames: _meetings(frames, radius, similarity, apart > 0), "a long, b long")
+    return staged(found, "similar-links")
 
 
 WORDS_HASH = "h1 long, h2 long"
@@ -436,31 +481,18 @@ def _marked(docs: DataFrame, names: tuple[str, str]) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """``(node, shingles)`` of the wanted nodes, from one of the texts of each; written once."""
+    """``(node, shingles)`` of the wanted nodes, from one of the texts of each: eight bytes a shingle."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, rows in byte_rows(batches):
-            sets = [np.unique(shingle_hashes(r.lower().split(), shingle)).view(np.int64) for r in rows]
-            yield pa.RecordBatch.from_arrays([keys, pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+            sets = [np.unique(shingle_hashes(r.lower().split(), shingle)).tobytes() for r in rows]
+            yield pa.RecordBatch.from_arrays([keys, pa.array(sets, pa.binary())], ["node", "shingles"])
 
     texts_only = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     one_each = (
         _marked(texts_only, ("h1", "h2")).join(wanted, ["h1", "h2"]).groupBy("node").agg(F.first("text").alias("text"))
     )
-    return staged(one_each.mapInArrow(cut, "node long, shingles array<long>"), "similar-sets")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """``(a, b)``: the pairs whose sets of shingles have at least this Jaccard similarity."""
-    ends = pairs.select(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b")).distinct()
-    common = F.size(F.array_intersect("x", "y"))
-    return staged(
-        ends.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-        .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-        .filter(common * (1 + similarity) >= similarity * (F.size("x") + F.size("y")) - 1e-9)
-        .select("a", "b"),
-        "similar-links",
-    )
+    return one_each.mapInArrow(cut, "node long, shingles binary")
 
 
 def drop_similar(
@@ -477,11 +509,10 @@ def drop_similar(
     shingles differ in at most ``radius`` bits. Texts with the same words are one
     node, so are NULL and empty texts. All columns stay, whatever their names.
 
-    First every node proposes the one partner with the most similar signature; the
-    proposals are verified, and the links join components. Then each node proposes
-    the next few partners of other components that it has not tried, until none has
-    any: rows grow with the nodes in every round, and no link between components
-    is left out. The shingles of each node with a partner are written once.
+    Nodes that share a key meet in one task with their shingles, where pairs are compared
+    and verified; only links that join components leave it, fewer than rows come in.
+    Large keys are dealt over cells, which meet in turn; what is one component by
+    then is not compared again. The shingles of each node with a shared key are written once.
 
     A group without any doc_id keeps one of its rows; of repeated rows one stays.
     A very long text is held whole by its task. An empty table gives an empty one.
@@ -547,47 +578,19 @@ def _linked(docs: DataFrame, nodes: DataFrame, shingle: int, radius: int, simila
     """``(node, root)`` of the nodes that may have links; None without any."""
     members = _memberships(nodes)
     cells = members.agg(F.max("cells")).first()[0] or 0
-    everything, nothing = F.lit(BANDS * BAND_ROWS + 1), F.lit(-1)
-    state = staged(
-        nodes.join(members.select("node").distinct(), "node", "left_semi").select(
-            "node", "h1", "h2", "fp", "second", "n", "rows", F.col("node").alias("root"),
-            F.lit(-1).cast("long").alias("tried"), everything.alias("tried_equal"),
-        ),
-        "similar-state",
-    )
-    sets, k = None, 1
-    for apart in range(cells):
-        while True:
-            found = _proposals(members, state, apart, radius, similarity, k)
-            if found.isEmpty():
-                break
-            if sets is None or apart:
-                ends = found.select(F.explode(F.array("node", "partner")).alias("node")).distinct()
-                wanted = state.select("node", "h1", "h2").join(ends, "node", "left_semi")
-                if sets is not None:
-                    wanted = wanted.join(sets, "node", "left_anti")
-                more = _sets(docs, wanted, shingle)
-                sets = more if sets is None else sets.unionByName(more)
-            good = _verified(found, sets, similarity)
-            # Links between components, by their names.
-            name = lambda c: state.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
-            between = good.join(name("a"), "a").join(name("b"), "b").select("root_a", "root_b")
-            joined = components(between, "root_a", "root_b").select(
-                F.col("node").alias("root"), F.col("root").alias("new_root")
-            )
-            last = found.groupBy("node").agg(F.min(F.struct("equal", (-F.col("partner")).alias("p"))).alias("last"))
-            # Only those that proposed may propose again: components only grow.
-            state = staged(
-                state.drop("tried", "tried_equal")
-                .join(joined, "root", "left")
-                .join(last, "node", "left")
-                .select(
-                    "node", "h1", "h2", "fp", "second", "n", "rows", F.coalesce("new_root", "root").alias("root"),
-                    F.coalesce(-F.col("last.p"), F.lit(0)).alias("tried"),
-                    F.coalesce("last.equal", nothing).alias("tried_equal"),
-                ),
-                "similar-state",
-            )
-            k = min(MOST_PROPOSED, k * PROPOSED)
-        state = state.withColumns({"tried": F.lit(-1).cast("long"), "tried_equal": everything})
-    return state.select("node", "root") if cells else None
+    if not cells:
+        return None
+    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi")
+    sets = _sets(docs, wanted.select("node", "h1", "h2"), shingle)
+    state = staged(wanted.select("node", "fp", "second", "n", "rows").join(sets, "node"), "similar-state")
+    roots = state.select("node", F.col("node").alias("root"))
+    # Cells lie in a ring: those half a ring apart are the farthest.
+    for apart in range(cells // 2 + 1):
+        found = _links(members, state.join(roots, "node"), apart, radius, similarity)
+        if found.isEmpty():
+            continue
+        # Links between components, by their names.
+        joined = components(found).select(F.col("node").alias("root"), F.col("root").alias("new_root"))
+        merged = roots.join(joined, "root", "left").select("node", F.coalesce("new_root", "root").alias("root"))
+        roots = staged(merged, "similar-roots")
+    return roots

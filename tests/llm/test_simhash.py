@@ -192,6 +192,32 @@ def test_large_keys_are_cut_into_cells(spark, monkeypatch):
     assert {r["doc_id"] for r in kept.collect()} == kept_by_brute_force(texts)
 
 
+def test_rows_do_not_grow_with_the_pairs_of_a_group(spark, monkeypatch):
+    """Texts just too different for a link: all pairs are compared, no row a pair is written."""
+    rng = random.Random(9)
+    words = passage(rng, 60).split()[:400]
+    texts = []
+    for i in range(120):
+        copy = list(words)
+        for place in rng.sample(range(len(copy)), 6):
+            copy[place] = f"changed{i}"
+        texts.append(" ".join(copy))
+    assert jaccard(texts[0], texts[1]) < 0.8
+    written, plain = {}, simhash.staged
+
+    def counted(df, name):
+        kept = plain(df, name)
+        written[name] = max(written.get(name, 0), kept.count())
+        return kept
+
+    monkeypatch.setattr(simhash, "staged", counted)
+    kept = simhash.drop_similar(frame(spark, list(enumerate(texts))))
+    assert {r["doc_id"] for r in kept.collect()} == kept_by_brute_force(texts)
+    memberships = written.pop("similar-memberships")
+    assert memberships <= simhash.BANDS * len(texts)
+    assert all(n <= len(texts) for n in written.values())
+
+
 def test_similar_documents_of_odd_and_empty_tables(spark):
     kept = simhash.drop_similar(odd(spark))
     assert kept.columns == odd(spark).columns
