@@ -46,11 +46,12 @@ def period_counts(fact: DataFrame, constraints: Sequence[Constraint], period: Co
     """What every period of ``fact`` keeps for ``constraints``, all of them on that table.
 
     Row-wise constraints share one scan. Keys are counted per value and period before
-    they are shuffled. Keys are kept as text, so a reference must have the type of what
-    it refers to.
+    they are shuffled, in their own types. They are kept as text, so a reference must have
+    the type of what it refers to.
     """
     rows = fact.withColumn(PERIOD, period)
     scanned = [c for c in constraints if isinstance(c, (NotNull, Rule, Domain))]
+    n = "_rows_of_key"  # a key may be a column n
     branches = []
     if scanned:
         none = F.lit(None).cast("string")
@@ -70,9 +71,15 @@ def period_counts(fact: DataFrame, constraints: Sequence[Constraint], period: Co
             columns, key, direct = (c.via, c.column), F.col(c.via), F.col(c.column)
         branches.append(
             rows.dropna(subset=list(columns))
-            .groupBy(PERIOD, key.cast("string").alias("key"), direct.cast("string").alias("direct"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select(F.lit(_name(c)).alias("constraint_name"), "key", "direct", "n", PERIOD)
+            .groupBy(*dict.fromkeys((PERIOD, *columns)))
+            .agg(F.count(F.lit(1)).alias(n))
+            .select(
+                F.lit(_name(c)).alias("constraint_name"),
+                key.cast("string").alias("key"),
+                direct.cast("string").alias("direct"),
+                F.col(n).alias("n"),
+                PERIOD,
+            )
         )
     return reduce(DataFrame.unionByName, branches).select(*COUNT_SCHEMA.fieldNames())
 

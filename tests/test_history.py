@@ -183,3 +183,18 @@ def test_stored_counts_give_the_full_report(spark, folder):
         p = parents(keys)
         found = deltas.report_of(store.read(spark), {"p": p}, "t", CONSTRAINTS)
         assert rows_of(found) == rows_of(constraint_report({"t": state, "p": p}, CONSTRAINTS))
+
+
+def test_keys_are_shuffled_in_their_own_types(spark):
+    """Keys become text after they are counted."""
+    fact = spark.createDataFrame([(1, "a", "d1"), (1, None, "d1"), (None, "b", "d2")], "id long, n string, day string")
+    counts = deltas.period_counts(fact, [Unique("t", ("id",)), ForeignKey("t", "n", "p", "key")], day())
+    found = sorted((r["constraint_name"], r["key"], r["n"], r["period"]) for r in counts.collect())
+    assert found == [
+        ("foreign_key(n)", "a", 1, "d1"),
+        ("foreign_key(n)", "b", 1, "d2"),
+        ("unique(id)", '{"id":1}', 2, "d1"),
+    ]
+    plan = counts._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "json" in plan
+    assert "json" not in "".join(plan.split("aggregate")[1].splitlines()[1:])
