@@ -7,7 +7,7 @@ import pytest
 from bank_data import SALT
 from pyspark.sql import functions as F
 
-from starflat.operators.flatten import flatten
+from starflat.operators.flatten import finish, flatten, join_needed
 from starflat.operators.sinks import (
     parse_formats,
     with_iso_times,
@@ -41,6 +41,16 @@ def test_csv_round_trip(spark, flat, folder):
     assert {r["txn_time"] for r in back.collect()} >= {"2025-03-10T00:10:00Z"}
 
 
+def test_csv_columns_are_made_behind_the_sort(spark, tiny, folder):
+    star = bank.gold_star(SALT)
+    joined, order = join_needed(tiny, star), ["transaction__utc_time", "transaction__txn_id"]
+    assert "member__email" in joined.columns and "transaction__txn_type" not in joined.columns
+    write_csv(joined, folder, order, finish=lambda df: finish(df, star))
+    want = with_iso_times(flatten(tiny, star))
+    back = read_csv(spark, folder, want.schema)
+    assert sorted(map(str, back.collect())) == sorted(map(str, want.collect()))
+
+
 def test_csv_parts_are_in_global_order(spark, folder):
     df = spark.range(1000).select(((F.col("id") * 7919) % 1000).alias("k"), "id")
     write_csv(df, folder, ["k", "id"])
